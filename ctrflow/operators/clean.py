@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ctrflow.functions.time import with_time_parts
 from ctrflow.schema import DEDUP_KEY, ID, REQUIRED
 
 
+def nan_as_null(df: DataFrame) -> DataFrame:
+    """A number column has one way to say that a value is missing."""
+    return df.withColumns({c: F.nullif(c, F.lit(float("nan"))) for c, t in df.dtypes if t == "double"})
+
+
 def drop_null_required(df: DataFrame, columns: Sequence[str] = REQUIRED) -> DataFrame:
-    return df.na.drop(subset=list(columns))
+    """Rows where all of the columns are known; unlike ``na.drop`` this reaches the scan."""
+    return df.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in columns]))
 
 
 def dedup_impressions(
@@ -35,5 +42,5 @@ def dedup_impressions(
 
 
 def clean_rows(df: DataFrame) -> DataFrame:
-    """Required fields present, duplicates gone, hour and time of day added."""
-    return with_time_parts(dedup_impressions(drop_null_required(df)))
+    """Required fields present, duplicates gone, missing numbers null, hour and time of day added."""
+    return with_time_parts(dedup_impressions(drop_null_required(nan_as_null(df))))

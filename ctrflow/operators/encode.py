@@ -118,7 +118,7 @@ def _number_at_size(tally: DataFrame, order: Sequence[str]) -> DataFrame:
         .drop("_n")
     )
     return (
-        placed.join(parts, ["column", "_part"])
+        placed.join(F.broadcast(parts), ["column", "_part"])
         .withColumn("_code", (F.col("_at") - F.col("_from") + F.col("_offset")).cast("int"))
         .drop("_part", "_at", "_from", "_offset")
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from ctrflow.operators.tally import value_tally
 from ctrflow.schema import columns_of
@@ -16,82 +16,82 @@ from ctrflow.session import MAX_LOCAL_ROWS
 ACCURACY = 10_000
 
 
-def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
-    """Most frequent value per column, the lowest one when several are; None without values."""
-    if not columns:
-        return {}
-    # Smallest (-n, value): the highest count, then the lowest value.
-    best = (
-        value_tally(df, columns, (-F.count(F.lit(1))).alias("_neg"))
-        .groupBy("column")
-        .agg(F.min(F.struct("_neg", *columns)).alias("_best"))
-    )
-    found = {row["column"]: row["_best"][row["column"]] for row in best.collect()}
-    return {c: found.get(c) for c in columns}
-
-
-def column_medians(
-    df: DataFrame, columns: Sequence[str], max_values: int = MAX_LOCAL_ROWS
-) -> dict[str, float | None]:
-    """Exact medians, the midpoint of the two middle values when their number is even.
-
-    Each pass narrows an interval around the middle with ``percentile_approx``, whose buffers are
-    bounded, until few enough distinct values remain to rank them by a running count. Columns with
-    few distinct values are ranked at once.
-    """
-    columns = list(columns)
-    if not columns:
-        return {}
-    counted = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in columns],
-    ).first()
-    state = {
-        c: _Interval(None, None, 0, counted[f"n_{c}"], counted[f"d_{c}"])
-        for c in columns if counted[f"n_{c}"]
-    }
-    total = {c: counted[f"n_{c}"] for c in state}
-    while wide := [c for c, s in state.items() if s.distinct > max_values and s.lo_hi_differ]:
-        _narrow(df, state, total, wide)
-    found = _rank(df, state, total) if state else {}
-    return {c: found.get(c) for c in columns}
-
-
 @dataclass
 class _Interval:
+    """Where the middle of a column lies: the values from ``lo`` to ``hi``."""
+
     lo: object
     hi: object
     below: int      # values under lo
     inside: int     # values from lo to hi
     distinct: int   # estimate of distinct values inside
 
-    @property
-    def lo_hi_differ(self) -> bool:
-        return self.lo is None or self.lo != self.hi
-
     def within(self, column: str) -> Column:
         value = F.col(column)
         if self.lo is None:
             return value.isNotNull()
         return (value >= F.lit(self.lo)) & (value <= F.lit(self.hi))
 
+    def too_wide(self, max_values: int) -> bool:
+        return self.distinct > max_values and (self.lo is None or self.lo != self.hi)
+
+
+def column_facts(df: DataFrame, columns: Sequence[str], distinct: Sequence[str] = ()) -> Row:
+    """Rows (``n``), values per column (``n_<column>``) and estimates of distinct ones (``d_``)."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.approx_count_distinct(c).alias(f"d_{c}") for c in distinct],
+    ).first()
+
+
+def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
+    """Most frequent value per column, the lowest one when several are; None without values."""
+    return _statistics(df, columns, {}, {})
+
+
+def column_medians(
+    df: DataFrame, columns: Sequence[str], max_values: int = MAX_LOCAL_ROWS
+) -> dict[str, float | None]:
+    """Exact medians, the midpoint of the two middle values when their number is even."""
+    facts = column_facts(df, columns, columns) if columns else None
+    intervals, totals = _intervals(df, columns, facts, max_values)
+    return {c: None for c in columns} | _statistics(df, [], intervals, totals)
+
+
+def _intervals(
+    df: DataFrame, columns: Sequence[str], facts: Row, max_values: int
+) -> tuple[dict[str, _Interval], dict[str, int]]:
+    """An interval around the middle of each column that holds few enough distinct values.
+
+    Columns with few distinct values keep all of them. For the others each pass narrows the
+    interval about 2,500-fold with ``percentile_approx``, whose buffers are bounded.
+    """
+    totals = {c: facts[f"n_{c}"] for c in columns if facts[f"n_{c}"]}
+    intervals = {c: _Interval(None, None, 0, n, facts[f"d_{c}"]) for c, n in totals.items()}
+    while wide := [c for c, s in intervals.items() if s.too_wide(max_values)]:
+        _narrow(df, intervals, totals, wide)
+    return intervals, totals
+
 
 def _middle(n: int) -> tuple[int, int]:
     """0-based ranks of the two middle values, equal when n is odd."""
     return (n - 1) // 2, n // 2
 
 
-def _narrow(df: DataFrame, state: dict, total: dict, columns: list[str]) -> None:
+def _narrow(
+    df: DataFrame, intervals: dict[str, _Interval], totals: dict[str, int], columns: list[str]
+) -> None:
+    margin = 2 / ACCURACY
     asked = []
     for c in columns:
-        s, (low, high) = state[c], _middle(total[c])
-        margin = 2 / ACCURACY
+        s, (low, high) = intervals[c], _middle(totals[c])
         p = max(0.0, (low - s.below) / s.inside - margin)
         q = min(1.0, (high - s.below + 1) / s.inside + margin)
         value = F.when(s.within(c), F.col(c))
         asked.append(F.percentile_approx(value, [p, q], ACCURACY).alias(c))
     ends = df.agg(*asked).first()
-    tried = {c: _Interval(ends[c][0], ends[c][1], 0, 0, 0) for c in columns}
+    tried = {c: _Interval(*ends[c], 0, 0, 0) for c in columns}
     counts = df.agg(*[
         measure for c in columns for measure in (
             F.count(F.when(F.col(c) < F.lit(tried[c].lo), 1)).alias(f"b_{c}"),
@@ -100,33 +100,47 @@ def _narrow(df: DataFrame, state: dict, total: dict, columns: list[str]) -> None
         )
     ]).first()
     for c in columns:
-        old, low_high = state[c], _middle(total[c])
+        old, (low, high) = intervals[c], _middle(totals[c])
         new = _Interval(*ends[c], counts[f"b_{c}"], counts[f"i_{c}"], counts[f"d_{c}"])
-        holds = new.below <= low_high[0] and low_high[1] < new.below + new.inside
+        holds = new.below <= low and high < new.below + new.inside
         if holds and new.inside < old.inside:
-            state[c] = new
-        else:  # no narrower: rank what is left, which stays exact
+            intervals[c] = new
+        else:  # no narrower interval: rank what is left, which stays exact
             old.distinct = 0
 
 
-def _rank(df: DataFrame, state: dict, total: dict) -> dict[str, float]:
-    inside = df.select(*[F.when(s.within(c), F.col(c)).alias(c) for c, s in state.items()])
-    names = list(state)
-    running = Window.partitionBy("column").orderBy(*names)
-    upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = value_tally(inside, names, F.count(F.lit(1)).alias("n")).withColumn("_upto", upto)
-    picks = []
-    for c in names:
-        for rank in sorted(set(_middle(total[c]))):
-            at = rank - state[c].below
-            picks.append(
-                (F.col("column") == c) & (F.col("_upto") > at) & (F.col("_upto") - F.col("n") <= at)
-            )
-    rows = ranked.where(reduce(Column.__or__, picks)).collect()
-    middles: dict[str, list[float]] = {}
-    for row in rows:
-        middles.setdefault(row["column"], []).append(float(row[row["column"]]))
-    return {c: sum(values) / len(values) for c, values in middles.items()}
+def _statistics(
+    df: DataFrame, modes: Sequence[str], intervals: dict[str, _Interval], totals: dict[str, int]
+) -> dict[str, object]:
+    """Modes of some columns and medians of others, in one job over value counts."""
+    modes, medians = list(modes), list(intervals)
+    answers = []
+    if modes:
+        # Smallest (-n, value): the highest count, then the lowest value.
+        best = F.min(F.struct("_neg", *modes)).alias("_best")
+        tally = value_tally(df, modes, (-F.count(F.lit(1))).alias("_neg"))
+        answers.append(tally.groupBy("column").agg(best).select("column", "_best.*").drop("_neg"))
+    if medians:
+        inside = df.select(*[F.when(s.within(c), F.col(c)).alias(c) for c, s in intervals.items()])
+        order = Window.partitionBy("column").orderBy(*medians)
+        upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        ranked = value_tally(inside, medians, F.count(F.lit(1)).alias("n")).withColumn("_upto", upto)
+        picks = [
+            (F.col("column") == c) & (F.col("_upto") > at) & (F.col("_upto") - F.col("n") <= at)
+            for c in medians for at in {r - intervals[c].below for r in _middle(totals[c])}
+        ]
+        answers.append(ranked.where(reduce(Column.__or__, picks)).drop("n", "_upto"))
+    found: dict[str, object] = {c: None for c in modes}
+    middles: dict[str, list[float]] = {c: [] for c in medians}
+    if answers:
+        joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), answers)
+        for row in joined.collect():  # one or two rows per column
+            c = row["column"]
+            if c in middles:
+                middles[c].append(float(row[c]))
+            else:
+                found[c] = row[c]
+    return found | {c: sum(values) / len(values) for c, values in middles.items()}
 
 
 @dataclass
@@ -163,14 +177,14 @@ def fit_imputer(
     modes = columns_of(df, "String") if modes is None else list(modes)
     if medians is None:
         medians = [c for c in columns_of(df, "Integral", "Fractional") if c not in modes]
-    asked = [*modes, *medians]
-    if not asked:
+    if not [*modes, *medians]:
         return Imputer({})
-    missing = df.agg(*[
-        F.coalesce(F.bool_or(F.col(c).isNull()), F.lit(False)).alias(c) for c in asked
-    ]).first()
-    fills = column_modes(df, [c for c in modes if missing[c]])
-    fills |= column_medians(df, [c for c in medians if missing[c]], max_values)
+    facts = column_facts(df, [*modes, *medians], medians)
+    modes, medians = (
+        [c for c in columns if facts[f"n_{c}"] < facts["n"]] for columns in (modes, medians)
+    )
+    intervals, totals = _intervals(df, medians, facts, max_values)
+    fills = _statistics(df, modes, intervals, totals)
     return Imputer({c: value for c, value in fills.items() if value is not None})
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ctrflow.schema import ENGINEERED, ID, TARGET, TIME, USER
 
 FRAME_ROWS = 24
-#: A user with more rows than this is cut into pieces of about this many rows.
+#: A user with more rows than this is cut into pieces.
 HOT_ROWS = 2_000_000
-#: Users that may be cut. The ones beyond it hold at most 1 / MAX_HOT_USERS of all rows each.
-MAX_HOT_USERS = 100_000
+#: Groups cut at a time: the size bound of a broadcast table.
+MAX_HOT_GROUPS = 100_000
+#: Times a piece may be cut again.
+MAX_CUTS = 10
 
 
 def top_value(value: str, clicked: str | None, window) -> Column:
@@ -42,69 +44,98 @@ def rolling_top(
     """Adds, per source column, the rolling top value of the user's last ``frame_rows`` rows.
 
     ``clicked=None`` leaves the clicks aside (plain frequency). The rows of a user are ordered by
-    time and row id; frames at the start are shorter. All columns share one shuffle and sort.
+    time and row id (a number); frames at the start are shorter. All columns share one shuffle and
+    sort.
 
-    A window is one task per user, so users above ``hot_rows`` are cut by time first: see
-    ``_with_pieces``.
+    A window is one task per user, so users above ``hot_rows`` are cut into pieces first, each with
+    the few rows before it that its frames reach back to. The result does not depend on the cuts.
     """
-    back = frame_rows - 1 if include_current else frame_rows
     last = 0 if include_current else -1
-    hot = _hot_users(df, user, time, hot_rows)
-    keys = [user]
-    if hot is not None:
-        needed = [*columns, *([clicked] if clicked else [])]
-        df = _with_pieces(df, hot, user, [time, row_id], needed, back)
-        keys = [user, "_piece"]
-    window = Window.partitionBy(*keys).orderBy(time, row_id).rowsBetween(last - (frame_rows - 1), last)
-    out = df.withColumns({name: top_value(c, clicked, window) for c, name in columns.items()})
-    if hot is not None:
-        out = out.where(~F.col("_lead_in")).drop("_lead_in", "_piece")
-    return out
-
-
-def _hot_users(df: DataFrame, user: str, time: str, hot_rows: int) -> DataFrame | None:
-    """Users to cut with their start and the width of a piece, in seconds; None without any."""
-    at = _seconds(F.col(time))
-    counted = df.groupBy(user).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(at).alias("_start"), F.max(at).alias("_end")
-    )
-    hottest = (
-        counted.where(F.col("_n") > hot_rows).orderBy(F.desc("_n"), user).limit(MAX_HOT_USERS)
+    first = last - (frame_rows - 1)
+    names = df.columns
+    pieces, keys = _cut_hot_users(df, user, time, row_id, hot_rows)
+    cut = len(keys) > 1
+    if cut:
+        needed = dict.fromkeys([*columns, *([clicked] if clicked else [])])
+        pieces = _with_lead_in(pieces, keys, [time, row_id], list(needed), -first)
+    window = Window.partitionBy(*keys).orderBy(time, row_id).rowsBetween(first, last)
+    out = pieces.withColumns({name: top_value(c, clicked, window) for c, name in columns.items()})
+    if cut:
+        out = out.where(~F.col("_lead_in"))
+    return out.select(*[c for c in names if c not in columns.values()], *columns.values())
+
+
+def _position(time: Column) -> Column:
+    """Microseconds since 1970 in local time: never decreasing, in any session time zone."""
+    seconds = F.unix_date(F.to_date(time)).cast("bigint") * 86_400 + (
+        F.hour(time) * 3_600 + F.minute(time) * 60
     )
-    pieces = F.ceil(F.col("_n") / hot_rows)
-    width = F.greatest(F.lit(1), F.floor((F.col("_end") - F.col("_start")) / pieces) + 1)
-    rows = hottest.select(F.col(user).alias("_hot"), "_start", width.alias("_width")).toArrow()
-    return df.sparkSession.createDataFrame(rows) if rows.num_rows else None
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
 
 
-def _seconds(time: Column) -> Column:
-    """Seconds since 1970 in local time: never decreasing, in any session time zone."""
-    return F.unix_date(F.to_date(time)).cast("bigint") * 86_400 + (
-        F.hour(time) * 3_600 + F.minute(time) * 60 + F.second(time)
-    )
-
+def _cut_hot_users(
+    df: DataFrame, user: str, time: str, row_id: str, hot_rows: int
+) -> tuple[DataFrame, list[str]]:
+    """The rows with piece columns for users above ``hot_rows``, and the keys of a piece.
 
-def _with_pieces(
-    df: DataFrame, hot: DataFrame, user: str, order: list[str], needed: list[str], back: int
+    A group of rows that is too large is cut into equal spans of time, or of row ids where all its
+    rows have one time. Bursts can leave a span too large, so the pieces are counted and cut again.
+    The tables of large groups hold at most ``MAX_HOT_GROUPS`` rows and are broadcast; groups
+    beyond that many have less than 1 / MAX_HOT_GROUPS of all rows each and stay whole.
+    """
+    keys = [user]
+    at, number = _position(F.col(time)), F.col(row_id).cast("bigint")
+    rows = df
+    for level in range(MAX_CUTS):
+        open_rows = df if level == 0 else rows.where(F.col(keys[-1]) >= 0)
+        sizes = open_rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.min(at).alias("_t0"), F.max(at).alias("_t1"),
+            F.min(number).alias("_i0"), F.max(number).alias("_i1"),
+        )
+        by_time = F.col("_t1") > F.col("_t0")
+        low, high = (
+            F.when(by_time, F.col(f"_t{end}")).otherwise(F.col(f"_i{end}")) for end in "01"
+        )
+        spans = F.ceil(F.col("_n") / hot_rows) * 8
+        hottest = (
+            sizes.where((F.col("_n") > hot_rows) & (high > low))
+            .orderBy(F.desc("_n"))
+            .limit(MAX_HOT_GROUPS)
+            .select(
+                *[F.col(k).alias(f"_hot_{k}") for k in keys], by_time.alias("_by_time"),
+                low.alias("_from"), F.ceil((high - low + 1) / spans).alias("_width"),
+            )
+            .toArrow()
+        )
+        if not hottest.num_rows:
+            break
+        hot = F.broadcast(df.sparkSession.createDataFrame(hottest))
+        match = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
+        place = F.when(F.col("_by_time"), at).otherwise(number) - F.col("_from")
+        piece = f"_piece_{level}"
+        rows = (
+            rows.join(hot, match, "left")
+            .withColumn(piece, F.coalesce(F.floor(place / F.col("_width")), F.lit(-1)))
+            .drop(*hot.columns)
+        )
+        keys.append(piece)
+    return rows, keys
+
+
+def _with_lead_in(
+    rows: DataFrame, keys: list[str], order: list[str], needed: list[str], back: int
 ) -> DataFrame:
-    """Rows with their piece, plus lead-in rows: the ``back`` rows before each piece of a hot user.
+    """Adds to each piece the ``back`` rows of its user before it, marked ``_lead_in``.
 
-    A hot user's time span is cut into equal pieces; the others keep all rows in one piece. Every
-    frame then lies inside one piece and its lead-in, whatever the piece sizes, so the result is
-    the same as without cutting.
+    Only the last rows of a piece can be within reach of a later one; they are numbered per user
+    and the right ones are copied to each piece that starts after them.
     """
-    piece = F.floor((_seconds(F.col(order[0])) - F.col("_start")) / F.col("_width"))
-    placed = (
-        df.join(F.broadcast(hot), df[user] == F.col("_hot"), "left")
-        .withColumn("_piece", F.coalesce(piece, F.lit(-1)))
-        .drop("_start", "_width")
-    )
-    keys = [user, "_piece"]
+    user = keys[0]
     newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    # The last rows of each piece: all that a later piece can reach back to.
     tails = (
-        placed.where(F.col("_hot").isNotNull())
-        .select(*keys, *order, *needed)
+        rows.where(F.col(keys[1]) >= 0)
+        .select(*dict.fromkeys([*keys, *order, *needed]))
         .withColumn("_back", F.row_number().over(newest))
         .where(F.col("_back") <= back)
         .withColumn("_pos", F.row_number().over(Window.partitionBy(user).orderBy(*order)))
@@ -118,9 +149,7 @@ def _with_pieces(
             F.greatest(F.lit(1), F.col("_first") - back), F.col("_first") - 1
         )).alias("_pos"))
     )
-    lead_in = reach.join(tails.drop("_piece"), [user, "_pos"]).drop("_pos")
-    return (
-        placed.drop("_hot")
-        .withColumn("_lead_in", F.lit(False))
-        .unionByName(lead_in.withColumn("_lead_in", F.lit(True)), allowMissingColumns=True)
+    lead_in = reach.join(tails.drop(*keys[1:]), [user, "_pos"]).drop("_pos")
+    return rows.withColumn("_lead_in", F.lit(False)).unionByName(
+        lead_in.withColumn("_lead_in", F.lit(True)), allowMissingColumns=True
     )

@@ -87,7 +87,7 @@ def lookup_default(
     """One feature by key, as a double, with a default for keys without a record."""
     found = latest.select(F.col(key).alias("_key"), F.col(feature).cast("double").alias("_found"))
     return (
-        df.join(found, df[key] == F.col("_key"), "left")
+        df.join(found, F.col(key) == F.col("_key"), "left")
         .withColumn(feature, F.coalesce("_found", F.lit(default)))
         .drop("_key", "_found")
     )
