@@ -428,7 +428,7 @@ def f1_score(spark, sf_dir):
 
 # ---- streams --------------------------------------------------------------------------------
 
-def _stream_of(df, spark, *by, files=8, per_trigger=2):
+def _stream_of(df, spark, *by, files=8, per_trigger=4):
     """The frame as a stream of micro-batches; rows arrive in no particular time order."""
     path = scratch_path(spark, "stream-in")
     df.repartition(files, *by).write.parquet(path)

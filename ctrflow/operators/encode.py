@@ -45,17 +45,20 @@ class Encoder:
             raise ValueError(f"on_unseen must be one of {UNSEEN}")
         if not isinstance(columns, Mapping):
             columns = {c: c for c in (self.columns() if columns is None else columns)}
-        names = df.columns
         dtypes = dict(df.dtypes)
-        for source, fitted in columns.items():
+        added = {}
+        joined = df
+        for i, (source, fitted) in enumerate(columns.items()):
             codes = self.mapping.where(F.col("column") == fitted).select(
-                F.col("label").cast(dtypes[source]).alias("_label"), F.col("code").alias("_code")
+                F.col("label").cast(dtypes[source]).alias(f"_label_{i}"),
+                F.col("code").alias(f"_code_{i}"),
             )
-            df = df.join(codes, F.col(source) == F.col("_label"), "left").drop("_label")
-            code = self._settle(F.col("_code"), source, on_unseen, unseen_value)
-            df = df.withColumn(f"{source}{suffix}", code).drop("_code")
-        added = [f"{source}{suffix}" for source in columns]
-        return df.select(*[c for c in names if c not in added], *added)
+            joined = joined.join(codes, F.col(source) == F.col(f"_label_{i}"), "left")
+            added[f"{source}{suffix}"] = self._settle(
+                F.col(f"_code_{i}"), source, on_unseen, unseen_value
+            )
+        kept = [c for c in df.columns if c not in added]
+        return joined.select(*kept, *[code.alias(name) for name, code in added.items()])
 
     def _settle(self, code: Column, source: str, on_unseen: str, unseen_value: float) -> Column:
         if self.default is not None:
@@ -169,17 +172,19 @@ class TargetEncoder:
     def transform_train(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """For the rows it was fitted on: each is encoded without the clicks of its own fold."""
         columns = self.full.columns() if columns is None else list(columns)
-        names, dtypes = df.columns, dict(df.dtypes)
-        out = df.withColumn("_fold", self.fold_of).join(self.fold_means, "_fold", "left")
-        for c in columns:
+        dtypes = dict(df.dtypes)
+        added = {}
+        joined = df.withColumn("_fold", self.fold_of).join(self.fold_means, "_fold", "left")
+        for i, c in enumerate(columns):
             codes = self.folds.where(F.col("column") == c).select(
-                F.col("label").cast(dtypes[c]).alias("_label"), F.col("fold").alias("_of"),
-                F.col("code").alias("_code"),
+                F.col("label").cast(dtypes[c]).alias(f"_label_{i}"),
+                F.col("fold").alias(f"_fold_{i}"), F.col("code").alias(f"_code_{i}"),
             )
-            match = (F.col(c) == F.col("_label")) & (F.col("_fold") == F.col("_of"))
-            out = out.join(codes, match, "left").drop("_label", "_of")
-            out = out.withColumn(f"{c}_encoding", F.coalesce("_code", "_mean")).drop("_code")
-        return out.select(*names, *[f"{c}_encoding" for c in columns])
+            match = (F.col(c) == F.col(f"_label_{i}")) & (F.col("_fold") == F.col(f"_fold_{i}"))
+            joined = joined.join(codes, match, "left")
+            added[f"{c}_encoding"] = F.coalesce(f"_code_{i}", "_mean")
+        kept = [c for c in df.columns if c not in added]
+        return joined.select(*kept, *[code.alias(name) for name, code in added.items()])
 
 
 def _smoothed(n: Column, s: Column, q: Column, mean: Column, variance: Column) -> Column:

@@ -168,11 +168,13 @@ def fit_imputer(
     modes: Sequence[str] | None = None,
     medians: Sequence[str] | None = None,
     max_values: int = MAX_LOCAL_ROWS,
+    applied_to: DataFrame | None = None,
 ) -> Imputer:
     """Modes of string columns and medians of number columns, for the columns that have nulls.
 
-    Pass column lists to choose other columns, such as the mode of a number column. Fit on all
-    rows, or on the training rows only, as wanted.
+    Pass column lists to choose other columns, such as the mode of a number column. When the fill
+    values come from other rows than they are ``applied_to``, such as the training rows, it is the
+    latter whose nulls decide about the columns.
     """
     modes = columns_of(df, "String") if modes is None else list(modes)
     if medians is None:
@@ -180,8 +182,9 @@ def fit_imputer(
     if not [*modes, *medians]:
         return Imputer({})
     facts = column_facts(df, [*modes, *medians], medians)
+    target = facts if applied_to is None else column_facts(applied_to, [*modes, *medians])
     modes, medians = (
-        [c for c in columns if facts[f"n_{c}"] < facts["n"]] for columns in (modes, medians)
+        [c for c in columns if target[f"n_{c}"] < target["n"]] for columns in (modes, medians)
     )
     intervals, totals = _intervals(df, medians, facts, max_values)
     fills = _statistics(df, modes, intervals, totals)

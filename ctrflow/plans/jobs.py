@@ -51,9 +51,12 @@ def prepare(
     """
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be all or train, not {fit_on!r}")
+    if fit_on == "train" and not cuts:
+        raise ValueError("fit_on='train' needs the cut points of the split")
     rows = stage(clean_rows(impressions), "clean")
-    fitted_on = time_split(rows, *cuts)[0] if fit_on == "train" else rows
-    return fit_imputer(fitted_on).transform(rows)
+    if fit_on == "train":
+        return fit_imputer(time_split(rows, *cuts)[0], applied_to=rows).transform(rows)
+    return fit_imputer(rows).transform(rows)
 
 
 @dataclass

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ctrflow.operators.conform import EVENT_TIME, conform, is_valid
+from ctrflow.operators.conform import EVENT_TIME, conform, split_valid
 
 
 def append_features(df: DataFrame, path: str, event_time: str = EVENT_TIME) -> None:
@@ -45,20 +45,15 @@ def ingest(
 ) -> int:
     """Appends the rows that fit the declared schema; returns the number of rows that do not.
 
-    ``load_time`` stamps the rows. Rejects are counted while the good rows are written, and are
-    looked at again only to store them, when there are any. By default they raise after that.
+    ``load_time`` stamps the rows. Rejects are stored when there are any, and raise after that
+    unless ``fail`` is off. Looking for them reads only the columns whose values may not fit.
     """
     stamped = df.withColumn(EVENT_TIME, F.lit(load_time))
-    valid = is_valid(stamped, definitions, key)
-    seen = Observation()
-    checked = stamped.withColumn("_valid", valid).observe(
-        seen, F.count_if(~F.col("_valid")).alias("rejects")
-    )
-    good = checked.where(F.col("_valid")).drop("_valid")
+    good, bad = split_valid(stamped, definitions, key)
     append_features(conform(good, definitions, load_time), path)
-    rejects = seen.get["rejects"]
+    rejects = bad.count()
     if rejects and rejects_path:
-        stamped.where(~valid).write.mode("append").parquet(rejects_path)
+        bad.write.mode("append").parquet(rejects_path)
     if rejects and fail:
         raise RejectedRows(f"{rejects} rows could not be stored in {path}")
     return rejects
