@@ -92,13 +92,18 @@ def _as_mapping(df: DataFrame, columns: Sequence[str], tally: DataFrame, code: C
     )
 
 
-def _numbered(tally: DataFrame, order: Sequence[str], max_labels: int) -> DataFrame:
-    """The tally with ``_code``, a 0-based number per column in the given order."""
-    local = small_or_staged(tally, "labels", max_labels)
-    per_column = Window.partitionBy("column").orderBy(*order)
-    if local.isLocal():
-        return local.withColumn("_code", F.row_number().over(per_column) - 1)
-    return _number_at_size(local, order)
+def _numbered_mapping(
+    df: DataFrame, columns: Sequence[str], tally: DataFrame, order: Sequence[str], max_labels: int
+) -> DataFrame:
+    """Mapping with a 0-based number per column in the given order of the tally."""
+    code = F.col("_code").cast("int")
+    rank = F.row_number().over(Window.partitionBy("column").orderBy(*order)) - 1
+    # One more row than allowed tells whether all of them have been seen.
+    head = tally.limit(max_labels + 1).withColumn("_code", rank)
+    local = _as_mapping(df, columns, head, code).toArrow()
+    if local.num_rows <= max_labels:
+        return df.sparkSession.createDataFrame(local)
+    return stage(_as_mapping(df, columns, _number_at_size(tally, order), code), "mapping")
 
 
 def _number_at_size(tally: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -133,9 +138,7 @@ def fit_label(
     """Codes 0..n-1 in the order of the typed values (numbers as numbers)."""
     columns = list(columns)
     values = value_tally(df, columns, F.lit(1).alias("_one")).drop("_one")
-    numbered = _numbered(values, columns, max_labels)
-    mapping = _as_mapping(df, columns, numbered, F.col("_code").cast("int"))
-    return Encoder(small_or_staged(mapping, "mapping", max_labels))
+    return Encoder(_numbered_mapping(df, columns, values, columns, max_labels))
 
 
 def fit_ordinal_ctr(
@@ -147,12 +150,8 @@ def fit_ordinal_ctr(
 ) -> Encoder:
     """Codes 0..n-1 by ascending click rate, equal rates by value."""
     columns = list(columns)
-    rates = value_tally(
-        df, columns, (F.sum(target) / F.count(row_id)).alias("_ctr")
-    )
-    numbered = _numbered(rates, ["_ctr", *columns], max_labels)
-    mapping = _as_mapping(df, columns, numbered, F.col("_code").cast("int"))
-    return Encoder(small_or_staged(mapping, "mapping", max_labels))
+    rates = value_tally(df, columns, (F.sum(target) / F.count(row_id)).alias("_ctr"))
+    return Encoder(_numbered_mapping(df, columns, rates, ["_ctr", *columns], max_labels))
 
 
 @dataclass
