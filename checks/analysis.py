@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import query
-from checks.sql import ENCODED, FEATURES, ISO, profile, sql
+from checks.sql import ENCODED, FEATURES, ISO, sql
 from ctrflow import schema
 from ctrflow.operators import encode, explore, impute, metrics, model, rolling, sample
+from ctrflow.operators.clean import drop_null_required
 from ctrflow.operators.customers import customer_profile
-from ctrflow.operators.split import time_split, union_rows
+from ctrflow.operators.split import union_rows
 from ctrflow.plans import jobs, scoring
 from ctrflow.session import scratch_path
 from ctrflow.sources import feature_table as ft
 from ctrflow.sources.feature_table import latest_per_key
+from ctrflow.sources.files import read_matrix
 from ctrflow.streaming import jobs as streams
 
 # ---- aggregates -----------------------------------------------------------------------------
@@ -168,15 +170,11 @@ def sorted_impressions(spark, sf_dir):
 
 @query("head_rows", sql("SELECT * FROM required ORDER BY DateTime, session_id LIMIT 5", "required"))
 def head_rows(spark, sf_dir):
-    from ctrflow.operators.clean import drop_null_required
-
     return explore.head(drop_null_required(fx.impressions(spark, sf_dir)), 5, ["DateTime", "session_id"])
 
 
 @query("union_rows", sql("SELECT * FROM impressions UNION ALL SELECT * FROM required", "required"))
 def union_rows_(spark, sf_dir):
-    from ctrflow.operators.clean import drop_null_required
-
     rows = fx.impressions(spark, sf_dir)
     return union_rows(rows, drop_null_required(rows))
 
@@ -205,15 +203,11 @@ def upsample(spark, sf_dir):
 
 @query("shuffle_rows", sql("SELECT * FROM required", "required"))
 def shuffle_rows(spark, sf_dir):
-    from ctrflow.operators.clean import drop_null_required
-
     return sample.shuffle_rows(drop_null_required(fx.impressions(spark, sf_dir)))
 
 
 @query("sample_rows", sql(f"SELECT * FROM required ORDER BY {HASH}, session_id LIMIT 10", "required"))
 def sample_rows(spark, sf_dir):
-    from ctrflow.operators.clean import drop_null_required
-
     return sample.sample_rows(drop_null_required(fx.impressions(spark, sf_dir)), 10)
 
 
@@ -483,8 +477,6 @@ TARGET_FIRST = ", ".join(["is_click", *FEATURES])
 
 def _part(name):
     def run(spark, sf_dir):
-        from ctrflow.sources.files import read_matrix
-
         out = scratch_path(spark, "preprocess")
         jobs.preprocess_to_files(fx.impressions(spark, sf_dir), out, fx.CUTS)
         return read_matrix(spark, f"{out}/{name}", schema.FEATURES[1:])

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from checks.registry import query
-from checks.sql import COLUMNS, ENCODED, FEATURES, ISO, TIME_OF_DAY, profile, sql
+from checks.sql import FEATURES, ISO, TIME_OF_DAY, sql
 from ctrflow import schema
 from ctrflow.functions.codes import as_csv_row, gender_code, threshold_label
 from ctrflow.functions.time import iso_timestamp, parse_datetime, stamp, time_of_day
 from ctrflow.operators import clean as cl, customers, encode, explore, impute, split
 from ctrflow.operators.conform import conform
+from ctrflow.operators.rolling import rolling_top
 from ctrflow.plans import jobs, scoring
 from ctrflow.session import scratch_path
 from ctrflow.sources import feature_table as ft, files, prediction_log, registry, requests
@@ -280,8 +281,6 @@ def feature_definitions(spark, sf_dir):
     "LEFT JOIN most_recent_clicked_product USING (session_id)", "rolling"
 ))
 def attach_features(spark, sf_dir):
-    from ctrflow.operators.rolling import rolling_top
-
     rows = fx.clean(spark, sf_dir)
     name = schema.ENGINEERED["product"]
     features = rolling_top(rows, {"product": name}).select("user_id", "session_id", name)

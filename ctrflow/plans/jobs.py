@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ctrflow.functions.codes import gender_code
 from ctrflow.functions.time import stamp
@@ -28,13 +28,15 @@ from ctrflow.operators.rolling import rolling_top
 from ctrflow.operators.sample import balance, shuffle_rows
 from ctrflow.operators.split import time_split
 from ctrflow.schema import (
-    ENCODED, ENGINEERED, FEATURES, FEATURES_ENGINEERED, ID, TARGET, TIME, USER, infer_definitions,
+    ENCODED, ENGINEERED, FEATURES, FEATURES_ENGINEERED, ID, TIME, USER, infer_definitions,
     project, to_string,
 )
 from ctrflow.session import stage
 from ctrflow.sources.feature_table import ingest
 from ctrflow.sources.files import as_report, write_matrix, write_report
-from ctrflow.sources.registry import F1_THRESHOLD, quality_gate, register_models
+from ctrflow.sources.registry import (
+    F1_THRESHOLD, PENDING, approved_path, quality_gate, read_registry, register_models,
+)
 
 # ---- fixed values: default cut points of the time split --------------------------------------
 FIRST_CUT, SECOND_CUT = "2017-07-06", "2017-07-07"
@@ -194,6 +196,7 @@ def train_evaluate(
     fit: Callable[[DataFrame], PipelineModel] = fit_boosted,
     comparison: str = ">=",
     threshold: float = F1_THRESHOLD,
+    status: str = PENDING,
 ) -> DataFrame:
     """Prepare, fit, evaluate on the test rows, report, and register the model if it passes.
 
@@ -211,5 +214,11 @@ def train_evaluate(
         F.lit(model_path).alias("model_path"),
         F.lit(created).cast("timestamp_ntz").alias("created"), F.col("f1_score").alias("f1"),
     )
-    register_models(quality_gate(candidate, "f1", comparison, threshold), f"{out}/registry")
+    passed = quality_gate(candidate, "f1", comparison, threshold)
+    register_models(passed, f"{out}/registry", status)
     return report
+
+
+def approved_model(spark: SparkSession, out: str, group: str = "ctr") -> PipelineModel:
+    """The newest approved model of a group; raises when there is none."""
+    return PipelineModel.load(approved_path(read_registry(spark, f"{out}/registry"), group))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ctrflow.functions.codes import click_text, gender_code
 from ctrflow.functions.time import time_of_day
@@ -36,7 +38,19 @@ def request_features(
 
 
 def score_requests(features: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
-    """Adds probability, the 0/1 prediction and its text. Rows with an unknown code get no score."""
-    known = features.where(F.greatest(*[F.col(c).isNull() for c in MATRIX]) == F.lit(False))
-    scored = predict(model, known, threshold)
-    return scored.withColumn("label", click_text(F.col("prediction")))
+    """Adds probability, the 0/1 prediction and its text; all null where a code is unknown."""
+    given = features.withColumn("_given", F.struct(*MATRIX))
+    scored = predict(
+        model, given.withColumns({c: F.coalesce(c, F.lit(-1)) for c in MATRIX}), threshold
+    )
+    known = reduce(Column.__and__, [F.col(f"_given.{c}").isNotNull() for c in MATRIX])
+    answers = {
+        "probability": F.col("probability"),
+        "prediction": F.col("prediction"),
+        "label": click_text(F.col("prediction")),
+    }
+    return scored.select(
+        *[c for c in features.columns if c not in MATRIX],
+        *[F.col(f"_given.{c}").alias(c) for c in MATRIX],
+        *[F.when(known, value).alias(name) for name, value in answers.items()],
+    )

@@ -9,13 +9,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ctrflow.operators.encode import Encoder
 from ctrflow.operators.conform import EVENT_TIME
-from ctrflow.plans.scoring import request_features
+from ctrflow.operators.encode import Encoder
+from ctrflow.plans.scoring import request_features, score_requests
+from ctrflow.schema import USER
+from ctrflow.sources.prediction_log import sample_log
 
 NOW = {"availableNow": True}
 
@@ -97,3 +100,17 @@ def stream_request_features(
 ) -> StreamingQuery:
     """Continuous scoring up to the feature matrix: request stream joined to the customer table."""
     return _to_parquet(request_features(requests, encoder, customers), path, checkpoint, trigger)
+
+
+def stream_scores(
+    requests: DataFrame, encoder: Encoder, customers: DataFrame, model: PipelineModel, path: str,
+    checkpoint: str, threshold: float = 0.5, log_percent: int | None = None, trigger: dict = NOW,
+) -> StreamingQuery:
+    """Continuous scoring: features, probability and label of every request row.
+
+    With ``log_percent`` only that share of users is written, which makes it the prediction log.
+    """
+    scored = score_requests(request_features(requests, encoder, customers), model, threshold)
+    if log_percent is not None:
+        scored = sample_log(scored, log_percent, key=USER)
+    return _to_parquet(scored, path, checkpoint, trigger)

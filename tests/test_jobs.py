@@ -83,6 +83,17 @@ def test_gate_decides_about_registration(spark, raw, tmp_path, comparison, regis
     assert os.path.isdir(f"{out}/models/ctr/1")
 
 
+def test_approved_model_can_be_loaded_and_scores(spark, raw, tmp_path, prepared):
+    out = str(tmp_path / "m")
+    jobs.train_evaluate(raw, out, fx.CUTS, fit=SMALL_MODEL, threshold=-1.0, status=registry.APPROVED)
+    jobs.train_evaluate(raw, out, fx.CUTS, fit=SMALL_MODEL, threshold=-1.0, version=2, created="2024-02-01 00:00:00")
+    loaded = jobs.approved_model(spark, out)
+    scored = model.score(loaded, schema.project(prepared.test, schema.FEATURES))
+    assert scored.count() == prepared.test.count() and scored.where("probability IS NULL").isEmpty()
+    with pytest.raises(registry.NoApprovedModel):
+        jobs.approved_model(spark, out, "other")
+
+
 def body(*rows):
     return json.dumps({"data": rows})
 
@@ -115,10 +126,15 @@ def test_scored_requests_have_a_label(spark, prepared):
     fitted = model.fit_logistic(schema.project(prepared.train, schema.FEATURES_ENGINEERED))
     features = scoring.request_features(
         fx.request_batches(spark, "/root/testdata/sf0.001"), prepared.encoder, customer_profile(prepared.train))
-    known = features.na.drop(subset=scoring.MATRIX)
-    out = scoring.score_requests(features, fitted, threshold=0.2)
-    assert out.count() == known.count() < features.count()
-    assert {tuple(r) for r in out.select("prediction", "label").distinct().collect()} <= {(1, "Clicked"), (0, "Not Clicked")}
+    out = scoring.score_requests(features, fitted, threshold=0.2).cache()
+    known = F.lit(True)
+    for c in scoring.MATRIX:
+        known = known & F.col(c).isNotNull()
+    # Every request row is answered; the ones with an unknown code have no score.
+    assert same(out.select(features.columns), features)
+    assert 0 < out.where(~known).count() == out.where("probability IS NULL AND prediction IS NULL AND label IS NULL").count()
+    labels = {tuple(r) for r in out.where(known).select("prediction", "label").distinct().collect()}
+    assert labels <= {(1, "Clicked"), (0, "Not Clicked")}
     assert out.where("(probability > 0.2) <> (prediction = 1)").isEmpty()
 
 

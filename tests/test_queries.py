@@ -9,10 +9,9 @@ from checks.compare import connect, differences
 from tests.conftest import SMALL
 
 SOME = [
-    "csv_scan", "ingest_rejects", "request_batch", "time_split", "impute_mode", "impute_median", "impute_stats",
-    "conform_schema", "feature_definitions", "lookup_default", "rolling_top_webpage", "upsample", "encoder_mapping",
-    "ordinal_ctr_encode", "target_encode_crossfit", "latest_approved", "classification_report",
-    "preprocess_train", "ingest_transactions", "stream_score_features",
+    "ingest_rejects", "request_batch", "impute_mode", "impute_stats", "conform_schema", "lookup_default",
+    "rolling_top_webpage", "upsample", "target_encode_crossfit", "classification_report", "preprocess_train",
+    "ingest_transactions",
 ]
 NAMES = list(entry.oracle_sql()) if os.environ.get("ALL_QUERIES") else SOME
 

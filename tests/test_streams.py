@@ -2,11 +2,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
-from ctrflow.operators import encode
+from ctrflow.operators import encode, model
 from ctrflow.operators.customers import customer_profile
 from ctrflow.plans import scoring
 from ctrflow import schema
 from ctrflow.sources import feature_table as ft
+from ctrflow.sources.prediction_log import sample_log
 from ctrflow.streaming import jobs
 from tests.conftest import same, skewed
 
@@ -79,4 +80,14 @@ def test_streamed_request_features_equal_the_batch_form(spark, clean, tmp_path):
     batches.repartition(3).write.parquet(source)
     stream = jobs.read_stream(spark, source, batches.schema, 1)
     jobs.stream_request_features(stream, encoder, customers, out, str(tmp_path / "cp")).awaitTermination()
-    assert same(spark.read.parquet(out), scoring.request_features(batches, encoder, customers))
+    features = scoring.request_features(batches, encoder, customers)
+    assert same(spark.read.parquet(out), features)
+
+    fitted = model.fit_logistic(schema.project(coded, schema.FEATURES_ENGINEERED))
+    scored = scoring.score_requests(features, fitted, 0.2)
+    for percent in (None, 50):
+        stream = jobs.read_stream(spark, source, batches.schema, 2)
+        out = str(tmp_path / f"scores-{percent}")
+        jobs.stream_scores(stream, encoder, customers, fitted, out, f"{out}-cp", 0.2, percent).awaitTermination()
+        want = scored if percent is None else sample_log(scored, percent, key="user_id")
+        assert same(spark.read.parquet(out), want)

@@ -149,3 +149,19 @@ def test_staging_uses_the_shared_folder(spark, clean):
     assert same(staged, clean.select("user_id", "product"))
     assert "ReadSchema: struct<user_id:bigint>" in executed(staged.select("user_id"))
     assert small_or_staged(clean, "t", 10**6).isLocal() and not small_or_staged(clean, "t", 5).isLocal()
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    from types import SimpleNamespace as Fake
+
+    cluster = Fake(conf=Fake(get=lambda *_: None), sparkContext=Fake(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(cluster, "x")
+
+
+def test_checking_a_typed_frame_looks_at_the_key_only(spark, clean, tmp_path):
+    clean.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t")).withColumn("event_time", F.lit(LOAD))
+    _, bad = conform.split_valid(df, schema.infer_definitions(df), "session_id")
+    text = executed(bad.groupBy().count())
+    assert "PushedFilters: [IsNull(session_id)]" in text and "ReadSchema: struct<session_id:bigint>" in text
