@@ -92,23 +92,20 @@ def preprocess(
     if engineered:
         rows = stage(rolling_top(rows), "rolling")
     if encoding == "target":
-        train, validation, test = time_split(rows, *cuts)
+        train, _, _ = time_split(rows, *cuts)
         encoder = fit_target(train, [*columns, "gender"])
-        return Prepared(
-            encoder.transform_train(train), encoder.transform(validation),
-            encoder.transform(test), encoder,
-        )
+        _, validation, test = time_split(encoder.transform(rows), *cuts)
+        return Prepared(encoder.transform_train(train), validation, test, encoder)
     fits: dict[str, Callable[..., Encoder]] = {"label": fit_label, "ordinal": fit_ordinal_ctr}
     if encoding not in fits:
         raise ValueError(f"unknown encoding {encoding!r}")
     rows = rows.withColumn("gender_encoding", gender_code(F.col("gender")))
-    parts = time_split(rows, *cuts)
-    encoder = fits[encoding](parts[0], columns)
+    encoder = fits[encoding](time_split(rows, *cuts)[0], columns)
     lookups = {c: c for c in columns}
     if engineered:
         lookups |= {name: base for base, name in ENGINEERED.items()}
-    encoded = [encoder.transform(part, lookups, on_unseen=on_unseen) for part in parts]
-    return Prepared(*encoded, encoder)
+    encoded = encoder.transform(rows, lookups, on_unseen=on_unseen)
+    return Prepared(*time_split(encoded, *cuts), encoder)
 
 
 def encode_all(

@@ -11,7 +11,7 @@ from ctrflow.operators.customers import customer_profile
 from ctrflow.plans import jobs, scoring
 from ctrflow.sources import feature_table as ft, registry
 from ctrflow.sources.requests import parse_requests
-from tests.conftest import same, table
+from tests.conftest import executed, same, table
 
 SMALL_MODEL = lambda df: model.fit_boosted(df, rounds=2, max_depth=3)
 
@@ -33,6 +33,12 @@ def test_preprocess_writes_three_files(spark, raw, tmp_path):
     assert counts == {"train": 2 * clicks, "validation": prepared.validation.count(), "test": prepared.test.count()}
 
 
+def test_split_of_encoded_rows_reaches_the_staged_table(prepared):
+    text = executed(prepared.validation)
+    assert "GreaterThanOrEqual(DateTime,2024-01-21T00:00), LessThan(DateTime,2024-01-26T00:00)" in text
+    assert "hashpartitioning" not in text
+
+
 def test_options_are_checked(raw):
     with pytest.raises(ValueError, match="encoding"):
         jobs.preprocess(raw, fx.CUTS, encoding="one-hot")
