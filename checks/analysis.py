@@ -15,7 +15,7 @@ from ctrflow.operators.clean import drop_null_required
 from ctrflow.operators.customers import customer_profile
 from ctrflow.operators.split import union_rows
 from ctrflow.plans import jobs, scoring
-from ctrflow.session import scratch_path
+from ctrflow.session import scratch_path, stage
 from ctrflow.sources import feature_table as ft
 from ctrflow.sources.feature_table import latest_per_key
 from ctrflow.sources.files import read_matrix
@@ -320,7 +320,7 @@ def _model_prediction(spark, sf_dir, fit):
     prepared = _prepared(spark, sf_dir)
     train, _, _ = jobs.matrices(prepared)
     rows = prepared.validation.select("session_id", *schema.FEATURES)
-    fitted = fit(train)
+    fitted = fit(stage(train, "train"))
     return model.predict(fitted, rows).select("session_id", "is_click", "probability", "prediction")
 
 
@@ -350,7 +350,8 @@ def _model_prediction_for(spark, sf_dir, fit):
 def batch_score(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
     train, validation, test = jobs.matrices(prepared)
-    return fx.rounded(model.score(model.fit_logistic(train), validation.unionByName(test)))
+    fitted = model.fit_logistic(stage(train, "train"))
+    return fx.rounded(model.score(fitted, validation.unionByName(test)))
 
 
 REQUEST_MATRIX = "batch_id, position, user_id, {}, most_recent_clicked_product_encoding".format(
