@@ -165,14 +165,17 @@ def packed_schema(*columns: str) -> str:
     return "bucket int, " + ", ".join(f"{c} binary" for c in columns)
 
 
-def pack(bucket: np.ndarray, buckets: int, **columns: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket that has entries, each column the bytes of its entries in their order."""
+def pack(bucket: np.ndarray, buckets: int, **columns: np.ndarray | None) -> pa.RecordBatch:
+    """One row per bucket that has entries, each column the bytes of its entries in their order; null for None."""
     order = np.argsort(bucket.astype(np.uint16) if buckets <= 65536 else bucket, kind="stable")
     counts = np.bincount(bucket.astype(np.int64), minlength=buckets)
     full = np.flatnonzero(counts)
     ends = np.concatenate([[0], np.cumsum(counts[full])])
     arrays = [pa.array(full.astype(np.int32))]
     for values in columns.values():
+        if values is None:
+            arrays.append(pa.nulls(len(full), pa.binary()))
+            continue
         values = np.ascontiguousarray(values[order])
         offsets = (ends * values.itemsize).astype(np.int64)
         arrays.append(pa.Array.from_buffers(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctrflow.llm import bpe, nearest, topk, toxicity, vectors, warc
+from ctrflow.llm import bpe, jaccard, katz, language, mixing, nearest, substring, topk, toxicity, vectors, warc
 from ctrflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,54 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.warc_records(warc.resolve_revisits(table(spark, sf_dir, "pages"))), path)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_substring")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op3_jaccard")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+@query("op7_katz")
+def katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = katz.katz_scores(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
+    return scores.select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+#: Wanted shares of tokens by domain.
+TARGETS = {"good": 0.90, "low": 0.07, "toxic": 0.03}
+
+
+def labelled_domains(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, text, domain) of labelled documents; of several labels the worst counts."""
+    worst = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").otherwise("good")
+    return documents.select("doc_id", "text").join(worst.select("doc_id", domain.alias("domain")), "doc_id")
+
+
+@query("op9_mixing")
+def mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = mixing.fit_domains(labelled_domains(documents, table(spark, sf_dir, "labels")), list(TARGETS))
+    return mixing.fit_rates(documents, model, TARGETS, anchor="good", highest=4.0)
+
+
+@query("op10_language")
+def document_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.fit_languages(documents)
+    return language.identify(documents, model, declared="lang", host="source")
+
+
+@query("language_of_pages")
+def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of pages: text between tags, the html tag's declaration, suffix and host of the address."""
+    model = language.fit_languages(table(spark, sf_dir, "documents"))
+    text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")
+    return language.identify(
+        table(spark, sf_dir, "pages"), model, "page_id", text, language.markup_language(F.col("html")), language.host_of(F.col("url")))
