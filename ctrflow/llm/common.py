@@ -36,6 +36,7 @@ class Scratch:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` as a Parquet table; the shuffle files of its plan are free to go afterwards."""
+        self.free()
         path = scratch_path(self.spark, f"{self.name}-{name}")
         df.write.option("compression", "zstd").parquet(path)
         self.paths[name] = path

@@ -10,7 +10,7 @@ Counts, model and scores move as packed arrays of word hashes:
    counts on to the table of the model, stored by first word; how often each count occurs gives the discounts;
 2. documents send their pairs to the same buckets by first word. A bucket holds all pairs of its first words, so
    alpha and every seen pair are there; P(w) of a token is added where the token is the first word.
-   Sums per document leave the bucket.
+   Sums per document leave the bucket. Documents take turns in waves, so that the exchange of one wave is on disk.
 
 A frequent word would fill one bucket, so pairs of frequent words (at most 1000, from a sample that decides about nothing
 but places) are spread by their other word. Sums of these few words travel through the driver.
@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,8 @@ BEGIN, END = np.uint64(0x51ED270B0A1F39C1), np.uint64(0xA0761D6478BD642F)
 FREQUENT, SPREAD, LOOKED_AT = 1e-3, 16, 4000
 #: Tokens of one bucket of the model on average, and least number of buckets.
 BUCKET_TOKENS, LEAST_BUCKETS = 12_000_000, 24
-CHUNK = 16 << 20
+#: Parts the documents are scored in.
+WAVES = 3
 
 PAIRS = packed_schema("key", "run", "other", "count", "key_count")
 USES = packed_schema("key", "run", "other", "count", "doc", "ids")
@@ -99,22 +101,26 @@ def history(count, discounted, seen) -> tuple[np.ndarray, np.ndarray]:
     return denominator, (1 - discounted / denominator) / np.maximum(1 - seen, 1e-12)
 
 
-def pack_runs(bucket: np.ndarray, buckets: int, key: np.ndarray, tie: np.ndarray, **columns) -> pa.RecordBatch:
-    """Like :func:`pack`, entries sorted by ``key``, which is sent once per run of equal keys."""
-    order = np.lexsort((tie, key, bucket))
-    bucket, key = bucket[order], key[order]
-    start = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])])) if len(key) else np.zeros(0, int)
+def pack_runs(bucket: np.ndarray, buckets: int, key: np.ndarray, **columns) -> pa.RecordBatch:
+    """Like :func:`pack`, for entries sorted by ``key``, which is sent once per run of equal keys."""
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 65536 else bucket, kind="stable")
+    placed, sorted_ = bucket[order], key[order]
+    start = np.flatnonzero(np.concatenate([[True], (sorted_[1:] != sorted_[:-1]) | (placed[1:] != placed[:-1])])) if len(key) else np.zeros(0, int)
     length = np.diff(np.append(start, len(key))).astype(np.int32)
-    left = pack(bucket[start], buckets, key=key[start], run=length)
-    right = pack(bucket, buckets, **{k: None if v is None else v[order] for k, v in columns.items()})
+    left = pack(placed[start], buckets, key=sorted_[start], run=length)
+    right = pack(bucket, buckets, **columns)
     return pa.RecordBatch.from_arrays([*left.columns, *right.columns[1:]], names=[*left.schema.names, *right.schema.names[1:]])
 
 
-def pairs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, second word, text) of all pairs; a text has one more than words, its begin and end included."""
+def pairs_of(texts: list[bytes]):
+    """(distinct words in order, first word, second word, text) of all pairs, words by their index; a text has one pair more
+    than words, since its begin and end count."""
     h, counts = tokens(texts)
+    words, index = np.unique(np.concatenate([h, np.array([BEGIN, END], np.uint64)]), return_inverse=True)
+    del h
+    begin, end, index = index[-2], index[-1], index[:-2]
     ends = np.cumsum(counts)
-    return np.insert(h, ends - counts, BEGIN), np.insert(h, ends, END), np.repeat(np.arange(len(texts)), counts + 1)
+    return words, np.insert(index, ends - counts, begin), np.insert(index, ends, end), np.repeat(np.arange(len(texts), dtype=np.int32), counts + 1)
 
 
 def place(word: np.ndarray, other: np.ndarray, frequent: np.ndarray, buckets: int) -> np.ndarray:
@@ -124,22 +130,21 @@ def place(word: np.ndarray, other: np.ndarray, frequent: np.ndarray, buckets: in
     return (at % np.uint64(buckets)).astype(np.int64)
 
 
-def counted(first: np.ndarray, second: np.ndarray):
-    """Distinct pairs with their counts, and the pairs' order with where each distinct one starts."""
-    words, number = np.unique(np.concatenate([first, second]), return_inverse=True)
-    key = number[:len(first)].astype(np.int64) * len(words) + number[len(first):]
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-    return words[key[start] // max(1, len(words))], words[key[start] % max(1, len(words))], np.diff(np.append(start, len(key))), order
+def starts_of(key: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
 
 
 def _count_pairs(frequent: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_chunks(batches, CHUNK):
-            first, second, _ = pairs_of(texts)
-            one, two, count, _ = counted(first, second)
-            yield pack_runs(place(two, one, frequent, buckets), buckets, two, one, other=one, count=count.astype(np.int32), key_count=None)
+        for _, texts in text_chunks(batches):
+            words, first, second, _ = pairs_of(texts)
+            key = second * len(words) + first
+            del first, second
+            key.sort()
+            start = starts_of(key)
+            count, key = np.diff(np.append(start, len(key))).astype(np.int32), key[start]
+            one, two = words[key % len(words)], words[key // len(words)]
+            yield pack_runs(place(two, one, frequent, buckets), buckets, two, other=one, count=count, key_count=None)
 
     return run
 
@@ -158,7 +163,9 @@ def _add_counts(frequent: np.ndarray, buckets: int):
         total = np.add.reduceat(count, word)
         known = ~np.isin(two[word], frequent)
         two_count = np.repeat(np.where(known, total, 0), np.diff(np.append(word, len(two))))
-        rows = pack_runs(place(one, two, frequent, buckets), buckets, one, two, other=two, count=count, key_count=two_count)
+        order = np.lexsort((two, one))
+        one_, two_ = one[order], two[order]
+        rows = pack_runs(place(one_, two_, frequent, buckets), buckets, one_, other=two_, count=count[order], key_count=two_count[order])
         codes = [*range(1, DISCOUNTED + 2), *range(101, 100 + DISCOUNTED + 2), 200, 201]
         values = [np.count_nonzero(count == r) for r in range(1, DISCOUNTED + 2)]
         values += [np.count_nonzero(total[known] == r) for r in range(1, DISCOUNTED + 2)] + [total[known].sum(), np.count_nonzero(known)]
@@ -195,17 +202,19 @@ def _frequent_histories(frequent: np.ndarray, stats: Statistics):
 
 def _send_uses(frequent: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_chunks(batches, CHUNK):
-            first, second, text = pairs_of(texts)
-            one, two, count, order = counted(first, second)
+        for ids, texts in text_chunks(batches):
+            words, first, second, text = pairs_of(texts)
+            key = first * len(words) + second
+            del first, second
+            order = np.argsort(key, kind="stable")
+            key, text = key[order], text[order]
+            start = starts_of(key)
+            count, key = np.diff(np.append(start, len(key))).astype(np.int32), key[start]
+            one, two = words[key // len(words)], words[key % len(words)]
             bucket = place(one, two, frequent, buckets)
-            # Pairs are sorted by first word already, so packing keeps uses and pairs in the same order.
-            sort = np.lexsort((two, one, bucket))
-            starts = np.cumsum(count) - count
-            uses = np.repeat(starts[sort] - (np.cumsum(count[sort]) - count[sort]), count[sort]) + np.arange(count.sum())
-            rows = pack_runs(bucket, buckets, one, two, other=two, count=count.astype(np.int32))
-            kind = np.uint16 if len(ids) <= 65536 else np.int32
-            docs = pack(np.repeat(bucket[sort], count[sort]), buckets, doc=text[order][uses].astype(kind))
+            # Both packings keep the order inside a bucket, so the uses of a pair stay where its count says.
+            rows = pack_runs(bucket, buckets, one, other=two, count=count)
+            docs = pack(np.repeat(bucket, count), buckets, doc=text.astype(np.uint16 if len(ids) <= 65536 else np.int32))
             named = pa.array([np.asarray(ids, np.int64).tobytes()] * len(rows), pa.binary())
             yield pa.RecordBatch.from_arrays([*rows.columns, docs.column(1), named], names=[*rows.schema.names, "doc", "ids"])
 
@@ -314,9 +323,17 @@ def katz_scores(df: DataFrame, is_training: Column, id_col: str = "doc_id", text
         under, alpha = history(np.array([r["count"]]), np.array([r["discounted"]]), np.array([r["seen"]]))
         stats.histories[r["word"] % (1 << 64)] = r["count"], float(under[0]), float(alpha[0])
 
-    uses = docs.mapInArrow(_send_uses(frequent, buckets), USES)
-    sums = uses.groupBy("bucket").cogroup(model.where("bucket >= 0").groupBy("bucket")).applyInArrow(
-        _score(stats), "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    # The uses of a wave of documents are on disk at a time.
+    place_ = model.where("bucket >= 0")
+    waves = []
+    for wave in range(WAVES):
+        part = docs.where(F.pmod(F.xxhash64("id", F.lit("wave")), F.lit(WAVES)) == wave)
+        uses = part.mapInArrow(_send_uses(frequent, buckets), USES)
+        waves.append(scratch.stage(uses.groupBy("bucket").cogroup(place_.groupBy("bucket")).applyInArrow(
+            _score(stats), "doc_id long, n_tokens long, n_known long, base_score double, score double"), f"sums-{wave}"))
+        scratch.free()
+    scratch.drop("model")
+    sums = reduce(DataFrame.unionByName, waves)
     end = np.array([stats.counts.get(int(END), 0)])
     return sums.groupBy("doc_id").agg(
         F.sum("n_tokens").alias("n_tokens"), (F.sum("n_known") + int(end[0] > 0)).alias("n_known"), F.lit(stats.n).cast("long").alias("train_tokens"),
