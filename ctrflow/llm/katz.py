@@ -312,7 +312,7 @@ def katz_scores(df: DataFrame, is_training: Column, id_col: str = "doc_id", text
     # About one token in six bytes of text decides on the number of buckets only.
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, math.ceil(size / 6 / BUCKET_TOKENS))
-    first_buckets = 4 * partitions(spark) | 1
+    first_buckets = partitions(spark) | 1
 
     counted_ = training.mapInArrow(_count_pairs(frequent, first_buckets), PAIRS)
     model = scratch.stage(by_bucket(counted_, _add_counts(frequent, buckets), PAIRS, first_buckets), "model")

@@ -179,7 +179,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "repeats")
-    buckets = 4 * partitions(spark) | 1
+    buckets = partitions(spark) | 1
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = one_row_per_id(plain, "doc_id", "text")
     anchors = docs.mapInArrow(_anchors(window, buckets), ENTRIES)
