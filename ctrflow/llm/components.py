@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ctrflow.llm.common import Scratch
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each id has one link at most to a smaller one, and that one has none."""
+    ends = edges.select(F.col("hi").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("lo", F.lit(0), F.lit(1)))
+    found = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return found.where("up > 1 OR up = 1 AND down = 1").isEmpty()
+
+
 def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); the component is its smallest id.
 
@@ -17,21 +25,17 @@ def components(links: DataFrame, scratch: Scratch, name: str = "links") -> DataF
     """
     edges = scratch.stage(
         links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi > lo").distinct(), f"{name}-0")
-    before, round_ = None, 0
-    while True:
-        # Done when every id hangs on one that hangs on none: stars.
-        state = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")), F.lit(0))).first()
-        if state == before or state[0] == 0:
-            break
-        before, round_ = state, round_ + 1
+    round_ = 0
+    while not _stars(edges):
+        round_ += 1
         both = edges.union(edges.select("lo", "hi")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = scratch.stage(large, f"{name}-large")
         smallest = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        joined = large.join(smallest, "hi")
-        small = joined.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(
+        small = large.join(smallest, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi > lo").union(
             smallest.select("hi", F.col("m").alias("lo")))
         edges = scratch.stage(small.distinct(), f"{name}-{round_}")
-        scratch.drop(f"{name}-{round_ - 1}")
+        scratch.drop(f"{name}-{round_ - 1}", f"{name}-large")
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).union(
         edges.select("lo", "lo").distinct())

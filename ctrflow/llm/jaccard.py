@@ -174,14 +174,17 @@ def _against_first(n: int, percent: int):
         for batch in batches:
             ids, texts, firsts, first_texts = (batch.column(i) for i in range(4))
             firsts, first_texts = firsts.to_pylist(), first_texts.cast(pa.binary())
-            result = []
+            result, sizes = [], []
             # The text of the first member repeats in neighbouring rows; its set is made once for them.
             for i, (first, text) in enumerate(zip(firsts, texts.cast(pa.binary()).to_pylist())):
                 if known[0] != first:
                     known = first, shingle_sets([first_texts[i].as_py() or b""], n)[0]
-                result.append(linked(known[1], shingle_sets([text or b""], n)[0], percent))
+                own = shingle_sets([text or b""], n)[0]
+                result.append(linked(known[1], own, percent))
+                sizes.append(len(own))
+            band = band_of(np.array(sizes, np.int64), percent).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [ids, batch.column(2), pa.array(result, pa.bool_())], names=["id", "family", "linked"])
+                [ids, batch.column(2), pa.array(band), pa.array(result, pa.bool_())], names=["id", "family", "band", "linked"])
 
     return run
 
@@ -223,18 +226,13 @@ def _hash_block(column, number):
     return F.pmod(F.xxhash64(column, F.lit("block")), number).cast("int")
 
 
-def _open_tiles(members: DataFrame, percent: int) -> DataFrame:
+def _open_tiles(members: DataFrame) -> DataFrame:
     """(tile, id, text, component, open): members not linked to the first of their family (open) with all members of it.
 
-    ``members`` has (id, text, n, family, linked). Blocks hold about TILE documents of a family, side and size band; a tile is a
+    ``members`` has (id, text, family, band, linked). Blocks hold about TILE documents of a family, side and size band; a tile is a
     block of open members with a block of all members of the same band or a neighbour.
     """
-    edges = bands(percent, 1 << 40)
-    band = F.lit(0)
-    for edge in edges[1:]:  # a chain of sums: the number of edges that the size has reached
-        band = band + (F.col("n") >= F.lit(int(edge))).cast("int")
-    rows = members.withColumn("band", band)
-    rows = rows.withColumn("component", F.when(F.col("linked"), F.col("family")).otherwise(F.col("id")))
+    rows = members.withColumn("component", F.when(F.col("linked"), F.col("family")).otherwise(F.col("id")))
     rows = rows.join(rows.where("NOT linked").select("family").distinct(), "family", "left_semi")
 
     def side(of: DataFrame, name: str):
@@ -268,7 +266,7 @@ def jaccard_components(
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "jaccard")
-    buckets = 4 * partitions(spark) | 1
+    buckets = partitions(spark) | 1
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = one_row_per_id(plain, "doc_id", "text")
     sent = docs.mapInArrow(_send(n, percent, buckets), ENTRIES)
@@ -276,19 +274,18 @@ def jaccard_components(
     sizes = rows.where(f"kind = {SIZE}").select(F.col("a").alias("id"), F.col("b").alias("n"))
     families = components(rows.where(f"kind = {CANDIDATE}").select("a", "b"), scratch, "families")
 
-    families = scratch.stage(families.join(sizes, "id").select("id", F.col("component").alias("family"), "n"), "families")
-    members = docs.join(families, "id").select("id", "text", "n", "family")
+    members = docs.join(families.select("id", F.col("component").alias("family")), "id").select("id", "text", "family")
     members = scratch.stage(members, "members")
     firsts = members.where("id = family").select("family", F.col("text").alias("first_text"))
     checked = members.join(firsts, "family").select("id", "text", "family", "first_text").mapInArrow(
-        _against_first(n, percent), "id long, family long, linked boolean")
+        _against_first(n, percent), "id long, family long, band int, linked boolean")
     checked = scratch.stage(checked, "checked")
-    tiles = _open_tiles(members.join(checked, ["id", "family"]), percent)
+    tiles = _open_tiles(members.join(checked, ["id", "family"]))
     more = tiles.repartition(buckets, "tile").groupBy("tile").applyInArrow(_tile(n, percent), "a long, b long")
     links = rows.where(f"kind = {EQUAL}").select("a", "b").unionByName(
         checked.where("linked AND id <> family").select(F.col("family").alias("a"), F.col("id").alias("b"))).unionByName(more)
     found = components(links, scratch, "links")
-    scratch.drop("families", "members", "checked")
+    scratch.drop("members", "checked")
     named = sizes.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     nameless = plain.where("doc_id IS NULL").select("text").mapInArrow(_nameless(n), "n_shingles long")
