@@ -1,6 +1,6 @@
 """Language identification by Bayesian fusion of evidence.
 
-The text's likelihood comes from letter trigrams of its words. It is multiplied with the probability of the declared
+The text's likelihood comes from letter trigrams (of bytes) of its words. It is multiplied with the probability of the declared
 language given the true one, and with a prior of the host, which is smoothed by that of its address suffix, which is
 smoothed by that of all rows. Priors and the reliability of declarations are grouped counts of what the text
 alone says; a row is taken out of its own prior. One more class stands for other languages and
@@ -14,12 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctrflow.llm.bpe import _arrow_type
-from ctrflow.llm.common import MEMO_WORDS, Scratch, text_chunks
+from ctrflow.llm.common import Scratch, text_chunks
 
 #: Hashed trigrams; labelled rows the likelihoods are fitted on at most (drawn by a hash of the id).
 TRIGRAMS, MAX_ROWS = 1 << 16, 8_000
@@ -33,13 +32,38 @@ OTHER = "und"
 EDGES = b".,;:!?()[]{}<>\"'|*#%&-_/\\=+~^$@0123456789"
 
 
-def trigrams(word: bytes) -> np.ndarray:
-    """Hashed letter trigrams of a word, its edges included."""
-    word = word.strip(EDGES).decode("utf-8", "replace").lower()
-    if not word:
-        return np.zeros(0, np.int64)
-    word = f" {word} "
-    return np.array([xxhash.xxh32_intdigest(word[i:i + 3].encode()) % TRIGRAMS for i in range(len(word) - 2)], np.int64)
+def trigrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed trigrams (of bytes) of words, their edges included, one word after the other, and how many each word has.
+
+    Words are lower-cased; what is left of a word without EDGES has as many trigrams as bytes, or none.
+    """
+    plain = b" ".join([w.strip(EDGES) for w in words]).decode("utf-8", "replace").lower().encode()
+    row = np.frombuffer(b" " + plain + b" ", np.uint8).astype(np.uint32)
+    code = row[:-2] << np.uint32(16) | row[1:-1] << np.uint32(8) | row[2:]
+    inner = row[1:-1] != 32  # a trigram belongs to the word of its middle byte
+    word = np.cumsum(~inner)[inner]
+    hashed = (code[inner] * np.uint32(0x9E3779B1)) >> np.uint32(16)
+    return hashed.astype(np.int64), np.bincount(word, minlength=len(words)) if len(words) else np.zeros(0, np.int64)
+
+
+def counted_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words of texts, each word of the texts by its index, and the number of words of each text."""
+    split = [t.split() for t in texts]
+    index: dict[bytes, int] = {}
+    for words in split:
+        for w in words:
+            if w not in index:
+                index[w] = len(index)
+    counts = np.fromiter(map(len, split), np.int64, len(split))
+    at = np.concatenate([np.fromiter(map(index.__getitem__, words), np.int32, len(words)) for words in split] or [np.zeros(0, np.int32)])
+    return list(index), at, counts
+
+
+def sums_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of ``counts[i]`` consecutive rows of ``values``."""
+    total = np.concatenate([np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
 
 
 @dataclass
@@ -56,24 +80,14 @@ class LanguageModel:
         kind = _arrow_type(plain, "row")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table, memo = shared.value, {}
-            nothing = np.zeros(table.shape[0] + 1)
-            for rows, texts in text_chunks(batches):
-                sums = []
-                for text in texts:
-                    values = []
-                    for w in text.split():
-                        v = memo.get(w)
-                        if v is None:
-                            at = trigrams(w)
-                            v = memo[w] = np.append(table[:, at].sum(axis=1), 1) if len(at) else nothing
-                        values.append(v)
-                    sums.append(np.sum(values, axis=0) if values else nothing)
-                    if len(memo) > MEMO_WORDS // 2:
-                        memo.clear()
-                sums = np.array(sums)
+            table = shared.value.T
+            for rows, texts in text_chunks(batches, 4 << 20):
+                words, at, counts = counted_words(texts)
+                hashed, size = trigrams(words)
+                of_word = np.column_stack([sums_by(table[hashed], size), size > 0])
+                sums = sums_by(of_word[at], counts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, kind), pa.array(sums[:, -1].astype(np.int64)), pa.array(list(sums[:, :-1]), pa.list_(pa.float64()))],
+                    [pa.array(rows, kind), pa.array(np.rint(sums[:, -1]).astype(np.int64)), pa.array(list(sums[:, :-1]), pa.list_(pa.float64()))],
                     names=["row", "n_words", "ll"])
 
         schema = f"row {plain.schema['row'].dataType.simpleString()}, n_words long, ll array<double>"
@@ -93,10 +107,12 @@ def fit_languages(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for labels, texts in text_chunks(batches):
-            for label, text in zip(labels, texts):
+            for label in set(labels):
+                words, at, _ = counted_words([t for t, x in zip(texts, labels) if x == label])
+                hashed, size = trigrams(words)
+                times = np.repeat(np.bincount(at, minlength=len(words)), size)
                 mine = total.setdefault(label, np.zeros(TRIGRAMS, np.int64))
-                for w in text.split():
-                    np.add.at(mine, trigrams(w), 1)
+                mine += np.bincount(hashed, times, TRIGRAMS).astype(np.int64)
         for label, counts in total.items():
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays(
