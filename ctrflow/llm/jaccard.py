@@ -30,8 +30,8 @@ from ctrflow.llm.common import (
 )
 from ctrflow.llm.components import components
 
-#: Documents on each side of a tile, on average.
-TILE = 100
+#: Shingles and documents on each side of a tile, on average.
+TILE_SHINGLES, TILE_DOCUMENTS = 400_000, 2000
 #: Kinds of rows: a candidate pair, an equal pair, a document with its set size.
 CANDIDATE, EQUAL, SIZE = 0, 1, 2
 ENTRIES = packed_schema("kind", "hash", "id", "other")
@@ -184,7 +184,8 @@ def _against_first(n: int, percent: int):
                 sizes.append(len(own))
             band = band_of(np.array(sizes, np.int64), percent).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [ids, batch.column(2), pa.array(band), pa.array(result, pa.bool_())], names=["id", "family", "band", "linked"])
+                [ids, batch.column(2), pa.array(sizes, pa.int64()), pa.array(band), pa.array(result, pa.bool_())],
+                names=["id", "family", "size", "band", "linked"])
 
     return run
 
@@ -227,26 +228,27 @@ def _hash_block(column, number):
 
 
 def _open_tiles(members: DataFrame) -> DataFrame:
-    """(tile, id, text, component, open): members not linked to the first of their family (open) with all members of it.
+    """(tile, id, component, open): members not linked to the first of their family (open) with all members of it.
 
-    ``members`` has (id, text, family, band, linked). Blocks hold about TILE documents of a family, side and size band; a tile is a
-    block of open members with a block of all members of the same band or a neighbour.
+    ``members`` has (id, family, size, band, linked). Blocks hold documents of a family, side and size band; a tile is a block
+    of open members with a block of all members of the same band or a neighbour. Only ids are placed here; texts follow.
     """
     rows = members.withColumn("component", F.when(F.col("linked"), F.col("family")).otherwise(F.col("id")))
     rows = rows.join(rows.where("NOT linked").select("family").distinct(), "family", "left_semi")
 
     def side(of: DataFrame, name: str):
-        number = of.groupBy("family", "band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("number"))
+        number = F.greatest(F.sum("size") / TILE_SHINGLES, F.count("*") / TILE_DOCUMENTS)
+        number = of.groupBy("family", "band").agg(F.ceil(number).cast("int").alias("number"))
         blocks = number.select("family", F.col("band").alias(f"{name}_band"), F.explode(F.sequence(F.lit(0), F.col("number") - 1)).alias(f"{name}_block"))
         placed = of.join(number, ["family", "band"]).select(
-            "family", "id", "text", "component", F.col("band").alias(f"{name}_band"), _hash_block("id", F.col("number")).alias(f"{name}_block"))
+            "family", "id", "component", F.col("band").alias(f"{name}_band"), _hash_block("id", F.col("number")).alias(f"{name}_block"))
         return blocks, placed
 
     blocks_up, up = side(rows.where("NOT linked"), "up")
     blocks_low, low = side(rows, "low")
     tiles = blocks_up.join(blocks_low, "family").where("abs(up_band - low_band) <= 1").withColumn(
         "tile", F.xxhash64("family", "up_band", "up_block", "low_band", "low_block"))
-    columns = ["tile", "id", "text", "component"]
+    columns = ["tile", "id", "component"]
     return up.join(tiles, ["family", "up_band", "up_block"]).select(*columns, F.lit(True).alias("open")).unionByName(
         low.join(tiles, ["family", "low_band", "low_block"]).select(*columns, F.lit(False).alias("open")))
 
@@ -278,14 +280,15 @@ def jaccard_components(
     members = scratch.stage(members, "members")
     firsts = members.where("id = family").select("family", F.col("text").alias("first_text"))
     checked = members.join(firsts, "family").select("id", "text", "family", "first_text").mapInArrow(
-        _against_first(n, percent), "id long, family long, band int, linked boolean")
+        _against_first(n, percent), "id long, family long, size long, band int, linked boolean")
     checked = scratch.stage(checked, "checked")
-    tiles = _open_tiles(members.join(checked, ["id", "family"]))
-    more = tiles.repartition(buckets, "tile").groupBy("tile").applyInArrow(_tile(n, percent), "a long, b long")
+    tiles = scratch.stage(_open_tiles(checked), "tiles").join(members.select("id", "text"), "id")
+    more = scratch.stage(tiles.groupBy("tile").applyInArrow(_tile(n, percent), "a long, b long"), "more")
+    scratch.drop("members", "tiles")
     links = rows.where(f"kind = {EQUAL}").select("a", "b").unionByName(
         checked.where("linked AND id <> family").select(F.col("family").alias("a"), F.col("id").alias("b"))).unionByName(more)
     found = components(links, scratch, "links")
-    scratch.drop("members", "checked")
+    scratch.drop("checked", "more")
     named = sizes.join(found, "id", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     nameless = plain.where("doc_id IS NULL").select("text").mapInArrow(_nameless(n), "n_shingles long")
