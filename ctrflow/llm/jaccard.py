@@ -2,7 +2,7 @@
 
 Sizes fall into bands, so that two sets that may link lie in the same band or in neighbouring ones. Two sets
 of a band that link differ in fewer than D elements; the hash range is cut into a little more than D segments, so
-at least one segment that is not empty is equal in both. Documents with an equal segment are candidates and their
+at least one segment is equal in both. Documents with an equal segment are candidates and their
 groups (connected candidates) are verified:
 
 1. every member against the first of its group;
@@ -32,6 +32,8 @@ from ctrflow.llm.components import components
 
 #: Shingles and documents on each side of a tile, on average.
 TILE_SHINGLES, TILE_DOCUMENTS = 400_000, 2000
+#: Documents looked at for common shingles, and documents among them that make a shingle common.
+LOOKED_AT, LEAST_COMMON = 4000, 3
 #: Kinds of rows: a candidate pair, an equal pair, a document with its set size.
 CANDIDATE, EQUAL, SIZE = 0, 1, 2
 ENTRIES = packed_schema("kind", "hash", "id", "other")
@@ -70,27 +72,57 @@ def band_of(sizes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def segments(band: int, percent: int) -> tuple[int, int]:
-    """(segments of a band, segments that must not be empty for a set to be sure to share one)."""
-    most = int(bands(percent, 256)[band + 1] if band + 1 < len(bands(percent, 256)) else bands(percent, 1 << 40)[band + 1]) - 1
+    """(segments of a band, segments that a set must have to be sure to share one)."""
+    edges = bands(percent, 256)
+    most = int(edges[band + 1] if band + 1 < len(edges) else bands(percent, 1 << 40)[band + 1]) - 1
     needed = 2 * most * (100 - percent) // (100 + percent) + 1
-    return needed + (needed // 20 + 2 if needed > 1 else 0), needed
+    return needed + (needed * (100 - percent) // 80 + 2 if needed > 1 else 0), needed
 
 
-def signatures(found: np.ndarray, band: int, percent: int) -> np.ndarray:
-    """Hashes of the segments of one set (sorted, not empty) as a member of ``band``.
-
-    Empty segments have none, unless the set has so many of them that it needs them too.
-    """
+def signatures(found: np.ndarray, band: int, percent: int, kind: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Hashes of the segments of one set (sorted) as a member of ``band``, which of them have elements, and whether these are
+    enough. ``kind`` keeps apart what must not meet."""
     count, needed = segments(band, percent)
     cut = np.searchsorted(found >> np.uint64(32), np.arange(1, count, dtype=np.uint64) * np.uint64(1 << 32) // np.uint64(count))
     cut = np.concatenate([[0], cut, [len(found)]])
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(found + np.uint64(1)), dtype=np.uint64)])
-    value = mix(sums[cut[1:]] - sums[cut[:-1]] + mix(np.arange(count, dtype=np.uint64) + np.uint64(band << 40) + np.uint64(BASE)))
-    full = cut[1:] > cut[:-1]
-    return value[full] if np.count_nonzero(full) >= needed else value
+    salt = np.uint64((band << 40) + (kind << 60)) + np.uint64(BASE)
+    value = mix(sums[cut[1:]] - sums[cut[:-1]] + mix(np.arange(count, dtype=np.uint64) + salt))
+    held = np.diff(cut) > 0
+    return value, held, np.count_nonzero(held) >= needed
+
+
+def candidate_hashes(found: np.ndarray, rare: np.ndarray, band: int, percent: int) -> np.ndarray:
+    """What two sets that link have in common at least one of.
+
+    The bound on differing elements holds for the elements outside any fixed set of shingles too, so common ones are left
+    out (``rare``), which keeps documents apart that only share a passage. Empty segments do not count. A set with too few
+    others also sends those of all its elements, and the empty ones too if even these are too few.
+    """
+    value, held, enough = signatures(rare, band, percent, 0)
+    out = [value[held]]
+    if not enough:
+        value, held, enough = signatures(found, band, percent, 1)
+        out.append(value[held] if enough else value)
+    return np.concatenate(out)
+
+
+def common_shingles(docs: DataFrame, n: int) -> np.ndarray:
+    """Hashes of shingles that at least LEAST_COMMON of about LOOKED_AT documents share. Any set gives the same result; this
+    one decides how many candidates there are."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_chunks(batches):
+            sets = shingle_sets(texts, n)
+            hashes, counts = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts)], names=["hash", "count"])
+
+    sample = docs.sample(min(1.0, LOOKED_AT / max(1, docs.count())), seed=7)
+    counts = sample.mapInArrow(run, "hash long, count long").groupBy("hash").agg(F.sum("count").alias("count"))
+    found = counts.where(f"count >= {LEAST_COMMON}").select("hash").toArrow()
+    return np.sort(np.asarray(found.column("hash")).astype(np.int64).view(np.uint64))
 
 
-def _send(n: int, percent: int, buckets: int):
+def _send(n: int, percent: int, buckets: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_chunks(batches):
             ids = np.asarray(ids, np.int64)
@@ -105,9 +137,12 @@ def _send(n: int, percent: int, buckets: int):
             own = full[copy_of == full]
             band = band_of(sizes, percent)
             hashes, rows = [], []
+            known = common.value
             for i in own:
+                found = np.minimum(np.searchsorted(known, sets[i]), max(0, len(known) - 1))
+                rare = sets[i][known[found] != sets[i]] if len(known) else sets[i]
                 for b in (band[i], band[i] + 1):
-                    hashes.append(signatures(sets[i], int(b), percent))
+                    hashes.append(candidate_hashes(sets[i], rare, int(b), percent))
                     rows.append(np.full(len(hashes[-1]), i))
             h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
@@ -271,7 +306,8 @@ def jaccard_components(
     buckets = partitions(spark) | 1
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = one_row_per_id(plain, "doc_id", "text")
-    sent = docs.mapInArrow(_send(n, percent, buckets), ENTRIES)
+    common = spark.sparkContext.broadcast(common_shingles(docs, n))
+    sent = docs.mapInArrow(_send(n, percent, buckets, common), ENTRIES)
     rows = scratch.stage(by_bucket(sent, _pairs, "kind int, a long, b long", buckets), "pairs")
     sizes = rows.where(f"kind = {SIZE}").select(F.col("a").alias("id"), F.col("b").alias("n"))
     families = components(rows.where(f"kind = {CANDIDATE}").select("a", "b"), scratch, "families")
