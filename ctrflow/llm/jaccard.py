@@ -31,7 +31,7 @@ from ctrflow.llm.common import (
 from ctrflow.llm.components import components
 
 #: Shingles and documents on each side of a tile, on average.
-TILE_SHINGLES, TILE_DOCUMENTS = 400_000, 2000
+TILE_SHINGLES, TILE_DOCUMENTS = 2_000_000, 4000
 #: Documents looked at for common shingles, and documents among them that make a shingle common.
 LOOKED_AT, LEAST_COMMON = 4000, 3
 #: Kinds of rows: a candidate pair, an equal pair, a document with its set size.
