@@ -440,7 +440,7 @@ def stream_feature_ingest(spark, sf_dir):
     )
     out = scratch_path(spark, "stream-out")
     streams.stream_ingest(_stream_of(rows, spark, "session_id"), out, f"{out}-checkpoint").awaitTermination()
-    return spark.read.parquet(out)
+    return ft.read_features(spark, out)
 
 
 @query("stream_latest_per_key", sql(

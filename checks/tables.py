@@ -424,7 +424,7 @@ def register_model(spark, sf_dir):
     path = scratch_path(spark, "registry")
     candidates = fx.registry_rows(fx.clean(spark, sf_dir)).drop("status")
     registry.register_models(registry.quality_gate(candidates), path)
-    return fx.rounded(registry.read_registry(spark, path))
+    return fx.rounded(registry.read_registry(spark, path)).drop("changed")
 
 
 @query("latest_approved", sql(

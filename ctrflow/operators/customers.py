@@ -34,9 +34,10 @@ def attach_features(
 ) -> DataFrame:
     """Features stored elsewhere, by key; rows without any keep nulls and none is multiplied.
 
-    A key that is repeated in the feature table counts once, with the largest feature values.
+    A key that is repeated in the feature table counts once, with its largest record (compared column by column from the
+    first, nulls lowest).
     """
     keys = list(keys)
     rest = [c for c in features.columns if c not in keys]
-    unique = features.groupBy(*keys).agg(*[F.max(c).alias(c) for c in rest])
+    unique = features.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_record")).select(*keys, "_record.*")
     return df.join(unique, keys, "left")

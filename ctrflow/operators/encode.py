@@ -75,11 +75,18 @@ class Encoder:
         return sorted(r[0] for r in self.mapping.select("column").distinct().collect())
 
     def save(self, path: str) -> None:
-        self.mapping.write.mode("overwrite").parquet(path)
+        """Writes the mapping; the default is a row without a column."""
+        rows = self.mapping
+        if self.default is not None:
+            default = rows.sparkSession.range(1).select(F.lit(float(self.default)).alias("code"))
+            rows = rows.unionByName(default, allowMissingColumns=True)
+        rows.write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> Encoder:
-        return Encoder(spark.read.parquet(path))
+        rows = spark.read.parquet(path)
+        default = rows.where(F.col("column").isNull()).select("code").first()
+        return Encoder(rows.where(F.col("column").isNotNull()), default and default["code"])
 
 
 def _as_mapping(df: DataFrame, columns: Sequence[str], tally: DataFrame, code: Column, *more) -> DataFrame:
@@ -150,7 +157,7 @@ def fit_ordinal_ctr(
 ) -> Encoder:
     """Codes 0..n-1 by ascending click rate, equal rates by value."""
     columns = list(columns)
-    rates = value_tally(df, columns, (F.sum(target) / F.count(row_id)).alias("_ctr"))
+    rates = value_tally(df, columns, F.try_divide(F.sum(target), F.count(row_id)).alias("_ctr"))
     return Encoder(_numbered_mapping(df, columns, rates, ["_ctr", *columns], max_labels))
 
 
@@ -164,6 +171,19 @@ class TargetEncoder:
     fold_means: DataFrame  # fold, code of an unseen label
     fold_of: Column
 
+    def save(self, path: str) -> None:
+        self.full.save(f"{path}/full")
+        self.folds.write.mode("overwrite").parquet(f"{path}/folds")
+        self.fold_means.write.mode("overwrite").parquet(f"{path}/fold_means")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, row_id: str = ID, folds: int = FOLDS) -> TargetEncoder:
+        """A saved encoder; ``row_id`` and ``folds`` as it was fitted with."""
+        return TargetEncoder(
+            Encoder.load(spark, f"{path}/full"), spark.read.parquet(f"{path}/folds"),
+            spark.read.parquet(f"{path}/fold_means"), F.pmod(F.col(row_id), F.lit(folds)).cast("int"),
+        )
+
     def transform(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         """For validation, test and scoring rows."""
         return self.full.transform(df, columns)
@@ -189,12 +209,13 @@ class TargetEncoder:
 def _smoothed(n: Column, s: Column, q: Column, mean: Column, variance: Column) -> Column:
     """Shrinks a label's mean towards the global mean, more so the less the label tells.
 
-    n, s and q are the label's number of rows, sum and sum of squares of the target.
+    n, s and q are the label's number of rows, sum and sum of squares of the target. Without rows, or where neither the
+    label nor all rows vary, the code is the global mean.
     """
-    own = s / n
-    spread = (q - s * own) / n
-    weight = variance * n / (variance * n + spread)
-    return F.when(n > 0, F.coalesce(weight * own + (1 - weight) * mean, mean)).otherwise(mean)
+    own = F.try_divide(s, n)
+    spread = F.try_divide(q - s * own, n)
+    weight = F.coalesce(F.try_divide(variance * n, variance * n + spread), F.lit(0.0))
+    return F.coalesce(weight * own + (1 - weight) * mean, mean)
 
 
 def fit_target(
@@ -237,8 +258,9 @@ def fit_target(
     )
     fold_stats = fold_totals.select(
         "_fold",
-        (F.col("_s") / F.col("_n")).alias("_mean"),
-        (F.col("_q") / F.col("_n") - F.pow(F.col("_s") / F.col("_n"), 2)).alias("_variance"),
+        # A fold without others takes the mean of all rows.
+        F.coalesce(F.try_divide("_s", "_n"), F.lit(mean)).alias("_mean"),
+        F.coalesce(F.try_divide("_q", "_n") - F.pow(F.try_divide("_s", "_n"), 2), F.lit(variance)).alias("_variance"),
     )
     label = Window.partitionBy("column", *columns)
     others = per_fold.select(

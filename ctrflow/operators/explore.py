@@ -49,7 +49,7 @@ def clicks_by(df: DataFrame, column: str, target: str = TARGET) -> DataFrame:
 def category_ctr(
     df: DataFrame, column: str, target: str = TARGET, row_id: str = ID
 ) -> DataFrame:
-    """Sessions, clicks and click rate per category."""
+    """Sessions, clicks and click rate per category; the rate is null where no row has a session."""
     return (
         df.where(F.col(column).isNotNull())
         .groupBy(column)
@@ -57,7 +57,7 @@ def category_ctr(
             F.count(row_id).alias("no_of_sessions"),
             F.coalesce(F.sum(target), F.lit(0)).alias("no_of_clicks"),
         )
-        .withColumn("ctr", F.col("no_of_clicks") / F.col("no_of_sessions"))
+        .withColumn("ctr", F.try_divide("no_of_clicks", "no_of_sessions"))
     )
 
 

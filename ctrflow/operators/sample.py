@@ -45,6 +45,8 @@ def downsample(
         .orderBy("_bucket")
         .first()
     )
+    if not df.where(F.col(key).isNull() & (F.col(target) == 0)).isEmpty():
+        raise ValueError(f"{key} is null in rows of class 0")
     minority = F.col(target) == 1
     if cut is None:
         n_one = df.where(minority).limit(1).count()

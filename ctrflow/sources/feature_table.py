@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -18,11 +19,39 @@ def append_features(df: DataFrame, path: str, event_time: str = EVENT_TIME) -> N
     with_date.write.mode("append").partitionBy("event_date").parquet(path)
 
 
+def stream_path(path: str) -> str:
+    """Where streams put their files. The sink keeps a log there that hides all other files of its folder from readers,
+    so it is a folder of its own, which readers of the table itself pass over for its underscore."""
+    return f"{path.rstrip('/')}/_stream"
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything but hidden files in the folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return False
+    names = [f.getPath().getName() for f in system.listStatus(folder)]
+    return any(not n.startswith(("_", ".")) for n in names)
+
+
 def read_features(
     spark: SparkSession, path: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
-    """The whole table, or the loads of a date range (by partition pruning)."""
-    df = spark.read.parquet(path)
+    """The whole table, or the loads of a date range (by partition pruning).
+
+    Loads and streams lie side by side. A column that only some of them have is null in the others; one whose types
+    differ raises.
+    """
+    parts = [p for p in (path, stream_path(path)) if _has_files(spark, p)]
+    if not parts:
+        raise FileNotFoundError(f"no feature table at {path}")
+    frames = [spark.read.option("mergeSchema", True).parquet(p) for p in parts]
+    types: dict[str, str] = {}
+    for name, kind in (x for f in frames for x in f.dtypes):
+        if types.setdefault(name, kind) != kind:
+            raise ValueError(f"{name} is {types[name]} in some files of {path} and {kind} in others")
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     if since:
         df = df.where(F.col("event_date") >= F.lit(since).cast("date"))
     if until:
@@ -62,18 +91,20 @@ def ingest(
 def latest_per_key(
     df: DataFrame, key: str, event_time: str = EVENT_TIME, then: Sequence[str] = ()
 ) -> DataFrame:
-    """The newest record per key; ``then`` settles equal times, the largest first.
+    """The newest record per key; ``then`` settles equal times, the largest first, and after it a hash of the record.
 
     Spark drops all but the first rank of each input partition before the shuffle.
     """
-    order = [F.desc(event_time), *[F.desc(c) for c in then]]
+    order = [F.desc(event_time), *[F.desc(c) for c in then], F.xxhash64(*df.columns)]
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def get_record(df: DataFrame, key: str, value, event_time: str = EVENT_TIME) -> DataFrame:
+def get_record(
+    df: DataFrame, key: str, value, event_time: str = EVENT_TIME, then: Sequence[str] = ()
+) -> DataFrame:
     """The newest record of one key; the filter reaches the scan. Empty when there is none."""
-    return latest_per_key(df.where(F.col(key) == F.lit(value)), key, event_time)
+    return latest_per_key(df.where(F.col(key) == F.lit(value)), key, event_time, then)
 
 
 def lookup_default(

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 PENDING, APPROVED, REJECTED = "PendingManualApproval", "Approved", "Rejected"
 # ---- end of fixed values --------------------------------------------------------------------
 REGISTRY = (
-    "model_group string, version int, model_path string, status string, created timestamp_ntz, f1 double"
+    "model_group string, version int, model_path string, status string, created timestamp_ntz, f1 double, "
+    "changed timestamp_ntz"
 )
 COMPARISONS = {">=": operator.ge, ">": operator.gt, "<=": operator.le, "<": operator.lt}
 F1_THRESHOLD = 0.2
@@ -32,19 +33,33 @@ def register_models(df: DataFrame, path: str, status: str = PENDING) -> None:
     """Appends candidates to the registry; without a status of their own they await approval."""
     if "status" not in df.columns:
         df = df.withColumn("status", F.lit(status))
+    if "changed" not in df.columns:
+        df = df.withColumn("changed", F.col("created"))
     names = [part.split()[0] for part in REGISTRY.split(", ")]
     df.select(*names).write.mode("append").parquet(path)
 
 
+def set_status(registry: DataFrame, path: str, group: str, version: int, status: str, changed: Column) -> None:
+    """Appends a change of status of a version that ``registry`` has."""
+    known = registry.where((F.col("model_group") == group) & (F.col("version") == version)).drop("status", "changed").limit(1)
+    register_models(known.withColumns({"status": F.lit(status), "changed": changed.cast("timestamp_ntz")}), path)
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REGISTRY).parquet(path)
 
 
 def latest_approved(registry: DataFrame) -> DataFrame:
-    """The newest approved version of every group that has one."""
+    """The newest approved version of every group that has one.
+
+    The table is append-only: a change of status is a new row of the version with the time of the change. The last change
+    counts; of changes at one time the one that is not an approval.
+    """
     newest = F.struct("created", "version", "model_path", "f1")
+    last = F.struct(F.coalesce("changed", "created").alias("at"), (F.col("status") != APPROVED).alias("not_approved"), "*")
+    current = registry.groupBy("model_group", "version").agg(F.max(last).alias("_last")).select("_last.*")
     return (
-        registry.where(F.col("status") == APPROVED)
+        current.where(F.col("status") == APPROVED)
         .groupBy("model_group")
         .agg(F.max(newest).alias("_newest"))
         .select("model_group", "_newest.version", "_newest.model_path", "_newest.created", "_newest.f1")

@@ -18,6 +18,7 @@ from ctrflow.operators.conform import EVENT_TIME
 from ctrflow.operators.encode import Encoder
 from ctrflow.plans.scoring import request_features, score_requests
 from ctrflow.schema import USER
+from ctrflow.sources.feature_table import stream_path
 from ctrflow.sources.prediction_log import sample_log
 
 NOW = {"availableNow": True}
@@ -44,11 +45,11 @@ def _to_parquet(
 def stream_ingest(
     df: DataFrame, path: str, checkpoint: str, event_time: str = EVENT_TIME, trigger: dict = NOW
 ) -> StreamingQuery:
-    """Appends every micro-batch to the offline table."""
+    """Appends every micro-batch to the offline table, beside its batch loads (see ``stream_path``)."""
     dated = df.withColumn(
         "event_date", F.to_date(F.substring(F.col(event_time).cast("string"), 1, 10))
     )
-    return _to_parquet(dated, path, checkpoint, trigger, "event_date")
+    return _to_parquet(dated, stream_path(path), checkpoint, trigger, "event_date")
 
 
 def latest_changes(
