@@ -312,10 +312,11 @@ def jaccard_components(
     sizes = rows.where(f"kind = {SIZE}").select(F.col("a").alias("id"), F.col("b").alias("n"))
     families = components(rows.where(f"kind = {CANDIDATE}").select("a", "b"), scratch, "families")
 
-    members = docs.join(families.select("id", F.col("component").alias("family")), "id").select("id", "text", "family")
+    # Both small sides grow with the documents, so neither is left to be broadcast: the plan is the same at every size.
+    members = docs.join(families.select("id", F.col("component").alias("family")).hint("merge"), "id").select("id", "text", "family")
     members = scratch.stage(members, "members")
     firsts = members.where("id = family").select("family", F.col("text").alias("first_text"))
-    checked = members.join(firsts, "family").select("id", "text", "family", "first_text").mapInArrow(
+    checked = members.join(firsts.hint("merge"), "family").select("id", "text", "family", "first_text").mapInArrow(
         _against_first(n, percent), "id long, family long, size long, band int, linked boolean")
     checked = scratch.stage(checked, "checked")
     tiles = scratch.stage(_open_tiles(checked), "tiles").join(members.select("id", "text"), "id")
