@@ -1,11 +1,11 @@
 """Mixing documents to target weights of domains, with soft membership.
 
-A naive Bayes classifier, fitted on a labelled table, gives each document a probability of every domain. Rates
+A naive Bayes classifier of telling words, fitted on a labelled table, gives each document a probability of every domain. Rates
 r >= 0 of documents (how often each is taken, in expectation) are fitted so that the expected tokens of
 each domain, sum of r w p_k, match their targets: least squares by projected gradient, in which a step needs
 one sum per domain over all documents and moves each document by its own probabilities. The few domains'
 gradients are scaled by the inverse of the matrix of second moments of p, which makes one step exact where no rate meets
-its bounds; a step that does not help is followed by plain ones. Everything is DataFrame expressions and grouped sums.
+its bounds; a step that does not help is taken back and plain ones follow. Everything is DataFrame expressions and grouped sums.
 """
 
 from __future__ import annotations
@@ -23,7 +23,10 @@ from ctrflow.llm.common import Scratch
 #: Hashed words; labelled rows the classifier is fitted on at most (drawn by a hash of the id).
 BUCKETS, MAX_ROWS = 1 << 14, 8_000
 #: Weight of the words' log likelihood, since words are not independent.
-TEMPER = 0.3
+TEMPER = 0.5
+#: Counts added to found and expected ones; log ratio of the two below which a word says nothing. Words that merely go with the
+#: language or topic of a domain lie below it; summed over a long text they would outweigh the words that matter.
+DAMP, LEAST_RATIO = 3.0, math.log(3)
 #: Steps of the gradient at most, steps between staged tables, and the relative error that ends them.
 STEPS, STAGED, TOLERANCE = 40, 8, 1e-4
 
@@ -38,7 +41,7 @@ def bucket(word: Column) -> Column:
 
 @dataclass
 class DomainModel:
-    """Log probability of each hashed word in each domain, and of each domain."""
+    """Log ratio of each hashed word in each domain against all, zero for most, and log probability of each domain."""
 
     domains: list[str]
     words: list[list[float]]
@@ -78,7 +81,7 @@ def fit_domains(
 ) -> DomainModel:
     """A classifier of ``domains`` from at most about ``max_rows`` labelled rows; other labels and nulls are left out.
 
-    A domain without rows is as likely as one with a single word.
+    A domain without rows has the probability of its prior alone.
     """
     rows = df.where(F.col(label_col).isin(domains)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("domain"))
     share = min(1.0, max_rows / max(1, rows.count()))
@@ -88,10 +91,12 @@ def fit_domains(
     for r in one.groupBy("domain", bucket(F.col("word")).alias("bucket")).count().collect():  # at most domains x BUCKETS
         counts[r["domain"]][r["bucket"]] = r["count"]
     n_rows = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
-    table = []
-    for d in domains:
-        total = sum(counts[d].values()) + 0.5 * BUCKETS
-        table.append([round(math.log((counts[d].get(b, 0) + 0.5) / total), 4) for b in range(BUCKETS)])
+    whole = np.zeros((len(domains), BUCKETS))
+    for i, d in enumerate(domains):
+        whole[i, list(counts[d])] = list(counts[d].values())
+    expected = whole.sum(axis=1, keepdims=True) * whole.sum(axis=0) / max(1.0, whole.sum())
+    ratio = np.log((whole + DAMP) / (expected + DAMP))
+    table = np.where(np.abs(ratio) >= LEAST_RATIO, ratio, 0.0).round(4).tolist()
     all_rows = sum(n_rows.values()) + len(domains)
     return DomainModel(domains, table, [math.log((n_rows.get(d, 0) + 1) / all_rows) for d in domains])
 
@@ -131,20 +136,29 @@ def fit_rates(
     # The largest row sum bounds the largest eigenvalue; its inverse is a step that cannot overshoot.
     plain = np.eye(k) / max(moments.sum(axis=1).max(), 1e-9)
     scaled = np.linalg.inv(moments + 1e-6 * np.eye(k))
-    frame, best, still = rows, math.inf, 0
+    frame, rate = rows, F.col("rate")
+    best, best_off, value = rows, None, math.inf
+    reach, fast, depth, best_depth, still = 1.0, True, 0, 0, 0
     for i in range(1, steps + 1):
-        off = np.array(sums(frame, *[w * F.col(c) * F.col("rate") / tokens for c in names])) - goal
-        error = float(np.abs(off).max())
-        if error <= TOLERANCE * max(goal.sum(), 1e-9) or still > 3:
+        off = np.array(sums(frame, *[w * F.col(c) * rate / tokens for c in names])) - goal
+        now = float(off @ off)
+        if now < value:
+            still = still + 1 if now > 0.999 * value else 0
+            best, best_off, value, best_depth = frame, off, now, depth
+            # After a step that helped the plain ones reach further, and the scaled one is tried anew from time to time.
+            reach, fast = (reach, True) if fast else (2 * reach, i % 4 == 0)
+        else:
+            # Back to the best rates; a plain step of reach one cannot fail, unless these are the best there are.
+            still = still + 1 if not fast and reach <= 1 else still
+            reach, fast = (reach, False) if fast else (max(1.0, reach / 4), False)
+        if float(np.abs(best_off).max()) <= TOLERANCE * max(goal.sum(), 1e-9) or still > 2:
             break
-        still = 0 if error < 0.99 * best else still + 1
-        move = (plain if still else scaled) @ off
-        best = min(best, error)
+        if best_depth >= STAGED:
+            best, best_depth = scratch.stage(best, f"rates-{i}"), 0
+        move = (scaled if fast else reach * plain) @ best_off
         change = sum((F.col(c) * float(x) for c, x in zip(names, move)), F.lit(0.0))
-        frame = frame.withColumn("rate", F.least(F.greatest(F.col("rate") - change, F.lit(0.0)), F.lit(float(highest))))
-        if i % STAGED == 0:
-            frame = scratch.stage(frame, f"rates-{i}")
-    return frame
+        frame, depth = best.withColumn("rate", F.least(F.greatest(rate - change, F.lit(0.0)), F.lit(float(highest)))), best_depth + 1
+    return best
 
 
 def taken(rate: Column, key: Column) -> Column:
