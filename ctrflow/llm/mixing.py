@@ -26,7 +26,7 @@ BUCKETS, MAX_ROWS = 1 << 14, 8_000
 TEMPER = 0.5
 #: Counts added to found and expected ones; log ratio of the two below which a word says nothing. Words that merely go with the
 #: language or topic of a domain lie below it; summed over a long text they would outweigh the words that matter.
-DAMP, LEAST_RATIO = 3.0, math.log(3)
+DAMP, LEAST_RATIO = 10.0, math.log(3)
 #: Steps of the gradient at most, steps between staged tables, and the relative error that ends them.
 STEPS, STAGED, TOLERANCE = 40, 8, 1e-4
 
@@ -86,7 +86,7 @@ def fit_domains(
     rows = df.where(F.col(label_col).isin(domains)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("domain"))
     share = min(1.0, max_rows / max(1, rows.count()))
     rows = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1 << 30)) <= int(share * (1 << 30)))
-    one = rows.select("domain", F.explode(words(F.col("text"))).alias("word"))
+    one = rows.select("domain", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
     counts: dict[str, dict[int, int]] = {d: {} for d in domains}
     for r in one.groupBy("domain", bucket(F.col("word")).alias("bucket")).count().collect():  # at most domains x BUCKETS
         counts[r["domain"]][r["bucket"]] = r["count"]
