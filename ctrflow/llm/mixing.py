@@ -24,9 +24,9 @@ from ctrflow.llm.common import Scratch
 BUCKETS, MAX_ROWS = 1 << 14, 8_000
 #: Weight of the words' log likelihood, since words are not independent.
 TEMPER = 0.5
-#: Counts added to found and expected ones; log ratio of the two below which a word says nothing. Words that merely go with the
+#: Counts added to found and expected ones, per fitted row and at least; log ratio of the two below which a word says nothing. Words that merely go with the
 #: language or topic of a domain lie below it; summed over a long text they would outweigh the words that matter.
-DAMP, LEAST_RATIO = 10.0, math.log(3)
+DAMP, LEAST_DAMP, LEAST_RATIO = 1 / 800, 0.5, math.log(3)
 #: Steps of the gradient at most, steps between staged tables, and the relative error that ends them.
 STEPS, STAGED, TOLERANCE = 40, 8, 1e-4
 
@@ -95,7 +95,8 @@ def fit_domains(
     for i, d in enumerate(domains):
         whole[i, list(counts[d])] = list(counts[d].values())
     expected = whole.sum(axis=1, keepdims=True) * whole.sum(axis=0) / max(1.0, whole.sum())
-    ratio = np.log((whole + DAMP) / (expected + DAMP))
+    damp = max(LEAST_DAMP, DAMP * sum(n_rows.values()))
+    ratio = np.log((whole + damp) / (expected + damp))
     table = np.where(np.abs(ratio) >= LEAST_RATIO, ratio, 0.0).round(4).tolist()
     all_rows = sum(n_rows.values()) + len(domains)
     return DomainModel(domains, table, [math.log((n_rows.get(d, 0) + 1) / all_rows) for d in domains])
