@@ -77,6 +77,42 @@ def one_row_per_id(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return single.unionByName(rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
 
 
+def row_keys(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, nameless: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` with ``row_key``, a number that no two rows share, and a table (row_key, id) of it.
+
+    Keys ascend with the ids, and among rows of one id with a hash of the text. Rows without an id have none, or one of their
+    own if ``nameless``. Where ids tell all rows apart they are the keys themselves, and there is no table; else the
+    rows are staged, since their numbers depend on how they are dealt out. Ids are integers.
+    """
+    id_ = F.col(id_col).cast("long")
+    counts = df.groupBy(id_.alias("id")).count()
+    if counts.where("id IS NULL" if nameless else "false").unionByName(counts.where("id IS NOT NULL AND count > 1")).isEmpty():
+        return df.withColumn("row_key", id_), None
+    # The place in the input keeps equal rows apart, so that many of them are no single range.
+    order = [id_, F.xxhash64(F.col(text_col).cast("string")), F.col("row_key")]
+    rows = df.withColumn("row_key", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    # These numbers ascend from one range to the next.
+    key = F.monotonically_increasing_id()
+    rows = scratch.stage(rows.withColumn("row_key", key), "keys")
+    if not nameless:
+        rows = rows.withColumn("row_key", F.when(id_.isNotNull(), F.col("row_key")))
+    return rows, rows.where("row_key IS NOT NULL").select("row_key", id_.alias("id"))
+
+
+def ids_of_keys(found: DataFrame, names: DataFrame | None, *columns: str) -> DataFrame:
+    """``found`` with the ids instead of the keys in ``columns``; null stays null."""
+    if names is None:
+        return found
+    order = found.columns
+    for c in columns:
+        # Rows without a key match nothing; numbers below all keys deal them out.
+        at = F.coalesce(F.col(c), -1 - F.monotonically_increasing_id())
+        found = found.withColumn("_key", at).join(names.select(F.col("row_key").alias("_key"), F.col("id").alias("_id")), "_key", "left")
+        found = found.withColumn(c, F.col("_id")).select(order)
+    return found
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front as long as ``df`` has such a column (in any case of letters)."""
     taken = {c.lower() for c in df.columns}

@@ -298,7 +298,7 @@ def jaccard_components(
     links lead to, the document's own included. Shingles are told apart by 64-bit hashes.
 
     Documents without words have no shingles and link with nothing. Ids are integers. Of rows that share an id the
-    smallest text stands for all, in one row; each row without an id is returned with null ids and no links. Other columns
+    smallest text stands for all, in one row (``row_keys`` gives ids to rows); each row without an id is returned with null ids and no links. Other columns
     are not looked at.
     """
     spark = df.sparkSession

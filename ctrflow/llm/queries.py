@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ctrflow.llm import bpe, jaccard, katz, language, mixing, nearest, substring, topk, toxicity, vectors, warc
+from ctrflow.llm.common import Scratch, ids_of_keys, row_keys
 from ctrflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,13 +127,17 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_substring")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = substring.remove_repeats(table(spark, sf_dir, "documents"))
-    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    """One row for each row of documents; of rows that share an id the smaller hash of the text is the earlier one."""
+    documents, names = row_keys(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", Scratch(spark, "op6"))
+    left = substring.remove_repeats(documents, "row_key")
+    return ids_of_keys(left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")), names, "doc_id")
 
 
 @query("op3_jaccard")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+    """One row for each row of documents, also where rows share an id."""
+    documents, names = row_keys(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", Scratch(spark, "op3"))
+    return ids_of_keys(jaccard.jaccard_components(documents, "row_key", n=3, percent=90), names, "doc_id", "component_id")
 
 
 @query("op7_katz")

@@ -174,7 +174,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     ``removed`` are the spans of removed words, ``kept`` the other words joined by one space. ``window`` is at least
     ``PERIOD``. Ids are integers. Null and empty texts have no words. Of rows that share an id the smallest text stands for
-    all, in one row; rows without an id are kept whole, since nothing can be earlier than they are or later. Other columns
+    all, in one row (``row_keys`` gives ids to rows); rows without an id are kept whole, since nothing can be earlier than they are or later. Other columns
     are not looked at.
     """
     spark = df.sparkSession

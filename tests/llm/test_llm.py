@@ -379,3 +379,42 @@ def test_pipeline_stages(spark, odd):
     for frame in (shaped, shaped.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, frame, SMALL).collect()
+
+
+# ---- rows that share an id
+
+
+@pytest.fixture(scope="module")
+def shared(spark):
+    """Two equal rows of one id, different texts of one id of which only the larger repeats another document, no ids."""
+    word = lambda p, n=40: " ".join(f"{p}{i}" for i in range(n))
+    data = [(1, word("a")), (1, word("a")), (2, word("b")), (3, "a short one"), (3, word("b") + " tail of three"),
+            (4, word("c")), (4, word("d")), (None, word("a")), (None, word("a"))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    return df.withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+
+
+def test_stages_decide_per_row(spark, shared):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    texts = lambda df: Counter((r.doc_id, r.text) for r in df.collect())
+    given = texts(shared)
+    a, b = (next(t for i, t in given if i == k) for k in (1, 2))
+    one = texts(stages["n-gram Jaccard join"](spark, shared, SMALL))
+    # Stage 2: the equal row and the near copy of document 2 go, all other texts and the rows without an id stay.
+    assert one == given - Counter({(1, a): 1, (3, b + " tail of three"): 1})
+    two = texts(stages["substring dedup"](spark, shared, SMALL))
+    assert two == given - Counter({(1, a): 1, (3, b + " tail of three"): 1}) + Counter({(3, "tail of three"): 1})
+
+
+def test_queries_return_each_row(spark, shared, tmp_path):
+    shared.write.parquet(str(tmp_path / "documents.parquet"))
+    want = Counter(r.doc_id for r in shared.collect())
+    found = entry.queries()["op3_jaccard"](spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in found) == want
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found)[1, 38, 1] == 2
+    found = entry.queries()["op6_substring"](spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in found) == want
+    assert sorted(r.n_removed for r in found if r.doc_id == 1) == [0, 40]
+    assert sorted((r.n_words, r.n_removed) for r in found if r.doc_id == 3) == [(3, 0), (43, 40)]
