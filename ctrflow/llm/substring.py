@@ -34,6 +34,8 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 OTHER_BASE = 0xD1342543DE82EF95
 ENTRIES = packed_schema("first", "second", "id", "pos")
 PLACES = packed_schema("id", "pos")
+#: What is left of each document.
+CUT = "id long, n_words long, n_removed long, removed array<struct<start: long, length: long>>, kept string"
 
 
 def places(ids: list, texts: list[bytes]):
@@ -149,26 +151,38 @@ def _cut(window: int):
         for id_, text in zip(ids, docs.column("text").cast(pa.binary()).to_pylist()):
             words = (text or b"").split()
             spans: list[dict] = []
-            if id_ is not None:
-                a, b = np.searchsorted(at_id, id_, "left"), np.searchsorted(at_id, id_, "right")
-                if b > a:
-                    steps = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(steps, at_pos[a:b], 1)
-                    np.add.at(steps, at_pos[a:b] + window, -1)
-                    gone = np.cumsum(steps[:-1]) > 0
-                    edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-                    spans = [{"start": int(s), "length": int(e - s)} for s, e in zip(edges[::2], edges[1::2])]
-                    words = [w for w, g in zip(words, gone) if not g]
+            a, b = np.searchsorted(at_id, id_, "left"), np.searchsorted(at_id, id_, "right")
+            if b > a:
+                steps = np.zeros(len(words) + 1, np.int64)
+                np.add.at(steps, at_pos[a:b], 1)
+                np.add.at(steps, at_pos[a:b] + window, -1)
+                gone = np.cumsum(steps[:-1]) > 0
+                edges = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+                spans = [{"start": int(s), "length": int(e - s)} for s, e in zip(edges[::2], edges[1::2])]
+                words = [w for w, g in zip(words, gone) if not g]
             removed = sum(s["length"] for s in spans)
             rows.append((id_, len(words) + removed, removed, spans, b" ".join(words)))
-        columns = list(zip(*rows)) or [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))]
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(columns[4], pa.binary()).cast(pa.string())]
-        return pa.table(arrays, names=["id", "n_words", "n_removed", "removed", "kept"])
+        return pa.table(_arrays(rows), names=CUT_NAMES)
 
     return run
 
 
+CUT_NAMES = ["id", "n_words", "n_removed", "removed", "kept"]
+
+
+def _arrays(rows: list[tuple]) -> list[pa.Array]:
+    columns = list(zip(*rows)) or [[]] * 5
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))]
+    return [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(columns[4], pa.binary()).cast(pa.string())]
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows without an id, of which nothing is removed."""
+    for batch in batches:
+        words = [(t or b"").split() for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays(_arrays([(None, len(w), 0, [], b" ".join(w)) for w in words]), names=CUT_NAMES)
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
     """(doc_id, n_words, n_removed, removed, kept): what is left of each text without repeated windows.
 
@@ -188,7 +202,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     windows = keyed.groupBy("bucket").cogroup(anchors.groupBy("bucket")).applyInArrow(_windows(window, buckets), ENTRIES)
     repeats = scratch.stage(by_bucket(windows, _repeated(buckets, True), PLACES, buckets), "repeats")
     scratch.drop("anchors")
-    nameless = plain.where("doc_id IS NULL").select(F.col("doc_id").alias("id"), "text", F.lit(0).alias("bucket"))
-    cut = keyed.unionByName(nameless).groupBy("bucket").cogroup(repeats.groupBy("bucket")).applyInArrow(
-        _cut(window), "id long, n_words long, n_removed long, removed array<struct<start: long, length: long>>, kept string")
-    return cut.withColumnRenamed("id", "doc_id")
+    cut = keyed.groupBy("bucket").cogroup(repeats.groupBy("bucket")).applyInArrow(_cut(window), CUT)
+    # Rows without an id wait for nobody: they are a map beside the exchange.
+    nameless = plain.where("doc_id IS NULL").mapInArrow(_whole, CUT)
+    return cut.unionByName(nameless).withColumnRenamed("id", "doc_id")

@@ -15,6 +15,7 @@ from checks.compare import connect, differences
 from ctrflow.llm import bpe, jaccard, katz, language, mixing, nearest, queries, substring, topk, toxicity, vectors, warc
 from ctrflow.llm.common import Scratch, gram_hashes, one_row_per_id
 from ctrflow.llm.components import components
+from tests.conftest import executed
 
 SMALL = "/root/testdata/sf0.001"
 LONG = " ".join(f"w{i % 700}" for i in range(30_000))
@@ -418,3 +419,12 @@ def test_queries_return_each_row(spark, shared, tmp_path):
     assert Counter(r.doc_id for r in found) == want
     assert sorted(r.n_removed for r in found if r.doc_id == 1) == [0, 40]
     assert sorted((r.n_words, r.n_removed) for r in found if r.doc_id == 3) == [(3, 0), (43, 40)]
+
+
+def test_rows_without_an_id_meet_no_exchange(spark, shared):
+    found = substring.remove_repeats(shared)
+    rows_ = [r for r in found.collect() if r.doc_id is None]
+    assert [(r.n_words, r.n_removed, r.removed) for r in rows_] == [(40, 0, [])] * 2
+    assert {r.kept for r in rows_} == {" ".join(f"a{i}" for i in range(40))}
+    # They are a map beside the cogroup instead of rows of it.
+    assert "MapInArrow _whole(" in executed(found)
