@@ -64,17 +64,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def one_row_per_id(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) with one row per id that is not null; of several texts the smallest stays (null only if all are).
+def one_row_per_id(df: DataFrame, id_col: str, text_col: str, *flags: str) -> DataFrame:
+    """(id, text) with one row per id that is not null; of several texts the smallest stays (null only if all are), of flags the
+    largest.
 
     A first job looks for repeated ids among the ids alone, so that texts are only shuffled when there are any.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
+    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *flags).where("id IS NOT NULL")
     repeated = rows.groupBy("id").count().where("count > 1").select("id")
     if repeated.isEmpty():
         return rows
     single = rows.join(repeated, "id", "left_anti")
-    return single.unionByName(rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text")))
+    return single.unionByName(rows.join(repeated, "id", "left_semi").groupBy("id").agg(
+        F.min("text").alias("text"), *[F.max(c).alias(c) for c in flags]))
 
 
 def row_keys(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, nameless: bool = False) -> tuple[DataFrame, DataFrame | None]:

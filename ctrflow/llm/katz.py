@@ -297,17 +297,17 @@ def frequent_words(docs: DataFrame) -> np.ndarray:
 def katz_scores(df: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
-    The model learns from documents for which ``is_training`` (a condition on ``doc_id``) holds. Tokens are the lower-cased
+    The model learns from documents for which ``is_training`` (a condition on the columns of ``df``) holds. Tokens are the lower-cased
     (A-Z) words and one end; a null text is empty and has the end only. ``base_score`` is the add-one unigram score, ``score``
     the log10 probability of the text. Words are told apart by 64-bit hashes. Of rows that share an id the smallest text stands for
-    all, in one row; rows without an id take no part. Without training documents every token is unknown, with probability one.
+    all, in one row; rows without an id take no part (``row_keys`` gives ids to rows). Without training documents every token is unknown, with probability one.
     Other columns are not looked at.
     """
     spark = df.sparkSession
     scratch = Scratch(spark, "katz")
-    plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    docs = one_row_per_id(plain, "doc_id", "text")
-    training = docs.withColumnRenamed("id", "doc_id").where(is_training)
+    plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), is_training.alias("trains"))
+    rows = one_row_per_id(plain, "doc_id", "text", "trains")
+    docs, training = rows.drop("trains"), rows.where("trains").drop("trains")
     frequent = frequent_words(docs)
     # About one token in six bytes of text decides on the number of buckets only.
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]

@@ -142,7 +142,10 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_katz")
 def katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = katz.katz_scores(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
+    """One row for each row of documents; those without an id are trained on as ``remainder`` says, and their id stays null."""
+    documents, names = row_keys(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", Scratch(spark, "op7"), nameless=True)
+    scores = ids_of_keys(katz.katz_scores(documents, remainder("doc_id", 7) != 2, "row_key"), names, "doc_id")
     return scores.select("doc_id", (remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 

@@ -428,3 +428,18 @@ def test_rows_without_an_id_meet_no_exchange(spark, shared):
     assert {r.kept for r in rows_} == {" ".join(f"a{i}" for i in range(40))}
     # They are a map beside the cogroup instead of rows of it.
     assert "MapInArrow _whole(" in executed(found)
+
+
+def test_katz_counts_rows_without_an_id(spark, shared, tmp_path):
+    """op7 gives what it gives where every row has an id of its own that trains or not like the old one."""
+    shared.write.parquet(str(tmp_path / "documents.parquet"))
+    found = entry.queries()["op7_katz"](spark, str(tmp_path)).collect()
+    given = [(r.doc_id, r.text) for r in shared.collect()]
+    trains = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2
+    assert trains(None) and Counter(r.doc_id for r in found) == Counter(i for i, _ in given)
+    tokens_ = sum(len(t.split()) + 1 for i, t in given if trains(i))
+    assert {r.train_tokens for r in found} == {tokens_} and all(r.held_out != trains(r.doc_id) for r in found)
+    single = spark.createDataFrame([(n, t, trains(i)) for n, (i, t) in enumerate(given)], "doc_id long, text string, t boolean")
+    want = rows(katz.katz_scores(single, F.col("t")))
+    key = lambda r, i: (i is None, i or 0, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
+    assert sorted(key(r, r.doc_id) for r in found) == sorted(key(want[n], i) for n, (i, _) in enumerate(given))
