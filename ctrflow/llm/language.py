@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from ctrflow.llm.bpe import _arrow_type
 from ctrflow.llm.common import Scratch, text_chunks
 
-#: Hashed trigrams; labelled rows the likelihoods are fitted on at most (drawn by a hash of the id).
+#: Hashed trigrams; rows of each label that its likelihoods are fitted on at most (drawn by a hash of id and text).
 TRIGRAMS, MAX_ROWS = 1 << 16, 8_000
+#: Count of a trigram that a language does not have; classes whose tables a task holds at a time.
+LEAST, BLOCK = 0.05, 8
 #: Weight of the text's log likelihood, whose trigrams are far from independent.
 TEMPER = 0.2
 #: Rows that a prior of the level above counts for; prior of the class of other languages.
@@ -68,26 +70,39 @@ def sums_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """Log probability of each trigram in each language, the class of other languages last."""
+    """Log probabilities of the trigrams of each language, those that it has and the one of all others; the class of other
+    languages is last."""
 
     languages: list[str]
-    table: np.ndarray
+    seen: list[tuple[np.ndarray, np.ndarray]]
+    unseen: list[float]
+
+    def block(self, start: int) -> np.ndarray:
+        """The table of trigrams by BLOCK classes from ``start`` on."""
+        found = np.tile(np.array(self.unseen[start:start + BLOCK]), (TRIGRAMS, 1))
+        for i, (at, value) in enumerate(self.seen[start:start + BLOCK]):
+            found[at, i] = value
+        return found
 
     def likelihoods(self, df: DataFrame, columns: list[str], text_col: str) -> DataFrame:
         """``columns`` with n_words (words that have letters) and ll, the text's log likelihood in each class."""
-        shared = df.sparkSession.sparkContext.broadcast(self.table)
+        shared = df.sparkSession.sparkContext.broadcast(self)
         plain = df.select(F.struct(*columns).alias("row"), F.col(text_col).cast("string").alias("text"))
         kind = _arrow_type(plain, "row")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = shared.value.T
+            model = shared.value
+            first = model.block(0)
             for rows, texts in text_chunks(batches, 4 << 20):
                 words, at, counts = counted_words(texts)
                 hashed, size = trigrams(words)
-                of_word = np.column_stack([sums_by(table[hashed], size), size > 0])
-                sums = sums_by(of_word[at], counts)
+                parts = []
+                for start in range(0, len(model.unseen), BLOCK):
+                    table = model.block(start) if start else first
+                    parts.append(sums_by(sums_by(table[hashed], size)[at], counts))
+                n_words = sums_by((size > 0).astype(np.float64)[at, None], counts)[:, 0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, kind), pa.array(np.rint(sums[:, -1]).astype(np.int64)), pa.array(list(sums[:, :-1]), pa.list_(pa.float64()))],
+                    [pa.array(rows, kind), pa.array(np.rint(n_words).astype(np.int64)), pa.array(list(np.hstack(parts)), pa.list_(pa.float64()))],
                     names=["row", "n_words", "ll"])
 
         schema = f"row {plain.schema['row'].dataType.simpleString()}, n_words long, ll array<double>"
@@ -97,37 +112,43 @@ class LanguageModel:
 def fit_languages(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", max_rows: int = MAX_ROWS,
 ) -> LanguageModel:
-    """Likelihoods of the languages that ``label_col`` names (at most 64 of them, the most frequent), from at most about
-    ``max_rows`` labelled rows. Without any there is the class of other languages only."""
-    rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    share = min(1.0, max_rows / max(1, rows.count()))
-    place = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(1 << 30))
-    rows = rows.where(place <= int(share * (1 << 30))).select(F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text"))
+    """Likelihoods of all languages that ``label_col`` names, each from about ``max_rows`` of its rows at most and from one at
+    least. Without any there is the class of other languages only."""
+    rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(label_col).cast("string").alias("label"), F.col(text_col).cast("string").alias("text"),
+        F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(text_col).cast("string")), F.lit(1 << 30)).alias("place"))
+    sizes = rows.groupBy("label").agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()
+    bounds = [(r["label"], max(r["first"], int(min(1.0, max_rows / r["n"]) * (1 << 30)))) for r in sizes]
+    bounds = df.sparkSession.createDataFrame(bounds, "label string, bound long")
+    rows = rows.join(F.broadcast(bounds), "label").where("place <= bound").select("label", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
         for labels, texts in text_chunks(batches):
-            for label in set(labels):
-                words, at, _ = counted_words([t for t, x in zip(texts, labels) if x == label])
+            of: dict[str, list[bytes]] = {}
+            for label, text in zip(labels, texts):
+                of.setdefault(label, []).append(text)
+            for label, mine in of.items():
+                words, at, _ = counted_words(mine)
                 hashed, size = trigrams(words)
-                times = np.repeat(np.bincount(at, minlength=len(words)), size)
-                mine = total.setdefault(label, np.zeros(TRIGRAMS, np.int64))
-                mine += np.bincount(hashed, times, TRIGRAMS).astype(np.int64)
-        for label, counts in total.items():
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([label] * len(at), pa.string()), pa.array(at), pa.array(counts[at])], names=["label", "trigram", "n"])
+                counts = np.bincount(hashed, np.repeat(np.bincount(at, minlength=len(words)), size), TRIGRAMS).astype(np.int64)
+                found = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([label] * len(found), pa.string()), pa.array(found), pa.array(counts[found])], names=["label", "trigram", "n"])
 
     counts = rows.mapInArrow(count, "label string, trigram long, n long").groupBy("label", "trigram").agg(F.sum("n").alias("n"))
-    largest = counts.groupBy("label").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "label").limit(64).collect()
-    languages = sorted(r["label"] for r in largest)
-    found = np.full((len(languages), TRIGRAMS), 0.05)
-    got = counts.where(F.col("label").isin(languages)).toArrow()
-    if len(got):
-        at = np.searchsorted(languages, np.array(got.column("label").to_pylist()))
-        found[at, np.asarray(got.column("trigram"))] += np.asarray(got.column("n"))
-    table = np.log(found / found.sum(axis=1, keepdims=True))
-    return LanguageModel(languages, np.vstack([table, np.full(TRIGRAMS, -np.log(TRIGRAMS))]))
+    got = counts.toArrow()
+    coded = got.column("label").combine_chunks().dictionary_encode()
+    names, code = coded.dictionary.to_pylist(), np.asarray(coded.indices)
+    trigram, n = np.asarray(got.column("trigram")), np.asarray(got.column("n")).astype(np.float64)
+    order = np.argsort(code, kind="stable")
+    ends = np.searchsorted(code[order], np.arange(len(names) + 1))
+    languages, seen, unseen = sorted(names), [], []
+    for label in languages:
+        at = order[ends[names.index(label)]:ends[names.index(label) + 1]]
+        total = n[at].sum() + LEAST * TRIGRAMS
+        seen.append((trigram[at], np.log((n[at] + LEAST) / total)))
+        unseen.append(float(np.log(LEAST / total)))
+    return LanguageModel(languages, seen, [*unseen, float(-np.log(TRIGRAMS))])
 
 
 def host_of(url: Column) -> Column:
@@ -161,44 +182,51 @@ def identify(
     as_column = lambda c: F.col(c) if isinstance(c, str) else F.lit(None).cast("string") if c is None else c
     spark, classes = df.sparkSession, [*model.languages, OTHER]
     scratch = Scratch(spark, "language")
-    short = F.lower(F.substring(F.trim(as_column(declared).cast("string")), 1, 2))
+    whole = F.trim(as_column(declared).cast("string"))
+    short = F.lower(F.substring(whole, 1, 2))
+    known = F.array(*map(F.lit, model.languages)) if model.languages else F.array().cast("array<string>")
     host_ = as_column(host).cast("string")
     prepared = df.select(
         F.col(id_col).alias("id"), as_column(text).cast("string").alias("text"), F.coalesce(host_, F.lit("")).alias("host"),
         F.coalesce(suffix_of(host_), F.lit("")).alias("suffix"),
-        F.when(short.isin(model.languages), short).when(F.length(short) > 0, OTHER).otherwise("").alias("declared"))
+        F.when(F.array_contains(known, whole), whole).when(F.array_contains(known, short), short).when(F.length(short) > 0, OTHER).otherwise("").alias("declared"))
     rows = scratch.stage(model.likelihoods(prepared, ["id", "host", "suffix", "declared"], "text"), "likelihoods")
-    ll = [F.col("ll")[i] * TEMPER for i in range(len(classes))]
     best = F.array_position(F.col("ll"), F.array_max("ll")).cast("int") - 1
     rows = rows.withColumn("guess", F.when(F.col("n_words") > 0, best).otherwise(-1))
-    hits = [F.sum((F.col("guess") == i).cast("long")).alias(f"n{i}") for i in range(len(classes))]
 
-    # How far declarations can be trusted: P(declared | language), from rows that declare something.
-    table = np.ones((len(classes), len(classes)))
+    # How far declarations can be trusted: P(declared | language), from rows that declare something. Each pair counts once more.
+    pairs, sums = {name: {} for name in classes}, np.full(len(classes), float(len(classes)))
     for r in rows.where("declared <> '' AND guess >= 0").groupBy("guess", "declared").count().collect():
-        table[r["guess"], classes.index(r["declared"])] += r["count"]
-    trust = np.log(table / table.sum(axis=1, keepdims=True))
-
-    by_host = rows.groupBy("suffix", "host").agg(*hits)
-    by_suffix = by_host.groupBy("suffix").agg(*[F.sum(f"n{i}").alias(f"s{i}") for i in range(len(classes))])
-    total = by_suffix.agg(*[F.coalesce(F.sum(f"s{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(classes))]).first()
-    overall = np.array([total[f"n{i}"] for i in range(len(classes))], float) + 1
+        pairs[r["declared"]][r["guess"]] = float(np.log(r["count"] + 1))
+        sums[r["guess"]] += r["count"]
+    trust = spark.createDataFrame(list(pairs.items()), "declared string, trust map<int, double>")
+
+    # Sums by class are maps with the classes that occur, so their size does not grow with the number of classes.
+    def maps(of: DataFrame, keys: list[str], name: str) -> DataFrame:
+        return of.groupBy(*keys).agg(
+            F.map_from_entries(F.collect_list(F.struct("guess", "n"))).alias(name), F.sum(F.when(F.col("guess") >= 0, F.col("n")).otherwise(0)).alias(f"{name}_total"))
+
+    by_guess = rows.groupBy("suffix", "host", "guess").agg(F.count("*").alias("n"))
+    of_suffix = by_guess.groupBy("suffix", "guess").agg(F.sum("n").alias("n"))
+    overall = np.ones(len(classes))
+    for r in of_suffix.where("guess >= 0").groupBy("guess").agg(F.sum("n").alias("n")).collect():
+        overall[r["guess"]] += r["n"]
     overall = overall / overall.sum() * (1 - OTHER_PRIOR)
     overall[-1] += OTHER_PRIOR
-    priors = by_host.join(by_suffix, "suffix").alias("p")
-    joined = rows.join(priors, ["suffix", "host"])
-    own = [(F.col("guess") == i).cast("int") for i in range(len(classes))]
+    priors = maps(by_guess, ["suffix", "host"], "h").join(maps(of_suffix, ["suffix"], "s"), "suffix")
+    joined = rows.join(priors, ["suffix", "host"]).join(F.broadcast(trust), "declared", "left")
+    constants = lambda values: F.array(*[F.lit(float(x)) for x in values])
     seen = (F.col("guess") >= 0).cast("int")
-    s_total, n_total = (sum((F.col(f"{x}{i}") for i in range(len(classes))), F.lit(0)) - seen for x in "sn")
-    scores = []
-    for i in range(len(classes)):
-        of_suffix = (F.col(f"s{i}") - own[i] + STRENGTH * float(overall[i])) / (s_total + STRENGTH)
-        of_host = (F.col(f"n{i}") - own[i] + STRENGTH * of_suffix) / (n_total + STRENGTH)
-        said = F.lit(0.0)
-        for j, name in enumerate(classes):
-            said = F.when(F.col("declared") == name, float(trust[i, j])).otherwise(said)
-        scores.append(ll[i] + F.log(of_host) + said)
-    joined = joined.withColumn("score", F.array(*scores)).withColumn("most", F.array_max("score"))
+
+    def score(i: Column) -> Column:
+        own = (F.col("guess") == i).cast("int")
+        in_suffix = (F.coalesce(F.col("s")[i], F.lit(0)) - own + F.get(constants(STRENGTH * overall), i)) / (F.col("s_total") - seen + STRENGTH)
+        in_host = (F.coalesce(F.col("h")[i], F.lit(0)) - own + STRENGTH * in_suffix) / (F.col("h_total") - seen + STRENGTH)
+        said = F.when(F.col("declared") == "", 0.0).otherwise(F.coalesce(F.col("trust")[i], F.lit(0.0)) - F.get(constants(np.log(sums)), i))
+        return F.get("ll", i) * TEMPER + F.log(in_host) + said
+
+    scores = F.transform(F.sequence(F.lit(0), F.lit(len(classes) - 1)), score)
+    joined = joined.withColumn("score", scores).withColumn("most", F.array_max("score"))
     lang = F.element_at(F.array(*map(F.lit, classes)), F.array_position("score", F.col("most")).cast("int"))
     posterior = 1 / F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("most")))
     out = joined.select("id", lang.alias("lang"), posterior.alias("posterior"), "n_words")

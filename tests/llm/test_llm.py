@@ -443,3 +443,16 @@ def test_katz_counts_rows_without_an_id(spark, shared, tmp_path):
     want = rows(katz.katz_scores(single, F.col("t")))
     key = lambda r, i: (i is None, i or 0, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
     assert sorted(key(r, r.doc_id) for r in found) == sorted(key(want[n], i) for n, (i, _) in enumerate(given))
+
+
+def test_every_label_is_a_class_at_any_size(spark):
+    """Ninety labels, one of them with three rows among thousands of a single one, in an alphabet of its own."""
+    word = lambda k, i: "".join(chr(0x100 + 40 * k + (7 * i + j * (i + 3)) % 40) for j in range(5))
+    text = lambda k, n: " ".join(word(k, (n * 11 + i) % 60) for i in range(30))
+    data = [(n, text(0, n), "l00") for n in range(4000)]
+    data += [(10_000 + 10 * k + n, text(k, n), f"l{k:02}") for k in range(1, 90) for n in range(3)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language.fit_languages(df, max_rows=40)
+    assert model.languages == [f"l{k:02}" for k in range(90)]
+    found = rows(language.identify(df, model, declared="lang"))
+    assert all(found[i].lang == lang and not found[i].rejected for i, _, lang in data)
