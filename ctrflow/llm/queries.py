@@ -9,7 +9,9 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ctrflow.llm import bpe, jaccard, katz, language, mixing, nearest, substring, topk, toxicity, vectors, warc
+from ctrflow.llm import (
+    bpe, collocations, decontaminate, jaccard, katz, language, merkle, mixing, nearest, substring, topk, toxicity, vectors, warc,
+)
 from ctrflow.llm.common import Scratch, ids_of_keys, row_keys
 from ctrflow.session import scratch_path
 
@@ -181,3 +183,137 @@ def page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")
     return language.identify(
         table(spark, sf_dir, "pages"), model, "page_id", text, language.markup_language(F.col("html")), language.host_of(F.col("url")))
+
+
+@query("op13_merkle", """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text,
+    -- crc32 of the decimal id, bit by bit: a number from 256 on brings in a byte, a zero shifts.
+    list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [256 + ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))::BIGINT[],
+      lambda r, x: CASE WHEN x > 255 THEN xor(r, x - 256) WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END,
+      4294967295::BIGINT) % 2 = 1 AS tampered
+  FROM documents
+), e AS (
+  SELECT *, concat(CASE WHEN doc_id IS NULL THEN '-' ELSE octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id END,
+      CASE WHEN source IS NULL THEN '-' ELSE octet_length(encode(source)) || ':' || source END,
+      CASE WHEN lang IS NULL THEN '-' ELSE octet_length(encode(lang)) || ':' || lang END,
+      CASE WHEN n_chars IS NULL THEN '-' ELSE octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars END) AS head,
+    replace(text, chr(10), '') AS without_lines
+  FROM d
+), f AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source,
+    sha256(head || CASE WHEN text IS NULL THEN '-' ELSE octet_length(encode(text)) || ':' || text END) AS leaf,
+    CASE WHEN tampered THEN sha256(head || CASE WHEN text IS NULL THEN '-'
+      ELSE octet_length(encode(without_lines)) || ':' || without_lines END) END AS other
+  FROM e
+), leaves AS (
+  SELECT *, coalesce(other, leaf) AS start, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n FROM f
+), inner_tree AS (
+  SELECT source, 0 AS lvl, i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM inner_tree WHERE n > 1 GROUP BY source, lvl, i // 3, n
+), subroots AS (
+  SELECT source, h AS subroot, lvl AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM inner_tree WHERE n = 1
+), outer_tree AS (
+  SELECT 0 AS lvl, i, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM outer_tree WHERE n > 1 GROUP BY lvl, i // 3, n
+), nodes AS (
+  SELECT source, lvl, i, h, false AS upper FROM inner_tree UNION ALL SELECT NULL, lvl, i, h, true FROM outer_tree
+), climb AS (
+  SELECT l.row_id, l.doc_id, l.leaf, l.start AS folded, '' AS proof, l.i, l.n, false AS upper, l.source, 0 AS lvl, s.subroot, s.i AS si, s.n AS sn
+  FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+  UNION ALL
+  SELECT row_id, doc_id, leaf,
+    CASE WHEN n > 1 THEN sha256(a || folded || b) ELSE folded END, CASE WHEN n > 1 THEN proof || a || b ELSE proof END,
+    CASE WHEN n > 1 THEN i // 3 ELSE si END, CASE WHEN n > 1 THEN (n + 2) // 3 ELSE sn END, n = 1 OR upper, source,
+    CASE WHEN n > 1 THEN lvl + 1 ELSE 0 END, subroot, si, sn
+  FROM (
+    SELECT c.*,
+      coalesce((SELECT string_agg(t.h, '' ORDER BY t.i) FROM nodes t
+        WHERE t.upper = c.upper AND (c.upper OR t.source IS NOT DISTINCT FROM c.source) AND t.lvl = c.lvl AND t.i // 3 = c.i // 3 AND t.i < c.i), '') AS a,
+      coalesce((SELECT string_agg(t.h, '' ORDER BY t.i) FROM nodes t
+        WHERE t.upper = c.upper AND (c.upper OR t.source IS NOT DISTINCT FROM c.source) AND t.lvl = c.lvl AND t.i // 3 = c.i // 3 AND t.i > c.i), '') AS b
+    FROM climb c WHERE NOT (c.upper AND c.n = 1)
+  )
+)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+FROM climb, (SELECT h FROM outer_tree WHERE n = 1) r WHERE upper AND climb.n = 1
+""")
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without an id come first in their source and are left as they are, since there is no number to divide."""
+    documents = table(spark, sf_dir, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = merkle.leaf_hash(*head, F.translate("text", "\n", ""))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, changed)
+    rows = merkle.merkle_manifest(
+        documents, "doc_id", "source", merkle.leaf_hash(*head, F.col("text")), Scratch(spark, "op13"), {"tampered": tampered}).rows
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2(merkle.proof(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op11_collocations", r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+), f AS (
+  SELECT lang, w, len(w) AS m, count(*) AS f FROM (
+    SELECT lang, w[i:i + m - 1] AS w FROM (
+      SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS m)))
+  GROUP BY lang, w
+), n AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang
+), c AS (SELECT lang, w, m, f AS a FROM f WHERE m > 1 AND f >= 30
+), cut AS (
+  SELECT c.lang, c.w, c.a, k, x.f AS l, y.f AS r, 2000000 * c.a::HUGEINT // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.w = c.w[1:c.k] JOIN f y ON y.lang = c.lang AND y.w = c.w[c.k + 1:c.m]
+), best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, w[i:i + k - 1] AS w, max(a) AS longest FROM (
+    SELECT lang, w, a, k, unnest(range(1, m - k + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS k FROM c))
+  GROUP BY ALL
+), ranked AS (
+  SELECT b.*, array_to_string(b.w, ' ') AS phrase FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.w = b.w
+  WHERE longest IS NULL OR 100 * longest::HUGEINT < 80 * a::HUGEINT
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INTEGER AS rank FROM ranked) JOIN n USING (lang)
+WHERE rank <= 2000
+""")
+def frequent_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
+@query("op12_decontaminate", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT *, least(len(w), 10) AS k FROM b WHERE len(w) > 0))
+), runs AS (
+  SELECT row_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS run
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win))
+), hit AS (SELECT row_id, i, k, item_id FROM runs JOIN win USING (k, run)
+), words AS (SELECT row_id, count(DISTINCT p) AS n_hit FROM (SELECT row_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY row_id
+), items AS (
+  SELECT row_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT row_id, item_id::VARCHAR AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY row_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (row_id) LEFT JOIN items USING (row_id)
+""")
+def benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op12"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
