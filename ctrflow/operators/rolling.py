@@ -6,15 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ctrflow.schema import ENGINEERED, ID, TARGET, TIME, USER
+from ctrflow.schema import ENGINEERED, ID, TARGET, TIME, USER, spare_names
+from ctrflow.session import stage
 
 FRAME_ROWS = 24
-#: A user with more rows than this is cut into pieces.
-HOT_ROWS = 2_000_000
-#: Groups cut at a time: the size bound of a broadcast table.
-MAX_HOT_GROUPS = 100_000
-#: Times a piece may be cut again.
-MAX_CUTS = 10
+#: Cuts of a user that lie in one run, to find a place among many.
+RUN = 64
 
 
 def top_value(value: str, clicked: str | None, window) -> Column:
@@ -39,117 +36,70 @@ def rolling_top(
     clicked: str | None = TARGET,
     frame_rows: int = FRAME_ROWS,
     include_current: bool = True,
-    hot_rows: int = HOT_ROWS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Adds, per source column, the rolling top value of the user's last ``frame_rows`` rows.
 
     ``clicked=None`` leaves the clicks aside (plain frequency). The rows of a user are ordered by
-    time and row id (a number); frames at the start are shorter. All columns share one shuffle and
-    sort.
-
-    A window is one task per user, so users above ``hot_rows`` are cut into pieces first, each with
-    the few rows before it that its frames reach back to. The result does not depend on the cuts.
+    time, row id and, where both are equal, by the values themselves, nulls first; frames at the
+    start are shorter. Rows without a user are those of one more user. All columns share one
+    shuffle and sort.
+
+    A window is one task per user, so all keys are dealt to ``parts`` ranges of about equal size
+    (as many as shuffle partitions), and a user whom ranges cut is one window per range. Frames
+    of the first rows of a range reach back into earlier ones: these rows, and the last ones of each
+    range, are a few per range, and one more window over just them gives the frames that were cut.
+    Where the ranges lie changes no result.
     """
     last = 0 if include_current else -1
     first = last - (frame_rows - 1)
+    reach = -first
     names = df.columns
-    pieces, keys = _cut_hot_users(df, user, time, row_id, hot_rows)
-    cut = len(keys) > 1
-    if cut:
-        needed = dict.fromkeys([*columns, *([clicked] if clicked else [])])
-        pieces = _with_lead_in(pieces, keys, [time, row_id], list(needed), -first)
-    window = Window.partitionBy(*keys).orderBy(time, row_id).rowsBetween(first, last)
-    out = pieces.withColumns({name: top_value(c, clicked, window) for c, name in columns.items()})
-    if cut:
-        out = out.where(~F.col("_lead_in"))
-    return out.select(*[c for c in names if c not in columns.values()], *columns.values())
-
-
-def _position(time: Column) -> Column:
-    """Microseconds since 1970 in local time: never decreasing, in any session time zone."""
-    seconds = F.unix_date(F.to_date(time)).cast("bigint") * 86_400 + (
-        F.hour(time) * 3_600 + F.minute(time) * 60
-    )
-    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), time) * 1_000_000).cast("bigint")
-
-
-def _cut_hot_users(
-    df: DataFrame, user: str, time: str, row_id: str, hot_rows: int
-) -> tuple[DataFrame, list[str]]:
-    """The rows with piece columns for users above ``hot_rows``, and the keys of a piece.
-
-    A group of rows that is too large is cut into equal spans of time, or of row ids where all its
-    rows have one time. Bursts can leave a span too large, so the pieces are counted and cut again.
-    The tables of large groups hold at most ``MAX_HOT_GROUPS`` rows and are broadcast; groups
-    beyond that many have less than 1 / MAX_HOT_GROUPS of all rows each and stay whole.
-    """
-    keys = [user]
-    at, number = _position(F.col(time)), F.col(row_id).cast("bigint")
-    rows = df
-    for level in range(MAX_CUTS):
-        open_rows = df if level == 0 else rows.where(F.col(keys[-1]) >= 0)
-        sizes = open_rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(at).alias("_t0"), F.max(at).alias("_t1"),
-            F.min(number).alias("_i0"), F.max(number).alias("_i1"),
-        )
-        by_time = F.col("_t1") > F.col("_t0")
-        low, high = (
-            F.when(by_time, F.col(f"_t{end}")).otherwise(F.col(f"_i{end}")) for end in "01"
-        )
-        spans = F.ceil(F.col("_n") / hot_rows) * 8
-        hottest = (
-            sizes.where((F.col("_n") > hot_rows) & (high > low))
-            .orderBy(F.desc("_n"))
-            .limit(MAX_HOT_GROUPS)
-            .select(
-                *[F.col(k).alias(f"_hot_{k}") for k in keys], by_time.alias("_by_time"),
-                low.alias("_from"), F.ceil((high - low + 1) / spans).alias("_width"),
-            )
-            .toArrow()
-        )
-        if not hottest.num_rows:
-            break
-        hot = F.broadcast(df.sparkSession.createDataFrame(hottest))
-        match = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
-        place = F.when(F.col("_by_time"), at).otherwise(number) - F.col("_from")
-        piece = f"_piece_{level}"
-        rows = (
-            rows.join(hot, match, "left")
-            .withColumn(piece, F.coalesce(F.floor(place / F.col("_width")), F.lit(-1)))
-            .drop(*hot.columns)
-        )
-        keys.append(piece)
-    return rows, keys
-
-
-def _with_lead_in(
-    rows: DataFrame, keys: list[str], order: list[str], needed: list[str], back: int
-) -> DataFrame:
-    """Adds to each piece the ``back`` rows of its user before it, marked ``_lead_in``.
-
-    Only the last rows of a piece can be within reach of a later one; they are numbered per user
-    and the right ones are copied to each piece that starts after them.
+    order = list(dict.fromkeys([time, row_id, *columns, *([clicked] if clicked else [])]))
+    at, cuts, part, head, tail = spare_names(df, "_at", "_cuts", "_part", "_head", "_tail")
+    table = _cut_users(df, user, order, parts, at, cuts)
+
+    owner = spare_names(df, "_owner")[0]
+    rows = df.join(F.broadcast(table.withColumnRenamed(user, owner)), F.col(user).eqNullSafe(F.col(owner)), "left").drop(owner)
+    rows = rows.withColumn(part, _place(F.struct(*order), F.col(cuts))).drop(cuts)
+    in_part = Window.partitionBy(user, part).orderBy(*order)
+    numbered = rows.withColumns({
+        head: (F.col(part) > 0) & (F.row_number().over(in_part) <= reach),
+        tail: (F.col(part) >= 0) & F.lead(F.lit(1), max(reach, 1)).over(in_part).isNull(),
+    })
+
+    def featured(of: DataFrame, window) -> DataFrame:
+        frame = window.rowsBetween(first, last)
+        added = of.withColumns({name: top_value(c, clicked, frame) for c, name in columns.items()})
+        return added.select(*[c for c in names if c not in columns.values()], *columns.values(), head)
+
+    # Both read the same exchange of the rows.
+    inner = featured(numbered, in_part).where(~F.col(head))
+    # Of a cut user the edges of all ranges; what lies before a head is there, up to its reach.
+    edges = featured(numbered.where(F.col(head) | F.col(tail)), Window.partitionBy(user).orderBy(*order)).where(head)
+    return inner.unionByName(edges).drop(head)
+
+
+def _cut_users(df: DataFrame, user: str, order: list[str], parts: int | None, at: str, cuts: str) -> DataFrame:
+    """(user, sorted keys at which later ranges begin, in runs of ``RUN``) of the users whom ranges cut; fewer rows than ranges.
+
+    Only keys are sorted into ranges, and the table is stored, so the cuts are the same for all that use them.
     """
-    user = keys[0]
-    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        rows.where(F.col(keys[1]) >= 0)
-        .select(*dict.fromkeys([*keys, *order, *needed]))
-        .withColumn("_back", F.row_number().over(newest))
-        .where(F.col("_back") <= back)
-        .withColumn("_pos", F.row_number().over(Window.partitionBy(user).orderBy(*order)))
-        .drop("_back")
-    )
-    reach = (
-        tails.groupBy(*keys)
-        .agg(F.min("_pos").alias("_first"))
-        .where(F.col("_first") > 1)
-        .select(*keys, F.explode(F.sequence(
-            F.greatest(F.lit(1), F.col("_first") - back), F.col("_first") - 1
-        )).alias("_pos"))
-    )
-    lead_in = reach.join(tails.drop(*keys[1:]), [user, "_pos"]).drop("_pos")
-    return rows.withColumn("_lead_in", F.lit(False)).unionByName(
-        lead_in.withColumn("_lead_in", F.lit(True)), allowMissingColumns=True
-    )
+    number, low, high, before = spare_names(df, "_range", "_low", "_high", "_before")
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(user, F.struct(*order).alias(at)).repartitionByRange(parts, user, at)
+    key = F.struct(F.col(user).alias("user"), F.col(at).alias("at"))
+    ends = keys.withColumn(number, F.spark_partition_id()).groupBy(number).agg(F.min(key).alias(low), F.max(key).alias(high))
+    # One row per range, so this window is small.
+    following = ends.withColumn(before, F.lag(high).over(Window.partitionBy(F.lit(0)).orderBy(number)))
+    cut = following.where(F.col(before).isNotNull() & F.col(f"{before}.user").eqNullSafe(F.col(f"{low}.user")))
+    sorted_ = cut.groupBy(F.col(f"{low}.user").alias(user)).agg(F.sort_array(F.collect_list(f"{low}.at")).alias(cuts))
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(cuts) - 1) / RUN).cast("int")), lambda i: F.slice(cuts, i * RUN + 1, RUN))
+    return stage(sorted_.withColumn(cuts, runs), "cuts")
+
+
+def _place(key: Column, cuts: Column) -> Column:
+    """How many of the sorted cuts are at or below the key, run of cuts by run; -1 without cuts."""
+    passed = F.size(F.filter(cuts, lambda run: F.get(run, F.lit(0)) <= key))
+    within = F.size(F.filter(F.get(cuts, passed - 1), lambda cut: cut <= key))
+    return F.when(cuts.isNull(), -1).when(passed == 0, 0).otherwise((passed - 1) * RUN + within)

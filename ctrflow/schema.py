@@ -75,3 +75,14 @@ def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def to_string(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores in front as it takes to be no column of ``df``, whatever the case of letters."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        found.append(name)
+        taken.add(name.lower())
+    return found

@@ -3,8 +3,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ctrflow.operators.rolling import _cut_hot_users, rolling_top
-from tests.conftest import executed, same, skewed, table
+from ctrflow.operators.rolling import _cut_users, _place, rolling_top
+from checks import fixtures as fx
+from tests.conftest import SMALL, executed, plan, same, skewed, table
 
 NAME = {"product": "top"}
 
@@ -76,34 +77,67 @@ def test_equals_brute_force_on_all_rows(clean, include_current, use_clicks):
     assert result(out) == brute_force(clean, use_clicks=use_clicks, **options)
 
 
-@pytest.mark.parametrize("hot_rows", [5, 40])
+@pytest.fixture(scope="module")
+def uneven(clean):
+    """One user has most rows, some of them without a time or a row id; other rows have no user."""
+    hot = F.col("session_id") % 5 != 0
+    return clean.withColumns({
+        "user_id": F.when(hot, 1).when(F.col("session_id") % 10 == 0, F.lit(None)).otherwise(F.col("user_id")),
+        "DateTime": F.when(F.col("session_id") % 7 == 0, F.lit(None)).otherwise(F.col("DateTime")),
+    })
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8, 200])
 @pytest.mark.parametrize("include_current", [True, False])
-def test_cut_users_give_the_same_result(clean, hot_rows, include_current):
+def test_cut_users_give_the_same_result(clean, parts, include_current):
     df = skewed(clean)
-    out = rolling_top(df, NAME, hot_rows=hot_rows, include_current=include_current)
+    out = rolling_top(df, NAME, parts=parts, include_current=include_current)
     assert result(out) == brute_force(df, include_current=include_current)
     assert out.count() == df.count()
     assert out.columns == [*df.columns, "top"]
 
 
-def test_no_piece_of_a_hot_user_stays_large(clean):
+@pytest.mark.parametrize("parts", [1, 8, 150])
+def test_null_times_null_users_and_a_user_with_most_rows(uneven, parts):
+    assert uneven.where("user_id IS NULL").count() > 30 and uneven.where("DateTime IS NULL").count() > 100
+    assert uneven.where("user_id = 1").count() > 0.7 * uneven.count()
+    # collect() sorts nulls first, as the operator does.
+    assert result(rolling_top(uneven, NAME, parts=parts)) == brute_force(uneven)
+
+
+def test_a_user_with_most_rows_is_cut_evenly(clean):
     df = skewed(clean)
-    biggest = df.groupBy("user_id").count().agg(F.max("count")).first()[0]
-    rows, keys = _cut_hot_users(df, "user_id", "DateTime", "session_id", 40)
-    assert rows.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 40 < biggest
-    assert rows.count() == df.count()
+    order = ["DateTime", "session_id"]
+    cuts = _cut_users(df, "user_id", order, 30, "at", "cuts")
+    assert cuts.agg(F.sum(F.size(F.flatten("cuts")))).first()[0] < 30
+    parts = df.join(cuts, "user_id", "left").withColumn("part", _place(F.struct(*order), F.col("cuts")))
+    biggest = parts.groupBy("user_id", "part").count().agg(F.max("count")).first()[0]
+    assert biggest <= 3 * df.count() / 30 < df.where("user_id = 1").count() / 3
 
 
 def test_rows_of_one_time_and_id_cannot_be_cut_but_stay(rows_of):
     df = rows_of(*[{"session_id": 1}] * 30)
-    assert rolling_top(df, NAME, hot_rows=5).count() == 30
+    assert rolling_top(df, NAME, parts=5).count() == 30
+
+
+def test_helper_columns_do_not_hide_others(clean):
+    df = clean.withColumns({c: F.lit(c) for c in ("_at", "_cuts", "_part", "_head", "_tail", "_owner", "_range")})
+    out = rolling_top(df, NAME, parts=9)
+    assert out.columns == [*df.columns, "top"] and result(out) == brute_force(clean)
+    assert out.select("_cuts", "_part").distinct().collect() == [("_cuts", "_part")]
+
+
+def test_nothing_is_counted_or_sorted_into_ranges_in_the_plan(clean):
+    text = plan(rolling_top(clean, NAME))
+    assert "rangepartitioning" not in text and "count(" not in text
 
 
-def test_both_features_share_one_shuffle_and_sort(clean):
-    out = rolling_top(clean)
+def test_both_features_share_one_shuffle_of_the_rows(spark):
+    out = rolling_top(fx.clean(spark, SMALL))
     text = executed(out.select("most_recent_clicked_product", "most_recent_clicked_webpage"))
     final = text.split("Initial Plan")[0]
-    assert final.count("Exchange hashpartitioning") == 1 and final.count("Sort [") == 1
+    # The rows once, and once more the few at the edges of ranges.
+    assert final.count("+- Exchange hashpartitioning") == 2 and final.count("ReusedExchange") == 1
 
 
 def test_value_comes_from_the_frame(clean):
