@@ -16,8 +16,7 @@ from ctrflow.operators.customers import customer_profile
 from ctrflow.operators.split import union_rows
 from ctrflow.plans import jobs, scoring
 from ctrflow.session import scratch_path, stage
-from ctrflow.sources import feature_table as ft
-from ctrflow.sources.feature_table import latest_per_key
+from ctrflow.sources import feature_table as ft, snapshot
 from ctrflow.sources.files import read_matrix
 from ctrflow.streaming import jobs as streams
 
@@ -454,8 +453,8 @@ def stream_latest_per_key(spark, sf_dir):
     )
     out = scratch_path(spark, "stream-out")
     source = _stream_of(rows, spark, "session_id")
-    streams.stream_latest(source, out, f"{out}-checkpoint", "user_id", then="session_id").awaitTermination()
-    return latest_per_key(spark.read.schema(rows.schema).parquet(out), "user_id", then=["session_id"])
+    streams.stream_latest(source, out, f"{out}-checkpoint", "user_id", then=["session_id"], every_seconds=1)
+    return snapshot.read_latest(spark, out, "user_id").drop("event_date")
 
 
 @query("stream_score_features", sql(f"SELECT {REQUEST_MATRIX} FROM request_features", "request_features"))

@@ -15,7 +15,8 @@ from ctrflow.operators.conform import conform
 from ctrflow.operators.rolling import rolling_top
 from ctrflow.plans import jobs, scoring
 from ctrflow.session import scratch_path
-from ctrflow.sources import feature_table as ft, files, prediction_log, registry, requests
+from ctrflow.sources import feature_table as ft, files, prediction_log, registry, requests, snapshot
+from ctrflow.streaming import jobs as streams
 
 REQUIRED_ROWS = "SELECT * FROM required"
 TARGET_FIRST = ", ".join(["is_click", *FEATURES])
@@ -56,13 +57,23 @@ def _loads(spark, sf_dir) -> str:
     """Feature table with two loads of customer profiles: training rows, then the later rows."""
     prepared, path = _prepared(spark, sf_dir, engineered=True), scratch_path(spark, "customers")
     later = prepared.validation.unionByName(prepared.test)
+    for rows, load_time in ((prepared.train, fx.LOAD_1), (later, fx.LOAD_2)):
+        ft.append_features(stamp(customers.customer_profile(rows), load_time), path, load_id=load_time)
+    return path
+
+
+def _snapshot(spark, sf_dir) -> str:
+    """The same table with a snapshot that was refreshed after each of its loads."""
+    prepared, path = _prepared(spark, sf_dir, engineered=True), scratch_path(spark, "customers")
+    later = prepared.validation.unionByName(prepared.test)
     for rows, load_time in ((prepared.train, fx.LOAD_1), (later, fx.LOAD_2)):
         ft.append_features(stamp(customers.customer_profile(rows), load_time), path)
+        snapshot.refresh_latest(spark, path, schema.USER)
     return path
 
 
 def _latest(spark, sf_dir):
-    return ft.latest_per_key(ft.read_features(spark, _loads(spark, sf_dir)), schema.USER)
+    return snapshot.read_latest(spark, _snapshot(spark, sf_dir), schema.USER)
 
 
 @query("feature_append", sql("SELECT * FROM loads", "loads"))
@@ -70,9 +81,21 @@ def feature_append(spark, sf_dir):
     return ft.read_features(spark, _loads(spark, sf_dir))
 
 
-@query("offline_scan", sql("SELECT * FROM loads WHERE event_date >= DATE '2024-02-02'", "loads"))
+@query("offline_scan", sql(
+    "SELECT * FROM loads UNION ALL BY NAME SELECT user_id, gender_encoding, event_time, event_date FROM loads "
+    "WHERE event_time = (SELECT min(event_time) FROM loads)", "loads"
+))
 def offline_scan(spark, sf_dir):
-    return ft.read_features(spark, _loads(spark, sf_dir), since="2024-02-02")
+    """The whole table of two batch loads, the second given twice, and of a stream with fewer columns."""
+    path = _loads(spark, sf_dir)
+    some = ft.read_features(spark, path).where(F.col("event_time") == fx.LOAD_1).select("user_id", "gender_encoding", "event_time")
+    again = ft.read_features(spark, path).where(F.col("event_time") == fx.LOAD_2).drop("event_date")
+    ft.append_features(again, path, load_id=fx.LOAD_2)
+    source = scratch_path(spark, "stream-in")
+    some.write.parquet(source)
+    streams.stream_ingest(
+        streams.read_stream(spark, source, some.schema), path, scratch_path(spark, "checkpoint")).awaitTermination()
+    return ft.read_features(spark, path)
 
 
 def _raw_text(spark, sf_dir):
@@ -97,7 +120,7 @@ def ingest_rejects(spark, sf_dir):
     ft.ingest(
         raw, f"{path}/good", definitions, schema.ID, fx.LOAD_1, f"{path}/rejects", fail=False
     )
-    return spark.read.parquet(f"{path}/rejects")
+    return ft.read_features(spark, f"{path}/rejects").drop("event_date")
 
 
 @query("report_json", sql("SELECT product, round(f1_score, 6) AS f1_score FROM reports", "predictions"))
@@ -313,9 +336,9 @@ def lookup_default(spark, sf_dir):
     "SELECT * FROM latest WHERE user_id = (SELECT max(user_id) FROM loads)", "loads"
 ))
 def get_record(spark, sf_dir):
-    table = ft.read_features(spark, _loads(spark, sf_dir))
-    newest_user = table.agg(F.max("user_id")).first()[0]
-    return ft.get_record(table, schema.USER, newest_user)
+    path = _snapshot(spark, sf_dir)
+    newest_user = ft.read_features(spark, path).agg(F.max("user_id")).first()[0]
+    return snapshot.get_latest(spark, path, schema.USER, newest_user)
 
 
 @query("latest_per_key", sql("SELECT * FROM latest", "loads"))

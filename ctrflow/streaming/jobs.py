@@ -6,20 +6,19 @@ consumed, unless another trigger is given. Sinks are Parquet files, exactly once
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ctrflow.operators.conform import EVENT_TIME
 from ctrflow.operators.encode import Encoder
 from ctrflow.plans.scoring import request_features, score_requests
 from ctrflow.schema import USER
-from ctrflow.sources.feature_table import stream_path
+from ctrflow.sources.feature_table import dated, declare_stream, stream_path
 from ctrflow.sources.prediction_log import sample_log
+from ctrflow.sources.snapshot import refresh_latest
 
 NOW = {"availableNow": True}
 
@@ -46,53 +45,26 @@ def stream_ingest(
     df: DataFrame, path: str, checkpoint: str, event_time: str = EVENT_TIME, trigger: dict = NOW
 ) -> StreamingQuery:
     """Appends every micro-batch to the offline table, beside its batch loads (see ``stream_path``)."""
-    dated = df.withColumn(
-        "event_date", F.to_date(F.substring(F.col(event_time).cast("string"), 1, 10))
-    )
-    return _to_parquet(dated, stream_path(path), checkpoint, trigger, "event_date")
-
-
-def latest_changes(
-    df: DataFrame, key: str, event_time: str = EVENT_TIME, then: str | None = None
-) -> DataFrame:
-    """A stream of new latest records: a row whenever a key's newest record is replaced.
-
-    State holds one record per key. A late record never replaces a newer one. Each input batch is
-    first thinned to its newest record per key where it lies, so a busy key sends few rows to the
-    task that holds its state. Without ``then``, equal times are settled by the whole record.
-    """
-    schema = df.schema
-    names = schema.names
-    order = [event_time, *([then] if then else [c for c in names if c not in (key, event_time)])]
-
-    def thin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values(order).drop_duplicates(key, keep="last")
-
-    def newest(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = pd.DataFrame([state.get], columns=names) if state.exists else None
-        best = before
-        for batch in batches:
-            both = batch if best is None else pd.concat([best, batch])
-            best = both.sort_values(order).tail(1)
-        row = best[names].astype(object).where(best[names].notna(), None)
-        record = tuple(row.iloc[0])
-        if before is None or record != tuple(state.get):
-            state.update(record)
-            yield best[names]
-
-    thinned = df.where(F.col(key).isNotNull()).mapInPandas(thin, schema)
-    return thinned.groupBy(key).applyInPandasWithState(
-        newest, schema, schema, "append", GroupStateTimeout.NoTimeout
-    )
+    rows = dated(df, event_time)
+    declare_stream(df.sparkSession, path, rows.schema)
+    return _to_parquet(rows, stream_path(path), checkpoint, trigger, "event_date")
 
 
 def stream_latest(
     df: DataFrame, path: str, checkpoint: str, key: str, event_time: str = EVENT_TIME,
-    then: str | None = None, trigger: dict = NOW,
-) -> StreamingQuery:
-    """Writes the changes of the latest records; ``latest_per_key`` over them is the online view."""
-    return _to_parquet(latest_changes(df, key, event_time, then), path, checkpoint, trigger)
+    then: Sequence[str] = (), trigger: dict = NOW, every_seconds: int = 60,
+) -> None:
+    """Appends a stream to the table and keeps the table's snapshot of the newest records current until the stream ends.
+
+    Each refresh takes in the files that the sink has committed since the one before, so it costs what is new; a late record
+    never replaces a newer one. A failure of the stream is raised after the last refresh.
+    """
+    query = stream_ingest(df, path, checkpoint, event_time, trigger)
+    try:
+        while not query.awaitTermination(every_seconds):
+            refresh_latest(df.sparkSession, path, key, event_time, then)
+    finally:
+        refresh_latest(df.sparkSession, path, key, event_time, then)
 
 
 def stream_request_features(

@@ -6,7 +6,7 @@ from ctrflow.operators import encode, model
 from ctrflow.operators.customers import customer_profile
 from ctrflow.plans import scoring
 from ctrflow import schema
-from ctrflow.sources import feature_table as ft
+from ctrflow.sources import feature_table as ft, snapshot
 from ctrflow.sources.prediction_log import sample_log
 from ctrflow.streaming import jobs
 from tests.conftest import same, skewed
@@ -30,10 +30,9 @@ def test_latest_equals_the_batch_view_in_any_order(spark, records, tmp_path, new
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     by_day(records, source, newest_first)
     stream = jobs.read_stream(spark, source, records.schema, 1)
-    jobs.stream_latest(stream, out, str(tmp_path / "cp"), "user_id", then="session_id").awaitTermination()
-    changes = spark.read.schema(records.schema).parquet(out)
+    jobs.stream_latest(stream, out, str(tmp_path / "cp"), "user_id", then=["session_id"], every_seconds=1)
     want = ft.latest_per_key(records, "user_id", then=["session_id"])
-    assert same(ft.latest_per_key(changes, "user_id", then=["session_id"]), want)
+    assert same(snapshot.read_latest(spark, out, "user_id").drop("event_date"), want)
 
 
 def test_latest_goes_on_from_its_checkpoint_and_ignores_late_records(spark, records, tmp_path):
@@ -42,12 +41,12 @@ def test_latest_goes_on_from_its_checkpoint_and_ignores_late_records(spark, reco
     for part in (late, early, late.limit(1)):
         part.write.mode("append").parquet(source)
         stream = jobs.read_stream(spark, source, records.schema)
-        jobs.stream_latest(stream, out, checkpoint, "user_id", then="session_id").awaitTermination()
-    changes = spark.read.schema(records.schema).parquet(out)
+        jobs.stream_latest(stream, out, checkpoint, "user_id", then=["session_id"])
+    changes = snapshot.read_latest(spark, out, "user_id").drop("event_date")
     known = late.select("user_id").distinct()
     # Early records changed nothing for users already seen with a later one.
     assert changes.join(known, "user_id", "left_semi").where("DateTime < '2024-01-15'").isEmpty()
-    assert same(ft.latest_per_key(changes, "user_id", then=["session_id"]), ft.latest_per_key(records, "user_id", then=["session_id"]))
+    assert same(changes, ft.latest_per_key(records, "user_id", then=["session_id"]))
 
 
 def test_latest_keeps_nulls(spark, tmp_path):
@@ -55,11 +54,21 @@ def test_latest_keeps_nulls(spark, tmp_path):
     rows = spark.createDataFrame([(1, "2024-01-01", 5, "a"), (1, "2024-01-02", None, None), (None, "2024-01-03", 1, "x")], schema_)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows.write.parquet(source)
-    jobs.stream_latest(jobs.read_stream(spark, source, rows.schema), out, str(tmp_path / "cp"), "user_id").awaitTermination()
-    latest = ft.latest_per_key(spark.read.schema(rows.schema).parquet(out), "user_id")
+    jobs.stream_latest(jobs.read_stream(spark, source, rows.schema), out, str(tmp_path / "cp"), "user_id")
+    latest = snapshot.read_latest(spark, out, "user_id").drop("event_date")
     assert [tuple(r) for r in latest.collect()] == [(1, "2024-01-02", None, None)]
 
 
+def test_large_numbers_beside_nulls_survive(spark, tmp_path):
+    big = 2**53 + 1
+    rows = spark.createDataFrame([(big, "2024-01-01", big, None), (2, "2024-01-01", None, 1.5)], "user_id long, event_time string, code long, x double")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows.coalesce(1).write.parquet(source)
+    jobs.stream_latest(jobs.read_stream(spark, source, rows.schema), out, str(tmp_path / "cp"), "user_id")
+    assert same(snapshot.read_latest(spark, out, "user_id").drop("event_date"), rows)
+    assert snapshot.get_latest(spark, out, "user_id", big).first()["code"] == big
+
+
 def test_ingest_appends_every_row_once(spark, records, tmp_path):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     for part in (records.where("DateTime < '2024-01-15'"), records.where("DateTime >= '2024-01-15'")):

@@ -8,7 +8,7 @@ from ctrflow import schema
 from ctrflow.operators import conform, customers
 from ctrflow.operators.rolling import rolling_top
 from ctrflow.session import scratch_path, small_or_staged, stage
-from ctrflow.sources import feature_table as ft, files, prediction_log, registry
+from ctrflow.sources import commits, feature_table as ft, files, prediction_log, registry, snapshot
 from tests.conftest import executed, same, skewed, table
 
 LOAD = "2024-02-01T00:00:00.000Z"
@@ -66,6 +66,100 @@ def test_ingest_stores_good_rows_and_rejects_the_others(spark, tmp_path):
     assert ft.ingest(df, path, definitions, "session_id", LOAD, fail=False) == 2
 
 
+def test_a_load_given_again_replaces_its_rows_and_rejects(spark, tmp_path):
+    df = spark.createDataFrame([("1", "5"), ("2", "x"), ("4", None)], "session_id string, v string")
+    definitions = {"session_id": "Integral", "v": "Integral"}
+    path, bad = str(tmp_path / "t"), str(tmp_path / "bad")
+    for _ in range(2):
+        with pytest.raises(ft.RejectedRows):
+            ft.ingest(df, path, definitions, "session_id", LOAD, bad)
+    assert ft.read_features(spark, path).count() == 2 and ft.read_features(spark, bad).count() == 1
+    mended = df.replace("x", "7")
+    assert ft.ingest(mended, path, definitions, "session_id", LOAD, bad) == 0
+    assert table(ft.read_features(spark, path).select("session_id", "v"), "session_id") == [(1, 5), (2, 7), (4, None)]
+    assert ft.read_features(spark, bad).isEmpty()
+    later = LOAD.replace("02-01", "02-02")
+    assert ft.ingest(mended, path, definitions, "session_id", later, load_id="a/b c=d") == 0
+    assert ft.read_features(spark, path).count() == 6 and ft.read_features(spark, path, since="2024-02-02").count() == 3
+    ft.remove_load(spark, path, "a/b c=d")
+    assert ft.read_features(spark, path).count() == 3
+    with pytest.raises(KeyError):
+        ft.remove_load(spark, path, "a/b c=d")
+
+
+def test_a_load_that_fails_halfway_is_not_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, LOAD)], "k int, event_time string")
+    ft.append_features(rows, path)
+    with pytest.raises(Exception):
+        ft.append_features(rows.withColumn("k", F.raise_error(F.lit("lost")).cast("int")), path)
+    ft.dated(rows).write.partitionBy("event_date").parquet(f"{path}/_load=x/_attempt=y")  # written, never named
+    assert ft.read_features(spark, path).count() == 1
+
+
+def test_readers_take_the_schema_from_the_state(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ft.append_features(spark.createDataFrame([(1, LOAD)], "k int, event_time string"), path)
+    ft.append_features(spark.createDataFrame([(2, LOAD, "n")], "k int, event_time string, note string"), path)
+    df = ft.read_features(spark, path)
+    assert df.columns == ["k", "event_time", "note", "event_date"]
+    assert table(df.select("k", "note"), "k") == [(1, None), (2, "n")]
+    ft.append_features(spark.createDataFrame([("3", LOAD)], "k string, event_time string"), path)
+    with pytest.raises(ValueError, match="k is integer"):
+        ft.read_features(spark, path)
+
+
+def test_numbers_of_states_are_claimed_once(spark, tmp_path):
+    log = commits.Commits(spark, str(tmp_path / "c"))
+    assert log.last() == (0, None) and log.claim(1, {"a": 1}) and not log.claim(1, {"a": 2})
+    assert log.last() == (1, {"a": 1})
+    assert log.update(lambda s: s | {"b": 2}) == 2 and log.last() == (2, {"a": 1, "b": 2})
+
+
+def test_snapshot_follows_the_loads(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    day = lambda d: f"2024-02-{d:02d}T00:00:00.000Z"
+    rows = lambda ids, d, v: spark.createDataFrame([(i, day(d), v) for i in ids], "k long, event_time string, v string")
+    with pytest.raises(FileNotFoundError):
+        snapshot.refresh_latest(spark, path, "k")
+    ft.append_features(rows(range(40), 1, "a"), path)
+    ft.append_features(rows([None], 9, "nobody"), path)
+    with pytest.raises(FileNotFoundError):
+        snapshot.read_latest(spark, path, "k")
+    assert snapshot.refresh_latest(spark, path, "k") == 1
+    ft.append_features(rows([3, 5, 99], 3, "b"), path)
+    ft.append_features(rows([3, 4], 2, "late"), path, load_id="late")
+    read = []
+    plain = snapshot.read_loads
+    monkeypatch.setattr(snapshot, "read_loads", lambda s, p, folders, f: read.extend(folders) or plain(s, p, folders, f))
+    assert snapshot.refresh_latest(spark, path, "k") == 2 and len(read) == 2  # what was there before is not read again
+    assert snapshot.refresh_latest(spark, path, "k") == 2 and len(read) == 2
+    same_as_all = lambda: same(snapshot.read_latest(spark, path, "k"), ft.latest_per_key(ft.read_features(spark, path).where("k IS NOT NULL"), "k"))
+    assert same_as_all()
+    for k, v in ((3, "b"), (4, "late"), (7, "a"), (99, "b")):
+        assert snapshot.get_latest(spark, path, "k", k).first()["v"] == v
+    assert snapshot.get_latest(spark, path, "k", 1000).isEmpty() and snapshot.get_latest(spark, path, "k", None).isEmpty()
+    plan = executed(snapshot.get_latest(spark, path, "k", 3))
+    assert "PartitionFilters: [isnotnull(_bucket" in plan and "PushedFilters: [IsNotNull(k), EqualTo(k,3)]" in plan
+    ft.append_features(rows(range(30), 5, "c"), path)  # as many as half of the first generation: merged
+    assert snapshot.refresh_latest(spark, path, "k") == 1 and same_as_all()
+    assert "Exchange" not in executed(snapshot.read_latest(spark, path, "k"))
+    ft.append_features(rows([4], 1, "mended"), path, load_id="late")
+    assert snapshot.refresh_latest(spark, path, "k") == 1 and same_as_all()
+    assert snapshot.drop_old_generations(spark, path, "k") == 4 and same_as_all()
+    with pytest.raises(ValueError, match="ordered"):
+        snapshot.refresh_latest(spark, path, "k", then=["v"])
+
+
+def test_newest_equals_the_ranked_form_on_ties_and_nulls(spark):
+    rows = [(1, None, "x"), (1, "2024", "a"), (1, "2024", "b"), (2, None, None), (None, "1", "n"), (2, None, "q")]
+    df = spark.createDataFrame(rows, "k int, event_time string, v string")
+    for then in ([], ["v"]):
+        assert same(snapshot.newest(df, "k", then=then), ft.latest_per_key(df, "k", then=then))
+    hidden = df.withColumn("_rank", F.lit(1))
+    assert ft.latest_per_key(hidden, "k").columns == hidden.columns
+
+
 def test_date_range_prunes_partitions(spark, rows_of, tmp_path):
     path = str(tmp_path / "t")
     df = rows_of({}).select("user_id")
