@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ctrflow.llm.common import (
-    BASE, Scratch, by_bucket, mix, one_row_per_id, pack, packed_schema, partitions, text_chunks, tokens, unpack,
+    BASE, Scratch, by_bucket, mix, one_row_per_id, pack, packed_schema, partitions, release, text_chunks, tokens, unpack,
 )
 
 #: Counts up to this are discounted.
@@ -40,7 +40,9 @@ BEGIN, END = np.uint64(0x51ED270B0A1F39C1), np.uint64(0xA0761D6478BD642F)
 #: Share of all tokens from which a word is frequent, places it is spread over, documents looked at for it.
 FREQUENT, SPREAD, LOOKED_AT = 1e-3, 16, 4000
 #: Tokens of one bucket of the model on average, and least number of buckets.
-BUCKET_TOKENS, LEAST_BUCKETS = 12_000_000, 24
+BUCKET_TOKENS, LEAST_BUCKETS = 2_500_000, 24
+#: Bytes of text whose pairs a task holds at a time.
+PAIR_BYTES = 6 << 20
 #: Parts the documents are scored in.
 WAVES = 3
 
@@ -136,7 +138,7 @@ def starts_of(key: np.ndarray) -> np.ndarray:
 
 def _count_pairs(frequent: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in text_chunks(batches):
+        for _, texts in text_chunks(batches, PAIR_BYTES):
             words, first, second, _ = pairs_of(texts)
             key = second * len(words) + first
             del first, second
@@ -202,7 +204,7 @@ def _frequent_histories(frequent: np.ndarray, stats: Statistics):
 
 def _send_uses(frequent: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_chunks(batches):
+        for ids, texts in text_chunks(batches, PAIR_BYTES):
             words, first, second, text = pairs_of(texts)
             key = first * len(words) + second
             del first, second
@@ -235,6 +237,7 @@ def _score(stats: Statistics):
         gain = np.log10(stats.discounted(count) / under[number]) - np.log10(p)
         order = np.argsort(pair)
         pair, gain = pair[order], gain[order]
+        del key, length, other, count, p, number, less, seen, order
         backoff = np.log10(alpha)
         often = np.array(sorted(stats.histories), np.uint64)
         often_sums = np.array([stats.histories[w] for w in often.tolist()]).reshape(-1, 3)
@@ -271,6 +274,8 @@ def _score(stats: Statistics):
             out.append(pa.table(
                 [pa.array(ids[full]), pa.array(pairs[full]), pa.array(sums[2][full].astype(np.int64)), pa.array(sums[1][full]), pa.array(sums[0][full])],
                 names=["doc_id", "n_tokens", "n_known", "base_score", "score"]))
+        del pair, gain
+        release()
         if not out:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
                             names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
@@ -312,7 +317,7 @@ def katz_scores(df: DataFrame, is_training: Column, id_col: str = "doc_id", text
     # About one token in six bytes of text decides on the number of buckets only.
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     buckets = max(LEAST_BUCKETS, math.ceil(size / 6 / BUCKET_TOKENS))
-    first_buckets = partitions(spark) | 1
+    first_buckets = max(partitions(spark), buckets) | 1
 
     counted_ = training.mapInArrow(_count_pairs(frequent, first_buckets), PAIRS)
     model = scratch.stage(by_bucket(counted_, _add_counts(frequent, buckets), PAIRS, first_buckets), "model")
