@@ -4,9 +4,10 @@ Features are hashed lower-case words, word pairs and pairs with one word between
 per coordinate: each keeps the sum of its gradients (z) and of their squares (n), which give its rate, and L1
 keeps weights at zero until the evidence is strong, so that the model is a short list of coordinates.
 
-Training runs in shards of bounded size. In each round every shard learns from its rows, starting at the
-common state, and the states are averaged (sums by coordinate in Spark). A toxic row weighs as much more as such
-rows are rarer. Scoring is a map over all rows.
+Training runs in shards of bounded size. The features of a shard are computed once and stored as one row. In each round every
+shard learns from its row, in a map, starting at the common state; the states are averaged slice by slice of the coordinates, and
+one state of at most as many entries as there are coordinates comes back. A toxic row weighs as much more as such rows are rarer. Scoring is a map over
+all rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from ctrflow.llm.common import Scratch, mix, text_chunks, tokens
 #: Coordinates; rows the model is fitted on at most (drawn evenly by a hash of the id); shards, rounds, passes per round.
 DIMENSIONS, MAX_ROWS, SHARDS, ROUNDS, PASSES = 1 << 20, 16_000, 4, 4, 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.01
+#: Coordinates of a slice of a state.
+SLICE = 1 << 16
 
 
 def features(texts: list[bytes], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,26 +109,53 @@ class ToxicityModel:
         return plain.mapInArrow(run, f"`{id_col}` {plain.schema[id_col].dataType.simpleString()}, score double")
 
 
+def _shard(dimensions: int):
+    """The rows of one shard, ordered by id and text, as arrays of coordinates, starts and labels."""
+    def pack(table: pa.Table) -> pa.Table:
+        texts = [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
+        order = sorted(range(len(texts)), key=list(zip(map(str, table.column("id").to_pylist()), texts)).__getitem__)
+        found, starts = [], [0]
+        for i in range(0, len(order), 256):
+            at, ends = features([texts[k] for k in order[i:i + 256]], dimensions)
+            found.append(at.astype(np.int32))
+            starts += (ends[1:] + starts[-1]).tolist()
+        labels = np.asarray(table.column("label"))[order].astype(np.int8)
+        packed = np.concatenate(found), np.array(starts, np.int64), labels
+        return pa.table([pa.array([x.tobytes()], pa.binary()) for x in packed], names=["found", "starts", "labels"])
+
+    return pack
+
+
 def _learner(start, seed: int, dimensions: int, passes: int, balance: float):
-    """The function that learns from the rows of one shard, beginning at the broadcast state ``start``."""
-    def learn(table: pa.Table) -> pa.Table:
-        own = Ftrl.zero(dimensions)
-        at, z, n = start.value
-        own.z[at], own.n[at] = z, n
-        order = np.argsort(np.asarray(table.column("id")).astype(str), kind="stable")
-        labels = np.asarray(table.column("label"))[order]
-        texts = table.column("text").cast(pa.binary()).take(pa.array(order)).to_pylist()
-        found, starts = features([t or b"" for t in texts], dimensions)
-        rng = np.random.default_rng(seed)
-        for _ in range(passes):
-            for i in rng.permutation(len(labels)):
-                own.learn(found[starts[i]:starts[i + 1]], labels[i], balance if labels[i] else 1.0)
-        at = np.flatnonzero(own.n)
-        return pa.table([pa.array(at), pa.array(own.z[at]), pa.array(own.n[at])], names=["coordinate", "z", "n"])
+    """The function that learns from each shard, beginning at the broadcast state ``start``."""
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            own = Ftrl.zero(dimensions)
+            at, z, n = start.value
+            own.z[at], own.n[at] = z, n
+            found, starts, labels = (np.frombuffer(row[c], t) for c, t in (("found", np.int32), ("starts", np.int64), ("labels", np.int8)))
+            rng = np.random.default_rng(seed)
+            for _ in range(passes):
+                for i in rng.permutation(len(labels)):
+                    own.learn(found[starts[i]:starts[i + 1]].astype(np.int64), labels[i], balance if labels[i] else 1.0)
+            at = np.flatnonzero(own.n)
+            ends = np.searchsorted(at, np.arange(0, dimensions + 1 + SLICE, SLICE))
+            parts = [at[a:b] for a, b in zip(ends, ends[1:])]
+            columns = [[x.astype(np.int32).tobytes() for x in parts], [own.z[x].tobytes() for x in parts], [own.n[x].tobytes() for x in parts]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(parts)), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], names=["slice", "coordinate", "z", "n"])
 
     return learn
 
 
+def _average(table: pa.Table) -> pa.Table:
+    """One slice of the states of all shards: a coordinate is averaged over the shards that know it, so rare ones are not diluted."""
+    at, z, n = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("coordinate", np.int32), ("z", np.float64), ("n", np.float64)))
+    at, place, shards = np.unique(at, return_inverse=True, return_counts=True)
+    state = at, np.bincount(place, z, len(at)) / shards, np.bincount(place, n, len(at)) / shards
+    return pa.table([pa.array([x.tobytes()], pa.binary()) for x in state], names=["coordinate", "z", "n"])
+
+
 def fit_toxicity(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", dimensions: int = DIMENSIONS,
     max_rows: int = MAX_ROWS, shards: int = SHARDS, rounds: int = ROUNDS, passes: int = PASSES,
@@ -143,25 +173,21 @@ def fit_toxicity(
     place = F.pmod(F.xxhash64("id", F.lit("toxicity")), F.lit(1 << 30))
     rows = rows.where(place < int(share * (1 << 30)) + 1)
     shard = F.pmod(F.xxhash64("id", F.lit("shard")), F.lit(shards)).cast("int")
-    rows = scratch.stage(rows.select("id", "text", "label", shard.alias("shard")).repartition(shards, "shard"), "rows")
+    dealt = rows.select("id", "text", "label", shard.alias("shard")).repartition(shards, "shard")
+    packed = scratch.stage(dealt.groupBy("shard").applyInArrow(_shard(dimensions), "found binary, starts binary, labels binary"), "rows")
     state = Ftrl.zero(dimensions)
     for round_ in range(rounds):
         held = np.flatnonzero(state.n)
         start = df.sparkSession.sparkContext.broadcast((held, state.z[held], state.n[held]))
-
-        learn = _learner(start, round_, dimensions, passes, balance)
-        learned = rows.groupBy("shard").applyInArrow(learn, "coordinate long, z double, n double")
-        total = learned.groupBy("coordinate").agg(F.sum("z").alias("z"), F.sum("n").alias("n"), F.count("*").alias("shards"))
-        # A coordinate is averaged over the shards that know it; rare ones are not diluted.
-        got = total.select("coordinate", (F.col("z") / F.col("shards")).alias("z"), (F.col("n") / F.col("shards")).alias("n"))
-        if round_ < rounds - 1:
-            got = got.where(f"n > 0.5 OR coordinate = {dimensions}")  # the rest starts anew; nothing but a start is lost
-        else:
-            got = got.where(f"abs(z) > {L1} OR coordinate = {dimensions}")
-        got = got.toArrow()
+        learned = packed.mapInArrow(_learner(start, round_, dimensions, passes, balance), "slice int, coordinate binary, z binary, n binary")
+        averaged = learned.groupBy("slice").applyInArrow(_average, "coordinate binary, z binary, n binary").toArrow()
         state = Ftrl.zero(dimensions)
-        at = np.asarray(got.column("coordinate"))
-        state.z[at], state.n[at] = np.asarray(got.column("z")), np.asarray(got.column("n"))
+        for coordinate, z, n in zip(*(averaged.column(c) for c in ("coordinate", "z", "n"))):
+            at = np.frombuffer(coordinate.as_buffer(), np.int32)
+            state.z[at], state.n[at] = np.frombuffer(z.as_buffer(), np.float64), np.frombuffer(n.as_buffer(), np.float64)
+        start.destroy()
+        del learned, averaged
+        scratch.free()
     scratch.drop("rows")
     weights = state.weights(np.arange(dimensions + 1))
     held = np.flatnonzero(weights[:-1])
