@@ -32,8 +32,8 @@ _END = b"."
 OTHER = np.uint64(0)
 #: Places of a stripe, by the number of words of its prefix.
 PLACES_BITS = [16, 8, 8, 8]
-#: Bytes of text whose stripes are merged in one task.
-BUCKET_BYTES = 12 << 20
+#: Bytes of text whose stripes are counted at a time, and whose stripes are merged in one task.
+CHUNK, BUCKET_BYTES = 5 << 20, 10 << 20
 #: Largest bitmap: 16 MB.
 MOST_BITS = 27
 STRIPES = "prefix long, next long, key long, f long, longest long, text binary"
@@ -45,7 +45,7 @@ def _extend(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 def _read(batches: Iterator[pa.RecordBatch]):
     """Per chunk of texts: words, their hashes, where pieces end, and the hash of the language, word by word."""
-    for langs, texts in text_chunks(batches):
+    for langs, texts in text_chunks(batches, CHUNK):
         words: list[bytes] = []
         sizes = []
         for text in texts:
@@ -103,6 +103,7 @@ def _stripes(texts: DataFrame, level: int, buckets: int, known, bits: int) -> Da
                 at = at[order].tolist()
                 ends = np.append(runs(bucket), len(bucket)).tolist()
                 spelt = pa.array([_END.join(words[i] for i in at[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+            del prefix, following, counts, bucket, order, at
             yield pa.RecordBatch.from_arrays(
                 [*stripes.columns, entries.column(1), entries.column(2), spelt], names=["bucket", "prefix", "size", "next", "count", "text"])
 
