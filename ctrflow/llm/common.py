@@ -7,6 +7,7 @@ the task of a bucket sees plain arrays again.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterable, Iterator
 
@@ -23,7 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task holds as arrays at a time.
 CHUNK_BYTES = 8 << 20
 #: Words whose hashes a worker remembers.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 #: Multiplier of the rolling hashes, odd (the 64-bit golden ratio).
 BASE = 0x9E3779B97F4A7C15
 
@@ -83,7 +84,7 @@ def row_keys(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, namele
     """``df`` with ``row_key``, a number that no two rows share, and a table (row_key, id) of it.
 
     Keys ascend with the ids, and among rows of one id with a hash of the text. Rows without an id have none, or one of their
-    own if ``nameless``. Where ids tell all rows apart they are the keys themselves, and there is no table; else the
+    own, above all others, if ``nameless``. Where ids tell all rows apart they are the keys themselves, and there is no table; else the
     rows are staged, since their numbers depend on how they are dealt out. Ids are integers.
     """
     id_ = F.col(id_col).cast("long")
@@ -91,7 +92,7 @@ def row_keys(df: DataFrame, id_col: str, text_col: str, scratch: Scratch, namele
     if counts.where("id IS NULL" if nameless else "false").unionByName(counts.where("id IS NOT NULL AND count > 1")).isEmpty():
         return df.withColumn("row_key", id_), None
     # The place in the input keeps equal rows apart, so that many of them are no single range.
-    order = [id_, F.xxhash64(F.col(text_col).cast("string")), F.col("row_key")]
+    order = [id_.asc_nulls_last(), F.xxhash64(F.col(text_col).cast("string")), F.col("row_key")]
     rows = df.withColumn("row_key", F.monotonically_increasing_id())
     rows = rows.repartitionByRange(partitions(df.sparkSession), *order).sortWithinPartitions(*order)
     # These numbers ascend from one range to the next.
@@ -139,8 +140,20 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_MEMO.__getitem__, words), np.uint64, len(words))
 
 
+def release() -> None:
+    """Hands free memory of this process back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
-    """(ids, texts as bytes) of columns 0 and 1, about ``limit`` bytes at a time; null texts are empty."""
+    """(ids, texts as bytes) of columns 0 and 1, about ``limit`` bytes at a time; null texts are empty.
+
+    What a chunk needed goes back to the system before the next one, since a worker lives on through many tasks.
+    """
     ids: list = []
     texts: list[bytes] = []
     size = 0
@@ -154,8 +167,10 @@ def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) ->
                 ids, texts, size = [], [], 0
                 if len(_MEMO) > MEMO_WORDS:
                     _MEMO.clear()
+                release()
     if ids:
         yield ids, texts
+    release()
 
 
 def tokens(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

@@ -32,6 +32,8 @@ from ctrflow.llm.components import components
 
 #: Shingles and documents on each side of a tile, on average.
 TILE_SHINGLES, TILE_DOCUMENTS = 2_000_000, 4000
+#: Bytes of text whose sets and signatures of two bands a task holds at a time.
+SENT_BYTES = 4 << 20
 #: Documents looked at for common shingles, and documents among them that make a shingle common.
 LOOKED_AT, LEAST_COMMON = 4000, 3
 #: Kinds of rows: a candidate pair, an equal pair, a document with its set size.
@@ -124,7 +126,7 @@ def common_shingles(docs: DataFrame, n: int) -> np.ndarray:
 
 def _send(n: int, percent: int, buckets: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in text_chunks(batches):
+        for ids, texts in text_chunks(batches, SENT_BYTES):
             ids = np.asarray(ids, np.int64)
             by_id = np.argsort(ids, kind="stable")  # the first document of a hash is the smallest
             ids = ids[by_id]

@@ -63,9 +63,11 @@ def counted_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarr
 
 def sums_by(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Sums of ``counts[i]`` consecutive rows of ``values``."""
-    total = np.concatenate([np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)])
-    ends = np.cumsum(counts)
-    return total[ends] - total[ends - counts]
+    out = np.zeros((len(counts), values.shape[1]))
+    full = np.flatnonzero(counts)
+    if len(full):
+        out[full] = np.add.reduceat(values, (np.cumsum(counts) - counts)[full], axis=0)
+    return out
 
 
 @dataclass
@@ -93,7 +95,7 @@ class LanguageModel:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             model = shared.value
             first = model.block(0)
-            for rows, texts in text_chunks(batches, 4 << 20):
+            for rows, texts in text_chunks(batches, 2 << 20):
                 words, at, counts = counted_words(texts)
                 hashed, size = trigrams(words)
                 parts = []

@@ -403,10 +403,32 @@ def test_stages_decide_per_row(spark, shared):
     given = texts(shared)
     a, b = (next(t for i, t in given if i == k) for k in (1, 2))
     one = texts(stages["n-gram Jaccard join"](spark, shared, SMALL))
-    # Stage 2: the equal row and the near copy of document 2 go, all other texts and the rows without an id stay.
-    assert one == given - Counter({(1, a): 1, (3, b + " tail of three"): 1})
+    # Stage 2: the equal rows, with and without an id, and the near copy of document 2 go; all other texts stay.
+    left = given - Counter({(1, a): 1, (None, a): 2, (3, b + " tail of three"): 1})
+    assert one == left
     two = texts(stages["substring dedup"](spark, shared, SMALL))
-    assert two == given - Counter({(1, a): 1, (3, b + " tail of three"): 1}) + Counter({(3, "tail of three"): 1})
+    assert two == left + Counter({(3, "tail of three"): 1})
+
+
+def test_stages_decide_about_rows_without_an_id(spark):
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    good = docs.where("lang = 'en' AND n_chars > 400").orderBy("doc_id").first()
+    rows_ = [(None, good.text, "en"), (None, good.text, "en"), (5, good.text, "en"), (None, good.text + " 7", "en"), (None, "@@ ## 12", "en"),
+             (None, "", None), (9, "... 4", "en"), (9, good.text, "en")]
+    df = spark.createDataFrame([(i, t, lang, "s", None) for i, t, lang in rows_], "doc_id long, text string, lang string, source string, n_chars long")
+    known = stages["language ID"](spark, docs.unionByName(df), SMALL).where("source = 's'")
+    assert Counter(r.doc_id for r in known.collect()) == {None: 3, 5: 1, 9: 1}
+    assert [r.doc_id for r in stages["n-gram Jaccard join"](spark, df.where("length(text) > 20"), SMALL).collect()] == [5]
+    nameless = df.where("doc_id IS NULL AND length(text) > 20")
+    assert stages["n-gram Jaccard join"](spark, nameless, SMALL).count() == 1
+    toxic = spark.read.parquet(f"{SMALL}/labels.parquet").where("toxic = 1").select("doc_id")
+    many = docs.join(toxic, "doc_id", "left_semi").withColumn("doc_id", F.lit(None).cast("long"))
+    many = docs.where("lang = 'en'").unionByName(many.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("n"))
+    kept = stages["mixing sources to target weights"](spark, many, SMALL)
+    assert 0 < kept.where("doc_id IS NULL").count() < many.where("doc_id IS NULL").count()
 
 
 def test_queries_return_each_row(spark, shared, tmp_path):
