@@ -14,34 +14,36 @@ ORACLE_SQL = None
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with ``row_key``, which every row has for itself: decisions are about rows, not about ids."""
+    return row_keys(docs, "doc_id", "text", Scratch(docs.sparkSession, name), nameless=True)[0]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those without words, in other languages or in none go."""
-    found = language.identify(docs, language.fit_languages(docs), declared="lang", host="source")
-    rejected = found.groupBy("doc_id").agg(F.min(F.col("rejected").cast("int")).alias("gone")).where("gone = 1").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti").select(COLUMNS)
+    docs = keyed(docs, "language")
+    found = language.identify(docs, language.fit_languages(docs), "row_key", declared="lang", host="source")
+    return docs.join(found.where("rejected").select("row_key"), "row_key", "left_anti").select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, of the smallest id, of each group connected by a Jaccard similarity of 0.8 of five-word shingles. Rows that
-    share an id are compared like others; rows without an id stay."""
-    docs, _ = row_keys(docs, "doc_id", "text", Scratch(spark, "near"))
-    named, nameless = docs.where("row_key IS NOT NULL"), docs.where("row_key IS NULL")
-    found = jaccard.jaccard_components(named, "row_key", n=5, percent=80)
+    share an id and rows without one are compared like others; the latter only stay where no row of their group has an id."""
+    docs = keyed(docs, "near")
+    found = jaccard.jaccard_components(docs, "row_key", n=5, percent=80)
     copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("row_key"))
-    return named.join(copies, "row_key", "left_anti").select(COLUMNS).unionByName(nameless.select(COLUMNS))
+    return docs.join(copies, "row_key", "left_anti").select(COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without windows of 20 words that start earlier; what is left is joined by spaces, untouched texts stay as they
-    are, and documents of which nothing is left go. Each row of a repeated id is cut for itself; rows without an id stay."""
-    docs, _ = row_keys(docs, "doc_id", "text", Scratch(spark, "cut"))
-    named, nameless = docs.where("row_key IS NOT NULL"), docs.where("row_key IS NULL")
-    left = substring.remove_repeats(named, "row_key").where("n_removed > 0").select(F.col("doc_id").alias("row_key"), "kept")
+    are, and documents of which nothing is left go. Each row of a repeated id is cut for itself; rows without an id come last."""
+    docs = keyed(docs, "cut")
+    left = substring.remove_repeats(docs, "row_key").where("n_removed > 0").select(F.col("doc_id").alias("row_key"), "kept")
     text = F.coalesce("kept", "text")
-    return named.join(left, "row_key", "left").where("kept IS NULL OR kept <> ''").select(
+    return docs.join(left, "row_key", "left").where("kept IS NULL OR kept <> ''").select(
         "doc_id", text.alias("text"), "lang", "source",
-        F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long")).alias("n_chars")).unionByName(
-            nameless.select(COLUMNS))
+        F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("kept").cast("long")).alias("n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +53,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = mixing.fit_domains(labelled_domains(docs, labels), list(TARGETS))
-    rates = mixing.fit_rates(docs, model, TARGETS, anchor="good")
-    gone = rates.groupBy("doc_id").agg(F.max("rate").alias("rate")).where(mixing.taken(F.col("rate"), F.col("doc_id")) == 0)
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(COLUMNS)
+    docs = keyed(docs, "mix")
+    rates = mixing.fit_rates(docs, model, TARGETS, "row_key", anchor="good")
+    gone = rates.where(mixing.taken(F.col("rate"), F.col("row_key")) == 0)
+    return docs.join(gone.select("row_key"), "row_key", "left_anti").select(COLUMNS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
