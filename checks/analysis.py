@@ -16,7 +16,7 @@ from ctrflow.operators.customers import customer_profile
 from ctrflow.operators.split import union_rows
 from ctrflow.plans import jobs, scoring
 from ctrflow.session import scratch_path, stage
-from ctrflow.sources import feature_table as ft, snapshot
+from ctrflow.sources import feature_table as ft, registry, snapshot
 from ctrflow.sources.files import read_matrix
 from ctrflow.streaming import jobs as streams
 
@@ -378,6 +378,21 @@ def score_requests(spark, sf_dir):
     return fx.rounded(scored).select("batch_id", "position", "user_id", "probability", "prediction", "label")
 
 
+@query("score_approved", sql(
+    f"SELECT {REQUEST_MATRIX}, {' AND '.join(c + ' IS NOT NULL' for c in REQUEST_MATRIX.split(', ')[3:])} AS scored FROM request_features",
+    "request_features",
+))
+def score_approved(spark, sf_dir):
+    """Trained, gated, registered and approved; then scored with what is on disk. A row is scored if all its codes are known."""
+    out = scratch_path(spark, "train")
+    jobs.train_evaluate(fx.impressions(spark, sf_dir), out, fx.CUTS, fit=model.fit_logistic, threshold=0.0, engineered=True)
+    known = registry.read_registry(spark, f"{out}/registry")
+    registry.set_status(known, f"{out}/registry", "ctr", 1, registry.APPROVED, F.lit("2999-01-01"))
+    _, _, customers = _scoring_inputs(spark, sf_dir)
+    scored = jobs.score_approved(fx.request_batches(spark, sf_dir), customers, out)
+    return scored.select(*REQUEST_MATRIX.split(", "), F.col("probability").isNotNull().alias("scored"))
+
+
 @query("confusion_matrix", sql(
     "SELECT 0 AS actual, CAST(tn AS BIGINT) AS predicted_0, CAST(fp AS BIGINT) AS predicted_1 FROM cells UNION ALL "
     "SELECT 1, CAST(fn AS BIGINT), CAST(tp AS BIGINT) FROM cells", "predictions",
@@ -536,6 +551,27 @@ def ingest_transactions(spark, sf_dir):
     return table.select(*STORED.split(", "), "event_time", "event_date")
 
 
+def _extended(code, of):
+    """The code of a column of products, where one product came after all others."""
+    return (f"CAST(CASE WHEN {of} = 'C' THEN (SELECT count(DISTINCT product) - 1 FROM encoded_all) WHEN {of} > 'C' THEN {code} - 1 "
+            f"ELSE {code} END AS BIGINT) AS {code}")
+
+
+@query("ingest_new_labels", sql(
+    "SELECT session_id, product, {}, {}, webpage_id_encoding::BIGINT AS webpage_id_encoding FROM encoded_all".format(
+        _extended("product_encoding", "product"), _extended("most_recent_clicked_product_encoding", "most_recent_clicked_product")),
+    "encoded_all",
+))
+def ingest_new_labels(spark, sf_dir):
+    """A load with a product that the saved encoder has never seen: old codes stay, the new product gets the next one."""
+    out, rows = scratch_path(spark, "ingest"), fx.impressions(spark, sf_dir)
+    encode.fit_label(jobs.prepare(rows).where("product <> 'C'"), schema.ENCODED).save(f"{out}/codes")
+    encoder = encode.Encoder.load(spark, f"{out}/codes")
+    jobs.ingest_features(rows, f"{out}/transactions", f"{out}/customers", fx.LOAD_1, encoder, on_unseen="extend")
+    return ft.read_features(spark, f"{out}/transactions").select(
+        "session_id", "product", "product_encoding", "most_recent_clicked_product_encoding", "webpage_id_encoding")
+
+
 PROFILE = "user_id, gender_encoding, age_level_encoding, most_recent_clicked_product_encoding, most_recent_clicked_webpage_encoding"
 
 

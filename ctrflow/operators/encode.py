@@ -71,6 +71,19 @@ class Encoder:
         unseen = F.raise_error(F.concat(F.lit(f"unseen label in {source}: "), text))
         return F.when(code.isNull(), unseen).otherwise(code)
 
+    def extended(self, df: DataFrame, columns: Sequence[str] | None = None, max_labels: int = MAX_LOCAL_ROWS) -> Encoder:
+        """An encoder that also knows the labels of ``df``: old labels keep their codes, new ones of a column get the numbers after its
+        largest code, in the order of the typed values."""
+        columns = list(columns or self.columns())
+        label = F.coalesce(*[F.col(c).cast("string") for c in columns])
+        tally = value_tally(df, columns, F.lit(1).alias("_one")).drop("_one").withColumn("_known", label)
+        known = self.mapping.select("column", F.col("label").alias("_known"))
+        fresh = _numbered_mapping(df, columns, tally.join(known, ["column", "_known"], "left_anti").drop("_known"), columns, max_labels)
+        first = self.mapping.groupBy("column").agg((F.max("code") + 1).alias("_first"))
+        numbered = fresh.join(first, "column", "left").withColumn("code", (F.coalesce("_first", F.lit(0)) + F.col("code")).cast("int"))
+        both = self.mapping.unionByName(numbered.select(*self.mapping.columns))
+        return Encoder(small_or_staged(both, "mapping", max_labels), self.default)
+
     def columns(self) -> list[str]:
         return sorted(r[0] for r in self.mapping.select("column").distinct().collect())
 

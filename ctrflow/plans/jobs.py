@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ctrflow.functions.codes import gender_code
 from ctrflow.functions.time import stamp
 from ctrflow.operators.clean import clean_rows
+from ctrflow.operators.codes_stage import CodeLookup
 from ctrflow.operators.conform import EVENT_TIME
 from ctrflow.operators.customers import customer_profile
 from ctrflow.operators.encode import (
@@ -27,15 +30,16 @@ from ctrflow.operators.model import fit_boosted, predict
 from ctrflow.operators.rolling import rolling_top
 from ctrflow.operators.sample import balance, shuffle_rows
 from ctrflow.operators.split import time_split
+from ctrflow.plans.scoring import score_with
 from ctrflow.schema import (
     ENCODED, ENGINEERED, FEATURES, FEATURES_ENGINEERED, ID, TIME, USER, infer_definitions,
     project, to_string,
 )
 from ctrflow.session import stage
-from ctrflow.sources.feature_table import ingest
+from ctrflow.sources.feature_table import append_features, ingest
 from ctrflow.sources.files import as_report, write_matrix, write_report
 from ctrflow.sources.registry import (
-    F1_THRESHOLD, PENDING, approved_path, quality_gate, read_registry, register_models,
+    F1_THRESHOLD, PENDING, approved_path, claim_version, quality_gate, read_registry, register_models,
 )
 
 # ---- fixed values: default cut points of the time split --------------------------------------
@@ -146,16 +150,23 @@ def preprocess_to_files(
     return prepared
 
 
+UNSEEN = ("error", "null", "extend", "reject")
+
+
 def transactions(
-    impressions: DataFrame, encoder: Encoder | None = None
+    impressions: DataFrame, encoder: Encoder | None = None, on_unseen: str = "error"
 ) -> tuple[DataFrame, Encoder]:
-    """All impressions with rolling features and codes.
+    """All impressions with rolling features and codes, and the encoder that gave them.
 
     Pass the saved encoder of the trained model to keep its codes; without one they are fitted on
-    this load.
+    this load. A label that the encoder does not know raises, gets a null code (null, reject), or the next free code (extend).
     """
+    if on_unseen not in UNSEEN:
+        raise ValueError(f"on_unseen must be one of {UNSEEN}, not {on_unseen!r}")
     rows = stage(rolling_top(prepare(impressions)), "rolling")
-    return encode_all(rows, encoder)
+    if encoder is not None and on_unseen == "extend":
+        encoder = encoder.extended(rows)
+    return encode_all(rows, encoder, on_unseen="null" if on_unseen in ("null", "reject") else "error")
 
 
 def ingest_features(
@@ -164,9 +175,19 @@ def ingest_features(
     customers_path: str,
     load_time: str,
     encoder: Encoder | None = None,
+    on_unseen: str = "error",
 ) -> Encoder:
-    """Feature ingestion: both feature tables from one load."""
-    rows, encoder = transactions(impressions, encoder)
+    """Feature ingestion: both feature tables from one load; returns the encoder, to be saved where it was extended.
+
+    See ``transactions`` for ``on_unseen``; with ``reject``, rows with a label without a code go to
+    ``<transactions_path>_unseen`` instead of the tables.
+    """
+    rows, encoder = transactions(impressions, encoder, on_unseen)
+    if on_unseen == "reject":
+        codes = [F.col(c) for c in rows.columns if c.endswith("_encoding")]
+        known = reduce(Column.__and__, [c.isNotNull() for c in codes])
+        append_features(stamp(rows.where(~known), load_time), f"{transactions_path}_unseen", load_id=load_time)
+        rows = rows.where(known)
     customers = customer_profile(rows)
     for df, path, key in ((rows, transactions_path, ID), (customers, customers_path, USER)):
         ingest(df, path, infer_definitions(df), key, load_time, rejects_path=f"{path}_rejects")
@@ -188,22 +209,27 @@ def train_evaluate(
     out: str,
     cuts: tuple[str, str] = (FIRST_CUT, SECOND_CUT),
     group: str = "ctr",
-    version: int = 1,
-    created: str = "2024-01-31 00:00:00",
+    version: int | None = None,
+    created: str | None = None,
     fit: Callable[[DataFrame], PipelineModel] = fit_boosted,
     comparison: str = ">=",
     threshold: float = F1_THRESHOLD,
     status: str = PENDING,
+    engineered: bool = False,
 ) -> DataFrame:
     """Prepare, fit, evaluate on the test rows, report, and register the model if it passes.
 
-    Returns one row with the F1 score; the model, the report and the registry lie below ``out``.
+    Returns one row with the F1 score; the model, the report and the registry lie below ``out``. The registry gives the
+    version number, unless one is asked for that nobody has; nothing is ever overwritten. The model keeps its encoder as
+    its first stage. ``created`` is now by default.
     """
-    prepared = preprocess(impressions, cuts)
-    train, _, test = matrices(prepared)
+    prepared = preprocess(impressions, cuts, engineered=engineered)
+    train, _, test = matrices(prepared, FEATURES_ENGINEERED if engineered else FEATURES)
     model = fit(stage(train, "train"))
+    version = claim_version(impressions.sparkSession, f"{out}/registry", group, version)
+    created = created or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     model_path = f"{out}/models/{group}/{version}"
-    model.write().overwrite().save(model_path)
+    PipelineModel(stages=[CodeLookup(encoder=prepared.encoder), *model.stages]).write().save(model_path)
     report = stage(f1_score(predict(model, test, inclusive=True)), "report")
     write_report(as_report(report), f"{out}/reports/{group}/{version}")
     candidate = report.select(
@@ -217,5 +243,12 @@ def train_evaluate(
 
 
 def approved_model(spark: SparkSession, out: str, group: str = "ctr") -> PipelineModel:
-    """The newest approved model of a group; raises when there is none."""
+    """The newest approved model of a group, its encoder included; raises when there is none."""
     return PipelineModel.load(approved_path(read_registry(spark, f"{out}/registry"), group))
+
+
+def score_approved(
+    requests: DataFrame, customers: DataFrame, out: str, group: str = "ctr", threshold: float = 0.5
+) -> DataFrame:
+    """Request rows scored by the newest approved model of a group, from what lies below ``out`` alone."""
+    return score_with(approved_model(requests.sparkSession, out, group), requests, customers, threshold)

@@ -37,6 +37,15 @@ def request_features(
     return lookup_default(coded, customers, USER, RECENT).select(*keep, *MATRIX)
 
 
+def score_with(
+    model: PipelineModel, requests: DataFrame, customers: DataFrame, threshold: float = 0.5, body: str = "body"
+) -> DataFrame:
+    """Request rows scored by a model that has its encoder as first stage; nothing but the model and the customers is needed."""
+    codes, *rest = model.stages
+    features = request_features(requests, codes.encoder, customers, body)
+    return score_requests(features, PipelineModel(stages=rest), threshold)
+
+
 def score_requests(features: DataFrame, model: PipelineModel, threshold: float = 0.5) -> DataFrame:
     """Adds probability, the 0/1 prediction and its text; all null where a code is unknown."""
     given = features.withColumn("_given", F.struct(*MATRIX))

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import operator
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ctrflow.sources.commits import Commits
+
 # ---- fixed values: approval states ----------------------------------------------------------
 PENDING, APPROVED, REJECTED = "PendingManualApproval", "Approved", "Rejected"
 # ---- end of fixed values --------------------------------------------------------------------
@@ -21,6 +24,24 @@ class NoApprovedModel(Exception):
     """A group has no approved version."""
 
 
+class UnknownVersion(Exception):
+    """A version that the registry does not have."""
+
+
+class VersionTaken(Exception):
+    """A version number that another model has."""
+
+
+def claim_version(spark: SparkSession, path: str, group: str, version: int | None = None) -> int:
+    """The next version number of a group, or the given one; nobody else gets it, whether the model is registered in the end or not."""
+    numbers = Commits(spark, f"{path.rstrip('/')}/_versions/{quote(group, safe='')}")
+    if version is None:
+        return numbers.update(lambda _: {})
+    if not numbers.claim(version, {}):
+        raise VersionTaken(f"version {version} of group {group} exists")
+    return version
+
+
 def quality_gate(
     df: DataFrame, metric: Column | str = "f1", comparison: str = ">=", threshold: float = F1_THRESHOLD
 ) -> DataFrame:
@@ -40,8 +61,10 @@ def register_models(df: DataFrame, path: str, status: str = PENDING) -> None:
 
 
 def set_status(registry: DataFrame, path: str, group: str, version: int, status: str, changed: Column) -> None:
-    """Appends a change of status of a version that ``registry`` has."""
+    """Appends a change of status of a version; raises if ``registry`` has no such version."""
     known = registry.where((F.col("model_group") == group) & (F.col("version") == version)).drop("status", "changed").limit(1)
+    if known.isEmpty():
+        raise UnknownVersion(f"no version {version} of group {group}")
     register_models(known.withColumns({"status": F.lit(status), "changed": changed.cast("timestamp_ntz")}), path)
 
 

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -11,7 +12,7 @@ from ctrflow.operators.customers import customer_profile
 from ctrflow.plans import jobs, scoring
 from ctrflow.sources import feature_table as ft, registry
 from ctrflow.sources.requests import parse_requests
-from tests.conftest import executed, same, table
+from tests.conftest import SMALL, executed, same, table
 
 SMALL_MODEL = lambda df: model.fit_boosted(df, rounds=2, max_depth=3)
 
@@ -100,6 +101,68 @@ def test_approved_model_can_be_loaded_and_scores(spark, raw, tmp_path, prepared)
         jobs.approved_model(spark, out, "other")
 
 
+def test_versions_are_given_and_nothing_is_overwritten(spark, raw, tmp_path):
+    out = str(tmp_path / "m")
+    for _ in range(2):
+        jobs.train_evaluate(raw, out, fx.CUTS, fit=model.fit_logistic, threshold=0.0)
+    rows = registry.read_registry(spark, f"{out}/registry")
+    assert sorted(r.version for r in rows.collect()) == [1, 2]
+    with pytest.raises(registry.VersionTaken):
+        jobs.train_evaluate(raw, out, fx.CUTS, fit=model.fit_logistic, threshold=0.0, version=2)
+    assert registry.claim_version(spark, f"{out}/registry", "a/b") == 1 and registry.claim_version(spark, f"{out}/registry", "ctr") == 3
+    with pytest.raises(registry.UnknownVersion):
+        registry.set_status(rows, f"{out}/registry", "ctr", 12, registry.REJECTED, F.lit("2024-03-01"))
+    with pytest.raises(registry.NoApprovedModel):
+        jobs.approved_model(spark, out)
+
+
+def test_requests_are_scored_from_disk_alone(spark, raw, clean, tmp_path):
+    out = str(tmp_path / "m")
+    jobs.train_evaluate(raw, out, fx.CUTS, fit=model.fit_logistic, threshold=0.0, status=registry.APPROVED, engineered=True)
+    customers = spark.createDataFrame([(1, 3)], "user_id long, most_recent_clicked_product_encoding int")
+    requests = fx.request_batches(spark, SMALL)
+    loaded = jobs.approved_model(spark, out)
+    scored = jobs.score_approved(requests, customers, out, threshold=0.2)
+    prepared = jobs.preprocess(raw, fx.CUTS, engineered=True)
+    features = scoring.request_features(requests, prepared.encoder, customers)
+    plain = PipelineModel(stages=loaded.stages[1:])
+    assert same(scored, scoring.score_requests(features, plain, 0.2))
+    assert not scored.where("probability IS NOT NULL").isEmpty() and not scored.where("probability IS NULL").isEmpty()
+    # The whole model takes raw rows, and rows that have their codes.
+    rows = prepared.test.select("session_id", *schema.ENCODED, "gender", F.lit(2).alias("most_recent_clicked_product_encoding"))
+    coded = prepared.test.select("session_id", *schema.FEATURES_ENGINEERED).withColumn("most_recent_clicked_product_encoding", F.lit(2))
+    columns = ["session_id", F.round("probability", 9).alias("p")]
+    assert same(model.score(loaded, rows).select(*columns), model.score(plain, coded).select(*columns))
+
+
+def test_new_labels_get_the_next_codes(spark, rows_of):
+    old = rows_of(*[{"product": p, "campaign_id": c} for p, c in (("B", 100), ("D", 9))])
+    new = rows_of(*[{"product": p, "campaign_id": c} for p, c in (("A", 20), ("D", 100), ("C", 3), (None, 9))])
+    first = encode.fit_label(old, ["product", "campaign_id"])
+    codes = lambda e: {(r.column, r.label): r.code for r in e.mapping.collect()}
+    want = {("product", "B"): 0, ("product", "D"): 1, ("campaign_id", "9"): 0, ("campaign_id", "100"): 1}
+    assert codes(first) == want
+    more = want | {("product", "A"): 2, ("product", "C"): 3, ("campaign_id", "3"): 2, ("campaign_id", "20"): 3}
+    assert codes(first.extended(new)) == more and codes(first.extended(old)) == want
+    assert codes(first.extended(new, max_labels=1)) == more
+    assert codes(first.extended(new).extended(new)) == more
+
+
+def test_rows_with_unseen_labels_raise_or_are_put_aside(spark, raw, tmp_path):
+    known = encode.fit_label(jobs.prepare(raw).where("product <> 'C'"), schema.ENCODED)
+    t, c = str(tmp_path / "t"), str(tmp_path / "c")
+    with pytest.raises(Exception, match="unseen label"):
+        jobs.ingest_features(raw, t, c, "2024-02-01T00:00:00.000Z", known)
+    with pytest.raises(ValueError, match="on_unseen"):
+        jobs.ingest_features(raw, t, c, "2024-02-01T00:00:00.000Z", known, on_unseen="ignore")
+    for _ in range(2):
+        jobs.ingest_features(raw, t, c, "2024-02-01T00:00:00.000Z", known, on_unseen="reject")
+    kept, aside = ft.read_features(spark, t), ft.read_features(spark, f"{t}_unseen")
+    all_ = jobs.prepare(raw)
+    assert kept.where("product = 'C' OR most_recent_clicked_product = 'C'").isEmpty() and not aside.where("product = 'C'").isEmpty()
+    assert kept.count() + aside.count() == all_.count()
+
+
 def body(*rows):
     return json.dumps({"data": rows})
 
