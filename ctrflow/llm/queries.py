@@ -6,6 +6,7 @@ import os
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from ctrflow.session import scratch_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 #: The vocabulary file, at the same place on every machine.
-VOCABULARY = os.environ.get("BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+VOCABULARY = os.environ.get("BPE_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
 
 
 def find_package(spark: SparkSession) -> None:
