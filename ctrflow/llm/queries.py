@@ -125,7 +125,7 @@ FROM p LEFT JOIN o USING (h)
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archives(warc.warc_records(warc.resolve_revisits(table(spark, sf_dir, "pages"))), path)
-    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read_archives(spark, path, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op6_substring")

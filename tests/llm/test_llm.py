@@ -275,9 +275,9 @@ def test_katz(request, table, training):
 def test_warc_round_trip(spark, tmp_path):
     big = "<p>" + "WARC/1.1\r\n\r\n" * 100
     data = [(1, "http://a/x y\r\nz", big), (2, "http://b", big), (3, None, big + "ü"), (4, "", "short"), (5, "u", "short"), (6, "u", None), (2, "http://b", big), (None, "n", big)]
-    pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("digest", F.lit(1))
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").withColumn("digest", F.lit(1)).withColumn("row", F.lit(1))
     path = str(tmp_path / "w")
-    warc.write_archives(warc.warc_records(warc.resolve_revisits(pages)), path, records_per_file=3)
+    warc.write_archives(warc.warc_records(warc.resolve_revisits(pages)), path, archive_bytes=300)
     got = warc.read_archives(spark, path).collect()
     assert len(got) == len(data)
     kinds = Counter((r.page_id, r.record_type, r.refers_to) for r in got)
@@ -287,15 +287,58 @@ def test_warc_round_trip(spark, tmp_path):
     for r in got:
         assert r.payload_bytes == len(payload[r.page_id]) and r.payload_digest == hashlib.sha1(payload[r.page_id]).hexdigest()
         assert r.payload == (payload[r.page_id] if r.record_type == "response" else b"")
-    first = gzip.decompress(next((tmp_path / "w").glob("part-*.gz")).read_bytes())
-    assert len(list(warc.parse_archive(first))) >= 1
-    with pytest.raises(ValueError):
-        list(warc.parse_archive(b"junk"))
+    heads = warc.read_archives(spark, path, payloads=False)
+    assert "payload" not in heads.columns and Counter((r.page_id, r.record_type, r.refers_to) for r in heads.collect()) == kinds
     empty = str(tmp_path / "e")
     warc.write_archives(warc.warc_records(warc.resolve_revisits(pages.limit(0))), empty)
     assert warc.read_archives(spark, empty).isEmpty()
 
 
+def test_warc_references_name_records(spark, tmp_path):
+    big = "x" * 5000
+    data = [(i % 40, f"http://h/{i}", big + str(i % 7)) for i in range(120)] + [(None, None, "y" * 2000)] * 3
+    pages = spark.createDataFrame(data, "page_id long, url string, html string").repartition(3)
+    path = str(tmp_path / "w")
+    warc.write_archives(warc.warc_records(warc.resolve_revisits(pages)), path, archive_bytes=500)
+    records, files = [], [f for f in (tmp_path / "w").glob("part-*.txt") if f.stat().st_size]
+    for f in files:
+        content = [warc.parse_record(m) for m in warc.members(f.read_bytes())]
+        assert content[0][0]["warc-type"] == "warcinfo" and len(content) > 1
+        # any reader of gzip reads the file
+        assert gzip.decompress(f.read_bytes()).count(b"WARC/1.1\r\n") == len(content)
+        records += content
+    names = Counter(h["warc-record-id"] for h, _ in records)
+    assert len(files) > 3 and max(names.values()) == 1
+    by_name = {h["warc-record-id"]: h for h, _ in records}
+    revisits = [h for h, _ in records if h["warc-type"] == "revisit"]
+    assert revisits and len(records) - len(files) == len(data)
+    for h in revisits:
+        of = by_name[h["warc-refers-to"]]
+        assert of["warc-type"] == "response" and of["warc-payload-digest"] == h["warc-payload-digest"]
+        assert of["warc-target-uri"] == h["warc-refers-to-target-uri"] and of["warc-date"] == h["warc-refers-to-date"]
+    largest = {}
+    for i, _, h in data:
+        largest[h] = max(largest.get(h, -1), -1 if i is None else i)
+    want = Counter((i, None if i is None or largest[h] == i else largest[h]) for i, _, h in data)
+    assert Counter((r.page_id, r.refers_to) for r in warc.read_archives(spark, path).collect()) == want
+
+
+def test_warc_payloads_that_share_a_slot(spark, monkeypatch):
+    # so few bits that every payload is taken for a repeated one
+    monkeypatch.setattr(warc, "SLOTS", 1)
+    data = [(i, "u", "x" * 1500 + str(i % 5 if i < 20 else i)) for i in range(60)] + [(70, "u", "short")] * 2
+    got = warc.resolve_revisits(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
+    assert Counter((r.page_id, r.original) for r in got) == Counter((i, 15 + i % 5 if i < 15 else None) for i, _, _ in data)
+    assert all((r.payload is None) == (r.original is not None) for r in got)
+
+
+def test_warc_rejects_what_is_no_record():
+    with pytest.raises(ValueError):
+        warc.parse_record(b"junk")
+    with pytest.raises(ValueError):
+        list(warc.members(gzip.compress(b"WARC/1.1")[:-3]))
+
+
 # ---- op9
 
 
