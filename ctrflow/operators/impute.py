@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from ctrflow.operators.tally import value_tally
 from ctrflow.schema import columns_of
-from ctrflow.session import MAX_LOCAL_ROWS
+from ctrflow.session import MAX_LOCAL_ROWS, stage
 
 #: percentile_approx guarantees a rank error of at most 1 / accuracy.
 ACCURACY = 10_000
@@ -25,6 +25,7 @@ class _Interval:
     below: int      # values under lo
     inside: int     # values from lo to hi
     distinct: int   # estimate of distinct values inside
+    final: bool = False  # passes narrow it no further
 
     def within(self, column: str) -> Column:
         value = F.col(column)
@@ -33,6 +34,9 @@ class _Interval:
         return (value >= F.lit(self.lo)) & (value <= F.lit(self.hi))
 
     def too_wide(self, max_values: int) -> bool:
+        return self.many(max_values) and not self.final
+
+    def many(self, max_values: int) -> bool:
         return self.distinct > max_values and (self.lo is None or self.lo != self.hi)
 
 
@@ -47,7 +51,7 @@ def column_facts(df: DataFrame, columns: Sequence[str], distinct: Sequence[str]
 
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value per column, the lowest one when several are; None without values."""
-    return _statistics(df, columns, {}, {})
+    return _statistics(df, columns, {}, {}, MAX_LOCAL_ROWS)
 
 
 def column_medians(
@@ -56,7 +60,7 @@ def column_medians(
     """Exact medians, the midpoint of the two middle values when their number is even."""
     facts = column_facts(df, columns, columns) if columns else None
     intervals, totals = _intervals(df, columns, facts, max_values)
-    return {c: None for c in columns} | _statistics(df, [], intervals, totals)
+    return {c: None for c in columns} | _statistics(df, [], intervals, totals, max_values)
 
 
 def _intervals(
@@ -65,7 +69,8 @@ def _intervals(
     """An interval around the middle of each column that holds few enough distinct values.
 
     Columns with few distinct values keep all of them. For the others each pass narrows the
-    interval about 2,500-fold with ``percentile_approx``, whose buffers are bounded.
+    interval about 2,500-fold with ``percentile_approx``, whose buffers are bounded. An interval that a
+    pass cannot narrow stays as it is, and is left to :func:`_ranked`.
     """
     totals = {c: facts[f"n_{c}"] for c in columns if facts[f"n_{c}"]}
     intervals = {c: _Interval(None, None, 0, n, facts[f"d_{c}"]) for c, n in totals.items()}
@@ -105,15 +110,40 @@ def _narrow(
         holds = new.below <= low and high < new.below + new.inside
         if holds and new.inside < old.inside:
             intervals[c] = new
-        else:  # no narrower interval: rank what is left, which stays exact
-            old.distinct = 0
+        else:
+            old.final = True
+
+
+def _ranked(values: DataFrame, column: str, ranks: Sequence[int]) -> list[float]:
+    """The values at 0-based ``ranks`` of a column with any number of distinct values.
+
+    Values and their counts are dealt to ranges once; the sums of the ranges tell which of them hold
+    the ranks, and only those are sorted, each in a task of its own.
+    """
+    tally = values.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    dealt = stage(tally.repartitionByRange("value").withColumn("range", F.spark_partition_id()), "ranges")
+    before, asked = 0, {}
+    for r in dealt.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():  # a row per shuffle partition
+        for rank in ranks:
+            if before <= rank < before + r["n"]:
+                asked[rank] = (r["range"], rank - before)
+        before += r["n"]
+    order = Window.partitionBy("range").orderBy("value")
+    upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    held = dealt.where(F.col("range").isin({at for at, _ in asked.values()})).withColumn("upto", upto)
+    picks = [(F.col("range") == at) & (F.col("upto") > k) & (F.col("upto") - F.col("n") <= k) for at, k in asked.values()]
+    return [float(r["value"]) for r in held.where(reduce(Column.__or__, picks)).collect()]
 
 
 def _statistics(
-    df: DataFrame, modes: Sequence[str], intervals: dict[str, _Interval], totals: dict[str, int]
+    df: DataFrame, modes: Sequence[str], intervals: dict[str, _Interval], totals: dict[str, int], max_values: int
 ) -> dict[str, object]:
-    """Modes of some columns and medians of others, in one job over value counts."""
-    modes, medians = list(modes), list(intervals)
+    """Modes of some columns and medians of others, in one job over value counts.
+
+    Only columns whose interval still holds more than ``max_values`` values get jobs of their own.
+    """
+    large = [c for c, s in intervals.items() if s.many(max_values)]
+    modes, medians = list(modes), [c for c in intervals if c not in large]
     answers = []
     if modes:
         # Smallest (-n, value): the highest count, then the lowest value.
@@ -132,6 +162,7 @@ def _statistics(
         answers.append(ranked.where(reduce(Column.__or__, picks)).drop("n", "_upto"))
     found: dict[str, object] = {c: None for c in modes}
     middles: dict[str, list[float]] = {c: [] for c in medians}
+    ranks = {c: [r - intervals[c].below for r in _middle(totals[c])] for c in large}
     if answers:
         joined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), answers)
         for row in joined.collect():  # one or two rows per column
@@ -140,6 +171,8 @@ def _statistics(
                 middles[c].append(float(row[c]))
             else:
                 found[c] = row[c]
+    for c in large:
+        middles[c] = _ranked(df.select(F.when(intervals[c].within(c), F.col(c)).alias(c)), c, ranks[c])
     return found | {c: sum(values) / len(values) for c, values in middles.items()}
 
 
@@ -187,7 +220,7 @@ def fit_imputer(
         [c for c in columns if target[f"n_{c}"] < target["n"]] for columns in (modes, medians)
     )
     intervals, totals = _intervals(df, medians, facts, max_values)
-    fills = _statistics(df, modes, intervals, totals)
+    fills = _statistics(df, modes, intervals, totals, max_values)
     return Imputer({c: value for c, value in fills.items() if value is not None})
 
 

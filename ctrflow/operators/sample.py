@@ -2,19 +2,22 @@
 
 All of it follows one pseudo-random order, ``md5(key:seed)``, so the result does not depend on the
 partitioning. No step brings the rows into a single partition: hash prefixes split them evenly into
-65,536 buckets, and only bucket counts and one boundary row are looked at as a whole.
+65,536 buckets, and only bucket counts and one bounded bucket are looked at as a whole.
 
 ``key`` has to identify a row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ctrflow.functions.hashing import bucket, draw_hash, hash_number
+from ctrflow.functions.hashing import BUCKET_DIGITS, bucket, draw_hash, hash_number
 from ctrflow.schema import ID, TARGET
 
 SEED = 42
+#: Rows that one task may rank; a larger bucket is split by further digits of the hash.
+RANKED_ROWS = 100_000
+HASH_DIGITS = 32
 
 
 def _class_buckets(df: DataFrame, target: str, key: str, seed: int) -> DataFrame:
@@ -33,8 +36,9 @@ def downsample(
 ) -> DataFrame:
     """All rows of class 1 and equally many of class 0, drawn without replacement.
 
-    The draw is the first n rows of class 0 in hash order. Two light jobs find the n-th of them,
-    and the result is a plain filter against it: no sort or shuffle of the rows themselves.
+    The draw is the first n rows of class 0 in hash order. Light jobs find the n-th of them: counts by
+    leading digits of the hash tell in which bucket it lies, further digits split that bucket while it is large, and the
+    rest is ranked. The result is a plain filter against it: no sort or shuffle of the rows themselves.
     """
     sizes = _class_buckets(df, target, key, seed)
     whole = Window.partitionBy(F.lit(0))
@@ -57,20 +61,37 @@ def downsample(
         return df.where(minority)
     rank = cut["_wanted"] - (cut["_upto"] - cut["_n"])
     hashed = draw_hash(F.col(key), seed)
+    prefix, rank = _narrowed(df.where(F.col(target) == 0), hashed, cut["_bucket"], cut["_n"], rank)
     boundary = (
-        df.where((F.col(target) == 0) & (bucket(hashed) == cut["_bucket"]))
+        df.where((F.col(target) == 0) & hashed.startswith(prefix))
         .select(hashed.alias("_hash"))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_hash")))
-        .where(F.col("_rank").isin(rank, rank + 1))
-        .orderBy("_rank")
+        .groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_upto", F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_hash")))
+        .where((F.col("_upto") >= rank) & (F.col("_upto") - F.col("_n") < rank + 1))
+        .orderBy("_hash")
         .collect()
     )
-    if len(boundary) == 2 and boundary[0]["_hash"] == boundary[1]["_hash"]:
+    # More than one row with the hash of the n-th: the draw would take too many.
+    if boundary[0]["_upto"] > rank:
         raise ValueError(f"{key} does not identify the rows of class 0")
     drawn = (F.col(target) == 0) & (hashed <= F.lit(boundary[0]["_hash"]))
     return df.where(minority | drawn)
 
 
+def _narrowed(df: DataFrame, hashed: Column, prefix: str, rows: int, rank: int) -> tuple[str, int]:
+    """A longer prefix that still holds the ``rank``-th row (from 1) of ``prefix``, and its rank there.
+
+    Each pass counts rows by the next digits, at most 65,536 counts. Equal hashes are one key, so the passes end.
+    """
+    while rows > RANKED_ROWS and len(prefix) < HASH_DIGITS:
+        longer = F.substring(hashed, 1, len(prefix) + BUCKET_DIGITS)
+        counts = df.where(hashed.startswith(prefix)).groupBy(longer.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_prefix"))
+        held = counts.withColumn("_upto", upto).where(F.col("_upto") >= rank).orderBy("_prefix").first()
+        prefix, rows, rank = held["_prefix"], held["_n"], rank - (held["_upto"] - held["_n"])
+    return prefix, rank
+
+
 def number_in_hash_order(
     df: DataFrame, name: str, key: str = ID, seed: int = SEED
 ) -> DataFrame:

@@ -93,6 +93,20 @@ def test_median_of_many_values_is_narrowed_exactly(spark, n):
         "x": values.x.median(), "y": values.y.median()}
 
 
+@pytest.mark.parametrize("n", [999, 1000])
+def test_median_is_exact_where_no_interval_narrows(spark, monkeypatch, n):
+    def stuck(df, intervals, totals, columns):
+        for c in columns:
+            intervals[c].final = True
+
+    monkeypatch.setattr(impute, "_narrow", stuck)
+    x = F.when(F.col("id") % 10 > 0, (F.col("id") * 7919 % n).cast("double"))
+    df = spark.range(n).repartition(5).select(x.alias("x"), (F.col("id") % 3).alias("value"), F.lit(1).alias("range"))
+    values = sorted(float(i * 7919 % n) for i in range(n) if i % 10)
+    middle = (values[(len(values) - 1) // 2] + values[len(values) // 2]) / 2
+    assert impute.column_medians(df, ["x", "value"], max_values=2) == {"x": middle, "value": 1.0}
+
+
 def test_median_of_a_value_that_dominates(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(5_000).alias("x"))
     assert impute.column_medians(df, ["x"], max_values=10) == {"x": 5_000.0}

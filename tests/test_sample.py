@@ -47,6 +47,18 @@ def test_downsample_needs_a_key_that_identifies_rows(rows_of):
         sample.downsample(df)
 
 
+@pytest.mark.parametrize("most", [0, 3])
+def test_boundary_bucket_is_split_by_further_digits(clean, rows_of, monkeypatch, most):
+    want = sample.downsample(clean)
+    monkeypatch.setattr(sample, "RANKED_ROWS", most)
+    assert same(sample.downsample(clean), want)
+    monkeypatch.setattr(sample, "bucket", lambda hashed: F.substring(hashed, 1, 0))
+    assert same(sample.downsample(clean), want)
+    repeated = rows_of({"session_id": 1, "is_click": 1}, *[{"session_id": 2}] * 5)
+    with pytest.raises(ValueError, match="identify"):
+        sample.downsample(repeated)
+
+
 def test_upsample_is_exact(clean):
     out = sample.upsample(clean)
     ones, zeros = sorted(sessions(clean, is_click=1), key=order), sessions(clean, is_click=0)
