@@ -18,6 +18,7 @@ from ctrflow.plans import jobs, scoring
 from ctrflow.session import scratch_path, stage
 from ctrflow.sources import feature_table as ft, registry, snapshot
 from ctrflow.sources.files import read_matrix
+from ctrflow.sources.prediction_log import CAPTURE_PERCENT
 from ctrflow.streaming import jobs as streams
 
 # ---- aggregates -----------------------------------------------------------------------------
@@ -485,6 +486,58 @@ def stream_score_features(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_scores", sql(
+    f"SELECT {REQUEST_MATRIX}, {' AND '.join(c + ' IS NOT NULL' for c in REQUEST_MATRIX.split(', ')[3:])} AS scored, "
+    "CAST('0x' || substr(md5(CAST(batch_id AS VARCHAR) || ':42'), 1, 15) AS BIGINT) % 100 < 80 AS logged FROM request_features",
+    "request_features",
+))
+def stream_scores(spark, sf_dir):
+    """All request rows scored by a stream, with the requests to log marked. A row is scored if all its codes are known."""
+    rows, encoder, customers = _scoring_inputs(spark, sf_dir)
+    out, path = scratch_path(spark, "stream-out"), scratch_path(spark, "customers")
+    customers.write.parquet(path)
+    fitted = model.fit_logistic(schema.project(rows, schema.FEATURES_ENGINEERED))
+    source = _stream_of(fx.request_batches(spark, sf_dir), spark, "batch_id")
+    streams.stream_scores(
+        source, encoder, spark.read.parquet(path), fitted, out, f"{out}-checkpoint", log_percent=CAPTURE_PERCENT["prod"]
+    ).awaitTermination()
+    scored = F.col("probability").isNotNull()
+    return spark.read.parquet(out).select(*REQUEST_MATRIX.split(", "), scored.alias("scored"), "logged")
+
+
+UNFIT = "session_id % 23 = 0"
+
+
+def _sent_twice(spark, sf_dir):
+    """A verified stream of rows as texts, each sent twice; every 23rd has a click that is no number."""
+    rows = fx.events_with_time(fx.clean(spark, sf_dir)).select("session_id", "user_id", "product", "is_click", "event_time")
+    texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns]).withColumn(
+        "is_click", F.expr(f"IF({UNFIT}, 'yes', is_click)"))
+    out = scratch_path(spark, "stream-out")
+    definitions = {"session_id": "Integral", "user_id": "Integral", "product": "String", "is_click": "Integral"}
+    streams.stream_verified_ingest(
+        _stream_of(texts.unionAll(texts), spark), out, f"{out}-checkpoint", definitions, "session_id"
+    ).awaitTermination()
+    return out
+
+
+@query("stream_verified_ingest", sql(
+    f"SELECT session_id, user_id, product, CAST(is_click AS BIGINT) AS is_click, {ISO.format(t='DateTime')} AS event_time, "
+    f"CAST(DateTime AS DATE) AS event_date FROM clean WHERE NOT ({UNFIT})", "clean",
+))
+def stream_verified_ingest(spark, sf_dir):
+    return ft.read_features(spark, _sent_twice(spark, sf_dir))
+
+
+@query("stream_rejects", sql(
+    "SELECT CAST(session_id AS VARCHAR) AS session_id, 'yes' AS is_click, CAST(DateTime AS DATE) AS event_date "
+    f"FROM clean WHERE {UNFIT}", "clean",
+))
+def stream_rejects(spark, sf_dir):
+    found = ft.read_stream_rejects(spark, _sent_twice(spark, sf_dir))
+    return found.select(*[F.get_json_object(ft.RECORD, f"$.{c}").alias(c) for c in ("session_id", "is_click")], "event_date")
+
+
 # ---- jobs -----------------------------------------------------------------------------------
 
 TARGET_FIRST = ", ".join(["is_click", *FEATURES])

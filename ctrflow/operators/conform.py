@@ -30,11 +30,15 @@ def conform(df: DataFrame, definitions: Mapping[str, str], load_time: str) -> Da
     A value that does not fit its kind becomes null; ``split_valid`` tells such rows apart. A kind
     nobody knows is stored as a string.
     """
-    columns = [
+    return stamp(df.select(*declared(df, definitions)), load_time, EVENT_TIME)
+
+
+def declared(df: DataFrame, definitions: Mapping[str, str]) -> list[Column]:
+    """The declared features in their kinds; null where a value does not fit."""
+    return [
         F.col(c).try_cast(SPARK_TYPES.get(definitions[c], "string")).alias(c)
         for c in _features(df, definitions)
     ]
-    return stamp(df.select(*columns), load_time, EVENT_TIME)
 
 
 def _may_not_fit(source: str, kind: str) -> bool:

@@ -22,6 +22,8 @@ from ctrflow.sources.commits import Commits
 DATE = T.StructField("event_date", T.DateType())
 #: Names of the folders of a load, which partition discovery gives back as columns.
 LOAD, ATTEMPT = "_load", "_attempt"
+#: Partition column and raw text of rows that a verified stream did not take.
+REJECTED, RECORD = "is_rejected", "rejected_record"
 
 
 def commits(spark: SparkSession, path: str) -> Commits:
@@ -61,19 +63,43 @@ def remove_load(spark: SparkSession, path: str, load_id: str) -> None:
     commits(spark, path).update(drop)
 
 
-def declare_stream(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Notes the schema of what a stream adds; columns that it had before stay."""
-    fields = [f for f in json.loads(schema.json())["fields"] if f["name"] != "event_date"]
+def declare_stream(spark: SparkSession, path: str, schema: T.StructType, verified: bool = False) -> None:
+    """Notes the schema of what a stream adds; columns that it had before stay.
+
+    The files of a ``verified`` stream are parted by ``REJECTED``. A table takes streams of one of the two kinds.
+    """
+    fields = [f for f in json.loads(schema.json())["fields"] if f["name"] not in ("event_date", REJECTED, RECORD)]
 
     def note(state: dict | None) -> dict:
         state = state or {"loads": {}, "stream": None}
-        return state | {"stream": _together(path, [state["stream"] or [], fields])}
+        if state["stream"] and state.get("verified", False) != verified:
+            raise ValueError(f"the streams of {path} are {'not ' * verified}verified")
+        return state | {"stream": _together(path, [state["stream"] or [], fields]), "verified": verified}
 
     state = commits(spark, path).last()[1]
-    if not state or note(state)["stream"] != state["stream"]:
+    if not state or note(state) != state:
         commits(spark, path).update(note)
 
 
+def read_stream_files(spark: SparkSession, path: str, state: dict, fields: list[dict], files: Sequence[str] = ()) -> DataFrame:
+    """The rows that streams added, all of them or those of the given files; rejects stay out by their partition."""
+    verified = state.get("verified", False)
+    schema = _schema(fields, *[T.StructField(REJECTED, T.BooleanType())] * verified)
+    folder = stream_path(path)
+    reader = spark.read.schema(schema)
+    df = reader.option("basePath", folder).parquet(*[f"{folder}/{f}" for f in files]) if files else reader.parquet(folder)
+    return df.where(~F.col(REJECTED)).drop(REJECTED) if verified else df
+
+
+def read_stream_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """(event_date, record): what verified streams could not store, each record as the JSON text of all it had."""
+    schema = T.StructType([T.StructField(RECORD, T.StringType()), DATE, T.StructField(REJECTED, T.BooleanType())])
+    _, state = commits(spark, path).last()
+    if not state or not state.get("verified") or not _has_files(spark, stream_path(path)):
+        return spark.createDataFrame([], T.StructType([DATE, schema[RECORD]]))
+    return spark.read.schema(schema).parquet(stream_path(path)).where(REJECTED).select("event_date", RECORD)
+
+
 def stream_path(path: str) -> str:
     """Where streams put their files. The sink keeps a log there that hides all other files of its folder from readers,
     so it is a folder of its own, which readers of the table itself pass over for its underscore."""
@@ -127,7 +153,7 @@ def read_features(
     fields = _together(path, [*[x["fields"] for x in loads], state["stream"] or []])
     frames = [read_loads(spark, path, [x["folder"] for x in loads], fields)] if loads else []
     if state["stream"] and _has_files(spark, stream_path(path)):
-        frames.append(spark.read.schema(_schema(fields)).parquet(stream_path(path)))
+        frames.append(read_stream_files(spark, path, state, fields))
     df = reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], _schema(fields))
     if since:
         df = df.where(F.col("event_date") >= F.lit(since).cast("date"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ctrflow.operators.conform import EVENT_TIME
 from ctrflow.sources.commits import Commits
-from ctrflow.sources.feature_table import _has_files, _schema, _together, commits, read_loads, stream_path
+from ctrflow.sources.feature_table import _has_files, _schema, _together, commits, read_loads, read_stream_files, stream_path
 
 BUCKET = "_bucket"
 #: Generations that are read side by side before they are merged.
@@ -74,8 +74,7 @@ def refresh_latest(
     new_files = [f for f in files if f not in seen]
     frames = [read_loads(spark, path, fresh, fields)] if fresh else []
     if new_files:
-        frames.append(spark.read.schema(_schema(fields)).option("basePath", stream_path(path)).parquet(
-            *[f"{stream_path(path)}/{f}" for f in new_files]))
+        frames.append(read_stream_files(spark, path, table, fields, new_files))
     generations = list(state["generations"])
     if frames:
         keyed = reduce(DataFrame.unionByName, frames).where(F.col(key).isNotNull())

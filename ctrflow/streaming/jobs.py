@@ -6,18 +6,18 @@ consumed, unless another trigger is given. Sinks are Parquet files, exactly once
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ctrflow.operators.conform import EVENT_TIME
+from ctrflow.functions.hashing import percent_bucket
+from ctrflow.operators.conform import EVENT_TIME, declared, is_valid
 from ctrflow.operators.encode import Encoder
 from ctrflow.plans.scoring import request_features, score_requests
-from ctrflow.schema import USER
-from ctrflow.sources.feature_table import dated, declare_stream, stream_path
-from ctrflow.sources.prediction_log import sample_log
+from ctrflow.schema import spare_names
+from ctrflow.sources.feature_table import RECORD, REJECTED, dated, declare_stream, stream_path
 from ctrflow.sources.snapshot import refresh_latest
 
 NOW = {"availableNow": True}
@@ -33,11 +33,11 @@ def read_stream(
 
 
 def _to_parquet(
-    df: DataFrame, path: str, checkpoint: str, trigger: dict, partition_by: str | None = None
+    df: DataFrame, path: str, checkpoint: str, trigger: dict, *partition_by: str
 ) -> StreamingQuery:
     writer = df.writeStream.format("parquet").outputMode("append").trigger(**trigger)
     if partition_by:
-        writer = writer.partitionBy(partition_by)
+        writer = writer.partitionBy(*partition_by)
     return writer.option("checkpointLocation", checkpoint).start(path)
 
 
@@ -50,6 +50,39 @@ def stream_ingest(
     return _to_parquet(rows, stream_path(path), checkpoint, trigger, "event_date")
 
 
+def stream_verified_ingest(
+    df: DataFrame, path: str, checkpoint: str, definitions: Mapping[str, str], key: str, event_time: str = EVENT_TIME,
+    identity: Sequence[str] | None = None, resent_within: str = "1 day", trigger: dict = NOW,
+) -> StreamingQuery:
+    """Appends the rows that fit the declared schema to the offline table and keeps the others as rejects, in one pass.
+
+    A row is rejected if key or event time is null, the latter has no date, or a value does not fit its kind; see
+    ``read_stream_rejects``. A row that was received before within ``resent_within`` adds nothing; rows are the same if their
+    ``identity`` columns are, all of them if not given, nulls included. The watermark follows the time of receipt, so no row is
+    late, whatever its event time, and the state holds a digest per row of that span.
+    """
+    columns = list(identity or df.columns)
+    if taken := {REJECTED, RECORD} & {c.lower() for c in df.columns}:
+        raise ValueError(f"names of the rejects' columns: {', '.join(sorted(taken))}")
+    digest, received = spare_names(df, "_digest", "_received")
+    keep_nulls = {"ignoreNullFields": "false"}
+    date = F.substring(F.col(event_time).cast("string"), 1, 10).try_cast("date")
+    rejected = ~(is_valid(df, definitions, key, event_time) & date.isNotNull())
+    marked = df.withColumns({
+        REJECTED: rejected,
+        RECORD: F.when(rejected, F.to_json(F.struct(*df.columns), keep_nulls)),
+        "event_date": date,
+        digest: F.sha2(F.to_json(F.struct(*columns), keep_nulls), 256),
+        received: F.current_timestamp(),
+    })
+    once = marked.withWatermark(received, resent_within).dropDuplicatesWithinWatermark([digest])
+    time = F.col(event_time).cast("string").alias(event_time)
+    features = {c: d for c, d in definitions.items() if c != event_time}
+    rows = once.select(*declared(df, features), time, RECORD, "event_date", REJECTED)
+    declare_stream(df.sparkSession, path, rows.schema, verified=True)
+    return _to_parquet(rows, stream_path(path), checkpoint, trigger, REJECTED, "event_date")
+
+
 def stream_latest(
     df: DataFrame, path: str, checkpoint: str, key: str, event_time: str = EVENT_TIME,
     then: Sequence[str] = (), trigger: dict = NOW, every_seconds: int = 60,
@@ -77,13 +110,19 @@ def stream_request_features(
 
 def stream_scores(
     requests: DataFrame, encoder: Encoder, customers: DataFrame, model: PipelineModel, path: str,
-    checkpoint: str, threshold: float = 0.5, log_percent: int | None = None, trigger: dict = NOW,
+    checkpoint: str, threshold: float = 0.5, log_percent: int | None = None,
+    log_by: Sequence[str] | None = None, seed: int = 42, trigger: dict = NOW, body: str = "body",
 ) -> StreamingQuery:
     """Continuous scoring: features, probability and label of every request row.
 
-    With ``log_percent`` only that share of users is written, which makes it the prediction log.
+    With ``log_percent`` there is ``logged`` too: true for that share of requests, the same ones in every run, with all their rows, so
+    scores and prediction log come from one pass. A request is known by ``log_by``, all its columns but the body if not given.
     """
-    scored = score_requests(request_features(requests, encoder, customers), model, threshold)
+    scored = score_requests(request_features(requests, encoder, customers, body), model, threshold)
     if log_percent is not None:
-        scored = sample_log(scored, log_percent, key=USER)
+        known = list(log_by or [c for c in requests.columns if c != body])
+        if not known:
+            raise ValueError("requests need a column that tells them apart")
+        request = F.concat_ws(":", *known)
+        scored = scored.withColumn("logged", percent_bucket(request, seed) < log_percent)
     return _to_parquet(scored, path, checkpoint, trigger)

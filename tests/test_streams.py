@@ -98,5 +98,49 @@ def test_streamed_request_features_equal_the_batch_form(spark, clean, tmp_path):
         stream = jobs.read_stream(spark, source, batches.schema, 2)
         out = str(tmp_path / f"scores-{percent}")
         jobs.stream_scores(stream, encoder, customers, fitted, out, f"{out}-cp", 0.2, percent).awaitTermination()
-        want = scored if percent is None else sample_log(scored, percent, key="user_id")
-        assert same(spark.read.parquet(out), want)
+        got = spark.read.parquet(out)
+        if percent:
+            # whole requests are logged, and every row is scored
+            assert {r.logged for r in got.select("logged").distinct().collect()} == {True, False}
+            assert got.groupBy("batch_id").agg(F.count_distinct("logged").alias("n")).where("n > 1").isEmpty()
+            assert same(got.where("logged").drop("logged"), sample_log(scored, percent, key="batch_id"))
+        assert same(got.drop("logged"), scored)
+
+
+KINDS = {"user_id": "Integral", "code": "Integral", "note": "String"}
+
+
+def verified(spark, source, out, checkpoint, **options):
+    stream = jobs.read_stream(spark, source, spark.read.parquet(source).schema, 1)
+    jobs.stream_verified_ingest(stream, out, checkpoint, KINDS, "user_id", **options).awaitTermination()
+
+
+def test_verified_ingest_keeps_rejects_and_takes_resent_files_once(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    rows = spark.createDataFrame([
+        ("1", "2024-01-01T00:00:00Z", "5", "a", None), ("1", "2023-01-01T00:00:00Z", None, None, 1), ("2", "2024-01-02", "x", "b", 1),
+        (None, "2024-01-02", "1", "c", 1), ("3", None, "1", "d", 1), ("4", "soon", "1", "e", 1),
+    ], "user_id string, event_time string, code string, note string, _digest int")
+    for _ in range(2):  # the second file is the first one again, in a run of its own
+        rows.coalesce(1).write.mode("append").parquet(source)
+        verified(spark, source, out, checkpoint)
+    rows.limit(1).withColumn("code", F.lit("6")).coalesce(1).write.mode("append").parquet(source)
+    verified(spark, source, out, checkpoint)
+    got = {tuple(r) for r in ft.read_features(spark, out).select("user_id", "event_time", "code", "note").collect()}
+    assert got == {(1, "2024-01-01T00:00:00Z", 5, "a"), (1, "2023-01-01T00:00:00Z", None, None), (1, "2024-01-01T00:00:00Z", 6, "a")}
+    assert ft.read_features(spark, out).count() == 3
+    rejects = ft.read_stream_rejects(spark, out).select(F.get_json_object(ft.RECORD, "$.note").alias("n"), "event_date").collect()
+    assert sorted(r.n for r in rejects) == ["b", "c", "d", "e"]
+    assert all((r.event_date is None) == (r.n in "de") for r in rejects)
+    snapshot.refresh_latest(spark, out, "user_id")
+    assert {r.user_id for r in snapshot.read_latest(spark, out, "user_id").collect()} == {1}
+
+
+def test_verified_and_plain_streams_do_not_mix(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.createDataFrame([("1", "2024-01-01", "5", "a")], "user_id string, event_time string, code string, note string")
+    rows.write.parquet(source)
+    jobs.stream_ingest(jobs.read_stream(spark, source, rows.schema), out, str(tmp_path / "a")).awaitTermination()
+    assert ft.read_stream_rejects(spark, out).isEmpty()
+    with pytest.raises(ValueError, match="verified"):
+        verified(spark, source, out, str(tmp_path / "b"))
