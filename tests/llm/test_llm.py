@@ -3,11 +3,13 @@
 import gzip
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -110,6 +112,65 @@ def test_toxicity_of_odd_tables(odd, none):
     assert all(r.score < 0.5 for r in fitted.score(odd).collect())
 
 
+def plain_ftrl(rows, dimensions, rounds, passes):
+    """One shard, coordinate by coordinate with dictionaries; the score of each text."""
+    mask, bias = 2**64 - 1, dimensions
+
+    def mixed(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        return (x ^ (x >> 31)) % dimensions
+
+    def coordinates(text):
+        h = [xxhash.xxh64_intdigest(w) for w in text.encode().lower().split()]
+        found = {mixed(x) for x in h}
+        for gap, salt in ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F)):
+            found |= {mixed((a * salt + b) & mask) for a, b in zip(h, h[gap:])}
+        return found
+
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        rate = (1 + math.sqrt(n[i])) / 1.0 + 0.01
+        if i == bias:
+            return -z[i] / rate
+        return 0.0 if abs(z[i]) <= 8 else (math.copysign(8, z[i]) - z[i]) / rate
+
+    def score(found):
+        return 1 / (1 + math.exp(-sum(weight(i) for i in found) - weight(bias)))
+
+    rows = sorted(((str(i), t.encode(), coordinates(t), y) for i, t, y in rows), key=lambda r: r[:2])
+    toxic = sum(y for *_, y in rows)
+    balance = max(1.0, (len(rows) - toxic) / toxic)
+    for round_ in range(rounds):
+        rng = np.random.default_rng(round_)
+        for _ in range(passes):
+            for k in rng.permutation(len(rows)):
+                _, _, found, y = rows[k]
+                g = (score(found) - y) * (balance if y else 1.0)
+                for i, w in [(i, weight(i)) for i in (*found, bias)]:
+                    z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) * w
+                    n[i] += g * g
+    held = sum(weight(i) != 0 for i in list(z) if i != bias)
+    return {int(i): score(found) for i, _, found, _ in rows}, held
+
+
+def test_toxicity_equals_a_plain_ftrl(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(150):
+        text = rng.choices([f"w{k}" for k in range(60)], k=rng.randrange(0, 15)) + ["vile", "Rude", "vile"] * (i % 6 == 0)
+        rows.append((i, " ".join(text), int(i % 6 == 0 or i % 31 == 0)))
+    rows += [(200 + k, "the same text, vile", k % 2) for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(df, dimensions=1 << 12, shards=1, rounds=2, passes=2)
+    want, held = plain_ftrl(rows, 1 << 12, 2, 2)
+    got = {r.doc_id: r.score for r in model.score(df).collect()}
+    assert got == pytest.approx(want, abs=1e-5)
+    # L1 keeps the model short
+    assert 0 < len(model.coordinates) == held < 1000
+
+
 # ---- op2, op5
 
 
@@ -359,6 +420,31 @@ def test_rates_meet_the_targets(spark, odd, none):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+@pytest.mark.parametrize("low,anchor,highest,within", [(0.07, "good", 4.0, True), (0.7, "good", 4.0, False), (0.7, None, 1.0, False)])
+def test_rates_are_least_squares(spark, low, anchor, highest, within):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = mixing.fit_domains(queries.labelled_domains(documents, spark.read.parquet(f"{SMALL}/labels.parquet")), list(queries.TARGETS))
+    targets = queries.TARGETS | {"low": low}
+    got = mixing.fit_rates(documents, model, targets, anchor=anchor, highest=highest).collect()
+    p = np.array([[r[f"p_{d}"] for d in queries.TARGETS] for r in got])
+    w = np.array([float(r.n_tokens) for r in got])
+    share = np.array([targets[d] for d in queries.TARGETS]) / sum(targets.values())
+    mass = w @ p
+    ratios = [mass[i] / share[i] for i, d in enumerate(queries.TARGETS) if anchor in (None, d)]
+    goal = share * min(ratios) / w.sum()
+    a = (p * w[:, None]).T / w.sum()
+    # plain projected gradient with momentum, step 1 / L, until it stands still
+    step = 1 / np.linalg.norm(a @ a.T, 2)
+    x = y = np.ones(len(w))
+    for k in range(20_000):
+        new = np.clip(y - step * a.T @ (a @ y - goal), 0, highest)
+        y, x = new + k / (k + 3) * (new - x), new
+    best, mine = (float(np.linalg.norm(a @ r - goal)) for r in (x, np.array([r.rate for r in got])))
+    assert (best < 1e-3 * goal.sum()) == within
+    # Out of reach, the steps end when three in a row gain less than a thousandth, which leaves a percent or so.
+    assert mine <= best * 1.02 + 2e-3 * goal.sum()
+
+
 def test_copies_of_a_rate(spark):
     df = spark.range(20_000).select("id", mixing.taken(F.lit(1.3), F.col("id")).alias("n"))
     assert df.agg(F.avg("n")).first()[0] == pytest.approx(1.3, abs=0.02)
