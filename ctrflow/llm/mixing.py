@@ -11,6 +11,7 @@ its bounds; a step that does not help is taken back and plain ones follow. Every
 from __future__ import annotations
 
 import json
+import logging
 import math
 from dataclasses import dataclass
 
@@ -111,7 +112,8 @@ def fit_rates(
     ``targets`` are the wanted shares of the domains' tokens (they are scaled to sum to one). The wanted number of tokens is the one
     at which the domain ``anchor`` is taken once, or without it the largest for which no domain needs more tokens than it has.
     Rates lie between 0 and ``highest``; targets out of reach are approached to about a percent of the least squares,
-    where three steps in a row gain less than a thousandth.
+    where three steps in a row gain less than a thousandth. After ``steps`` steps the best rates so far are returned, with a warning
+    in the log that says how far off they are; targets near the edge of what can be reached need more.
     Rows without words weigh nothing; their rate follows from their probabilities all the same. Null and repeated ids are kept.
     Other columns are not looked at. An empty table gives no rows.
     """
@@ -160,6 +162,8 @@ def fit_rates(
         move = (scaled if fast else reach * plain) @ best_off
         change = sum((F.col(c) * float(x) for c, x in zip(names, move)), F.lit(0.0))
         frame, depth = best.withColumn("rate", F.least(F.greatest(rate - change, F.lit(0.0)), F.lit(float(highest)))), best_depth + 1
+    else:
+        logging.getLogger(__name__).warning("after %d steps the rates are %s of all tokens off the targets", steps, best_off)
     return best
 
 

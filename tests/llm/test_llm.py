@@ -425,7 +425,7 @@ def test_rates_are_least_squares(spark, low, anchor, highest, within):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = mixing.fit_domains(queries.labelled_domains(documents, spark.read.parquet(f"{SMALL}/labels.parquet")), list(queries.TARGETS))
     targets = queries.TARGETS | {"low": low}
-    got = mixing.fit_rates(documents, model, targets, anchor=anchor, highest=highest).collect()
+    got = mixing.fit_rates(documents, model, targets, anchor=anchor, highest=highest, steps=150).collect()
     p = np.array([[r[f"p_{d}"] for d in queries.TARGETS] for r in got])
     w = np.array([float(r.n_tokens) for r in got])
     share = np.array([targets[d] for d in queries.TARGETS]) / sum(targets.values())
