@@ -2,7 +2,8 @@
 
 Pages are staged with a number and the digest of their payload, and who revisits whom is found from these headers alone. A bitmap
 of at most 16 MB marks the digests that occur more than once: a payload without a mark is written where it lies, and of the
-others only those travel that a second bitmap takes for an original. The payload of a revisit is never moved.
+others only those travel that a second bitmap takes for an original. The payload of a revisit is moved only where both marks
+are there by chance, which becomes common as repeated payloads near the number of bits; the result is the same.
 
 Archives are files of bounded size with a gzip member per record, so that a record can be read by its offset alone.
 """
