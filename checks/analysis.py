@@ -11,6 +11,7 @@ from checks.registry import query
 from checks.sql import ENCODED, FEATURES, ISO, sql
 from ctrflow import schema
 from ctrflow.operators import encode, explore, impute, metrics, model, rolling, sample
+from ctrflow.operators.boosting import boosting_at
 from ctrflow.operators.clean import drop_null_required
 from ctrflow.operators.customers import customer_profile
 from ctrflow.operators.split import union_rows
@@ -379,6 +380,106 @@ def score_requests(spark, sf_dir):
     return fx.rounded(scored).select("batch_id", "position", "user_id", "probability", "prediction", "label")
 
 
+# Models of one column have a closed form in SQL: boosting a recursion per label, since trees that are deep enough give each label a leaf of
+# its own, logistic regression Newton's steps for two numbers. Classification trees join neighbouring leaves of the same class: a forest
+# without bootstrap predicts the class of the label's mean, and its probability is that mean where a split in two is all there is.
+
+def group_matrix(df, column="product_encoding"):
+    return df.select("is_click", column)
+
+
+def _boosting_sql(groups, rounds, step):
+    """Probability ``p`` per ``g`` after boosting; ``groups`` has g and the mean m of is_click."""
+    pull = "m * 4 / (1 + exp(2 * f)) - (1 - m) * 4 / (1 + exp(-2 * f))"
+    return (f"WITH RECURSIVE groups AS ({groups}), margins AS (SELECT g, m, 2 * m - 1 AS f, 1 AS i FROM groups UNION ALL "
+            f"SELECT g, m, f + {step} * ({pull}), i + 1 FROM margins WHERE i < {rounds}) "
+            f"SELECT g, 1 / (1 + exp(-2 * f)) AS p FROM margins WHERE i = {rounds}")
+
+
+def _logistic_sql(groups, steps=30):
+    """Probability ``p`` per ``g`` of a penalised logistic regression on g; ``groups`` has g, rows n and clicks k."""
+    p, x = "1 / (1 + exp(-(b + w * g)))", "n * p * (1 - p)"
+    return f"""WITH RECURSIVE groups AS ({groups}), newton AS (SELECT 0 AS i, 0.0::DOUBLE AS b, 0.0::DOUBLE AS w UNION ALL
+  SELECT i + 1, b - (h22 * g1 - h12 * g2) / (h11 * h22 - h12 * h12), w - (h11 * g2 - h12 * g1) / (h11 * h22 - h12 * h12)
+  FROM (SELECT i, b, w, sum(n * p - k) AS g1, sum((n * p - k) * g) + w AS g2, sum({x}) AS h11, sum({x} * g) AS h12, sum({x} * g * g) + 1 AS h22
+    FROM (SELECT *, {p} AS p FROM newton, groups WHERE i < {steps}) GROUP BY i, b, w))
+SELECT g, {p} AS p FROM newton, groups WHERE i = {steps}"""
+
+
+_BALANCED = (f"(SELECT *, row_number() OVER (PARTITION BY is_click ORDER BY {HASH}) AS rn FROM encoded WHERE split = 'train') "
+             "WHERE is_click = 1 OR rn <= (SELECT count(*) FROM train WHERE is_click = 1) GROUP BY 1")
+_TRAIN_MEANS = f"SELECT product_encoding AS g, avg(is_click) AS m FROM {_BALANCED}"
+_TRAIN_COUNTS = f"SELECT product_encoding AS g, count(*)::DOUBLE AS n, sum(is_click)::DOUBLE AS k FROM {_BALANCED}"
+
+
+def _group_oracle(model_sql, split="= 'validation'"):
+    return sql(
+        f"SELECT session_id, is_click, round(p, 6) AS probability, CAST(p > 0.5 AS INT) AS prediction FROM encoded JOIN ({model_sql}) "
+        f"ON g = product_encoding WHERE split {split}", "encoded")
+
+
+def _group_prediction(spark, sf_dir, fit):
+    return fx.rounded(_model_prediction(spark, sf_dir, lambda train: fit(group_matrix(train))))
+
+
+@query("lr_predict_groups", _group_oracle(_logistic_sql(_TRAIN_COUNTS)))
+def lr_predict_groups(spark, sf_dir):
+    return _group_prediction(spark, sf_dir, partial(model.fit_logistic, tol=1e-13, max_iter=500))
+
+
+@query("rf_predict_groups", sql(
+    "SELECT session_id, is_click, round(s.m, 6) AS probability, CAST(t.m > 0.5 AS INT) AS prediction FROM encoded e "
+    f"JOIN ({_TRAIN_MEANS}) t ON t.g = e.product_encoding JOIN ({_TRAIN_MEANS.replace('product_encoding', 'gender_encoding')}) s "
+    "ON s.g = e.gender_encoding WHERE split = 'validation'", "encoded",
+))
+def rf_predict_groups(spark, sf_dir):
+    """The whole forest of 500 trees of depth 10: classes by product, probabilities by gender (balanced rows split into both classes)."""
+    prepared = _prepared(spark, sf_dir)
+    train = stage(jobs.matrices(prepared)[0], "train")
+    fits = [model.fit_forest(group_matrix(train, c), bootstrap=False) for c in ("product_encoding", "gender_encoding")]
+    rows = prepared.validation.select("session_id", *schema.FEATURES)
+    classes = model.predict(fits[0], rows).drop("probability")
+    return fx.rounded(model.score(fits[1], classes).select("session_id", "is_click", "probability", "prediction"))
+
+
+GROUP_ROUNDS = 12
+SHORT_BOOSTING = partial(model.fit_boosted, rounds=3, step=0.1, subsample=1.0, min_rows=1)
+
+
+@query("gbt_predict_groups", _group_oracle(_boosting_sql(_TRAIN_MEANS, GROUP_ROUNDS, 0.1)))
+def gbt_predict_groups(spark, sf_dir):
+    """Trees of depth 10, in two blocks, of which the second goes on from the saved model of the first."""
+    fit = boosting_at(scratch_path(spark, "boosting"), rounds=GROUP_ROUNDS, block=7, step=0.1, subsample=1.0, min_rows=1)
+    return _group_prediction(spark, sf_dir, fit)
+
+
+@query("batch_score_groups", sql(
+    f"SELECT {', '.join(['is_click', *FEATURES])}, round(p, 6) AS probability FROM encoded "
+    f"JOIN ({_boosting_sql(_TRAIN_MEANS, 3, 0.1)}) ON g = product_encoding WHERE split <> 'train'", "encoded",
+))
+def batch_score_groups(spark, sf_dir):
+    train, validation, test = jobs.matrices(_prepared(spark, sf_dir))
+    fitted = SHORT_BOOSTING(group_matrix(stage(train, "train")))
+    return fx.rounded(model.score(fitted, validation.unionByName(test)))
+
+
+_KNOWN = " AND ".join(f"r.{c} IS NOT NULL" for c in [*FEATURES, "most_recent_clicked_product_encoding"])
+
+
+@query("score_requests_groups", sql(
+    f"SELECT batch_id, position, user_id, CASE WHEN {_KNOWN} THEN round(p, 6) END AS probability, "
+    f"CASE WHEN {_KNOWN} THEN CAST(p > 0.2 AS INT) END AS prediction, "
+    f"CASE WHEN {_KNOWN} THEN CASE WHEN p > 0.2 THEN 'Clicked' ELSE 'Not Clicked' END END AS label FROM request_features r LEFT JOIN "
+    f"({_boosting_sql('SELECT product_encoding AS g, avg(is_click) AS m FROM encoded_all GROUP BY 1', 3, 0.1)}) ON g = r.product_encoding", "request_features",
+))
+def score_requests_groups(spark, sf_dir):
+    rows, encoder, customers = _scoring_inputs(spark, sf_dir)
+    fitted = SHORT_BOOSTING(group_matrix(stage(rows, "rows")))
+    features = scoring.request_features(fx.request_batches(spark, sf_dir), encoder, customers)
+    scored = fx.rounded(scoring.score_requests(features, fitted, threshold=0.2))
+    return scored.select("batch_id", "position", "user_id", "probability", "prediction", "label")
+
+
 @query("score_approved", sql(
     f"SELECT {REQUEST_MATRIX}, {' AND '.join(c + ' IS NOT NULL' for c in REQUEST_MATRIX.split(', ')[3:])} AS scored FROM request_features",
     "request_features",
@@ -660,6 +761,21 @@ def train_evaluate(spark, sf_dir):
     ))
 
 
+@query("train_evaluate_groups", sql(
+    f"""SELECT round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score FROM (
+SELECT sum(CAST(is_click = 1 AND m >= 0.5 AS INT)) AS tp, sum(CAST(is_click = 0 AND m >= 0.5 AS INT)) AS fp,
+  sum(CAST(is_click = 1 AND m < 0.5 AS INT)) AS fn
+FROM encoded JOIN ({_TRAIN_MEANS})
+  ON g = product_encoding WHERE split = 'test')""", "encoded",
+))
+def train_evaluate_groups(spark, sf_dir):
+    """Training to report with a model that SQL can express; it is saved with its encoder and registered."""
+    return fx.rounded(jobs.train_evaluate(
+        fx.impressions(spark, sf_dir), scratch_path(spark, "train"), fx.CUTS, threshold=0.0,
+        fit=lambda train: model.fit_forest(group_matrix(train), trees=3, bootstrap=False),
+    ))
+
+
 @query("explore_summary", sql(
     "SELECT min(DateTime) AS earliest, max(DateTime) AS latest, count(DISTINCT user_id) AS users, "
     "CAST(sum(is_click) AS BIGINT) AS clicks, round(sum(is_click) / count(is_click), 6) AS ctr FROM impressions"

@@ -23,7 +23,7 @@ def _roles(target: str) -> dict[str, str]:
 
 
 def fit_logistic(
-    df: DataFrame, target: str = TARGET, inverse_penalty: float = 1.0, max_iter: int = 100
+    df: DataFrame, target: str = TARGET, inverse_penalty: float = 1.0, max_iter: int = 100, tol: float = 1e-4
 ) -> PipelineModel:
     """L2-penalised logistic regression on the unscaled features.
 
@@ -32,16 +32,17 @@ def fit_logistic(
     penalty = 1.0 / (inverse_penalty * max(df.count(), 1))
     classifier = LogisticRegression(
         **_roles(target), regParam=penalty, elasticNetParam=0.0, standardization=False,
-        maxIter=max_iter, tol=1e-4,
+        maxIter=max_iter, tol=tol,
     )
     return _fit(df, classifier, target)
 
 
 def fit_forest(
-    df: DataFrame, target: str = TARGET, trees: int = 500, max_depth: int = 10, seed: int = 42
+    df: DataFrame, target: str = TARGET, trees: int = 500, max_depth: int = 10, seed: int = 42, bootstrap: bool = True
 ) -> PipelineModel:
+    """A random forest; without ``bootstrap`` every tree sees all rows."""
     classifier = RandomForestClassifier(
-        **_roles(target), numTrees=trees, maxDepth=max_depth, seed=seed
+        **_roles(target), numTrees=trees, maxDepth=max_depth, seed=seed, bootstrap=bootstrap
     )
     return _fit(df, classifier, target)
 

@@ -1,7 +1,8 @@
 import pytest
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
 
-from ctrflow.operators import metrics, model
+from ctrflow.operators import boosting, metrics, model
 from tests.conftest import table
 
 
@@ -29,11 +30,11 @@ def test_models_learn_and_score(points, fit):
 
 def test_logistic_penalty_is_that_of_a_summed_loss(points):
     # Gradient of sum(log loss) + |w|^2 / 2 vanishes at the solution (no penalty on the intercept).
-    fitted = model.fit_logistic(points.select("is_click", "x"), max_iter=500)
+    fitted = model.fit_logistic(points.select("is_click", "x"), max_iter=500, tol=1e-12)
     weight = fitted.stages[-1].coefficients[0]
     scored = model.score(fitted, points.select("is_click", "x"))
     gradient = scored.agg(F.sum((F.col("probability") - F.col("is_click")) * F.col("x"))).first()[0]
-    assert gradient + weight == pytest.approx(0, abs=1.0)
+    assert gradient + weight == pytest.approx(0, abs=1e-4)
 
 
 def predictions(spark, *pairs):
@@ -63,3 +64,63 @@ def test_nothing_predicted_scores_zero(spark):
     assert got["1"] == (0.0, 0.0, 0.0)
     assert metrics.f1_score(df).first().f1_score == 0.0
     assert metrics.f1_score(predictions(spark)).first().f1_score == 0.0
+
+
+BOOSTING = dict(max_depth=3, step=0.3, min_rows=1, subsample=1.0)
+
+
+def probabilities(fitted, df):
+    return [r.probability for r in model.score(fitted, df).orderBy("x", "z", "is_click").collect()]
+
+
+def test_blocks_give_the_model_of_one_run(points, tmp_path):
+    whole = probabilities(model.fit_boosted(points, rounds=5, **BOOSTING), points)
+    blocks = boosting.fit_boosted_blocks(points, str(tmp_path / "a"), rounds=5, block=2, **BOOSTING)
+    assert probabilities(blocks, points) == pytest.approx(whole, abs=1e-9)
+
+
+def test_an_ended_job_goes_on_from_its_last_block(points, tmp_path, monkeypatch):
+    options = BOOSTING | {"subsample": 0.6}
+    whole = boosting.fit_boosted_blocks(points, str(tmp_path / "a"), rounds=6, block=6, **options)
+    path, fitted, fit = str(tmp_path / "b"), [], boosting.DecisionTreeRegressor.fit
+
+    def failing(self, df):
+        fitted.append(self.getSeed())
+        if len(fitted) == 4:
+            raise RuntimeError("lost")
+        return fit(self, df)
+
+    monkeypatch.setattr(boosting.DecisionTreeRegressor, "fit", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        boosting.fit_boosted_blocks(points, path, rounds=6, block=2, **options)
+    again = boosting.fit_boosted_blocks(points, path, rounds=6, block=2, **options)
+    # Rounds 0 to 2 and the start of 3, then only what its last saved block lacks.
+    assert [s - 42 for s in fitted] == [0, 1, 2, 3, 2, 3, 4, 5]
+    assert probabilities(again, points) == pytest.approx(probabilities(whole, points), abs=1e-9)
+
+
+def test_more_rounds_continue_a_saved_model_and_other_parameters_raise(points, tmp_path):
+    path = str(tmp_path / "a")
+    boosting.fit_boosted_blocks(points, path, rounds=2, **BOOSTING)
+    more = boosting.fit_boosted_blocks(points, path, rounds=4, **BOOSTING)
+    once = boosting.fit_boosted_blocks(points, str(tmp_path / "b"), rounds=4, **BOOSTING)
+    assert probabilities(more, points) == pytest.approx(probabilities(once, points), abs=1e-9)
+    with pytest.raises(ValueError, match="begun with"):
+        boosting.fit_boosted_blocks(points, path, rounds=4, **BOOSTING | {"step": 0.1})
+    with pytest.raises(ValueError, match="more than"):
+        boosting.fit_boosted_blocks(points, path, rounds=3, **BOOSTING)
+
+
+def test_blocks_are_saved_as_an_ordinary_model(points, tmp_path):
+    fitted = boosting.fit_boosted_blocks(points, str(tmp_path / "a"), rounds=2, **BOOSTING)
+    fitted.write().save(str(tmp_path / "saved"))
+    again = type(fitted).load(str(tmp_path / "saved"))
+    assert isinstance(again.stages[-1], GBTClassificationModel)
+    assert probabilities(again, points) == pytest.approx(probabilities(fitted, points), abs=0)
+
+
+def test_a_forest_without_bootstrap_gives_the_mean_of_each_side(points):
+    rows = points.select("is_click", (F.col("x") > 3).cast("int").alias("side"))
+    scored = model.score(model.fit_forest(rows, trees=3, bootstrap=False), rows)
+    means = scored.groupBy("side").agg(F.avg("is_click").alias("mean"), F.max("probability").alias("p"), F.min("probability").alias("q"))
+    assert all(r.p == pytest.approx(r["mean"]) and r.q == pytest.approx(r["mean"]) for r in means.collect())
