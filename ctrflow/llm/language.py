@@ -28,6 +28,8 @@ LEAST, BLOCK = 0.05, 8
 TEMPER = 0.2
 #: Rows that a prior of the level above counts for; prior of the class of other languages.
 STRENGTH, OTHER_PRIOR = 20.0, 1e-3
+#: Hosts with one row in this many, or more, have their priors broadcast, so these are at most as many, whatever the table.
+COMMON = 4096
 #: Name of the class of other languages.
 OTHER = "und"
 #: Characters that belong to no word.
@@ -215,8 +217,12 @@ def identify(
         overall[r["guess"]] += r["n"]
     overall = overall / overall.sum() * (1 - OTHER_PRIOR)
     overall[-1] += OTHER_PRIOR
-    priors = maps(by_guess, ["suffix", "host"], "h").join(maps(of_suffix, ["suffix"], "s"), "suffix")
-    joined = rows.join(priors, ["suffix", "host"]).join(F.broadcast(trust), "declared", "left")
+    priors = scratch.stage(maps(by_guess, ["suffix", "host"], "h").join(maps(of_suffix, ["suffix"], "s"), "suffix"), "priors")
+    # The rows of a common host stay where they are: there are at most COMMON such hosts. The others meet their priors by shuffle.
+    common = F.col("h_total") + F.coalesce(F.col("h")[-1], F.lit(0)) >= rows.count() / COMMON
+    keys, often = ["suffix", "host"], F.broadcast(priors.where(common))
+    joined = rows.join(often, keys).unionByName(
+        rows.join(often.select(keys), keys, "left_anti").join(priors.where(~common), keys)).join(F.broadcast(trust), "declared", "left")
     constants = lambda values: F.array(*[F.lit(float(x)) for x in values])
     seen = (F.col("guess") >= 0).cast("int")
 

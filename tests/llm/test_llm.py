@@ -477,6 +477,19 @@ def test_evidence_decides_where_the_text_does_not(spark):
     assert fused[100].posterior > (alone[100].posterior if alone[100].lang == "fr" else 0)
 
 
+def test_common_hosts_change_only_where_rows_meet_their_priors(spark, monkeypatch):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.fit_languages(documents)
+    nth = F.xxhash64("doc_id") % 12
+    host = F.when(nth < 4, "hot.fr").when(nth < 9, F.concat(F.lit("h"), nth, F.lit(".de")))  # a third of one host, a few without any
+    df = documents.withColumn("host", host).unionByName(documents.limit(20).withColumn("host", F.lit(None).cast("string")))
+    found = []
+    for share in (1, 8, 1 << 20):  # no host, the hot one and nulls, and every host have their priors broadcast
+        monkeypatch.setattr(language, "COMMON", share)
+        found.append(sorted(map(tuple, language.identify(df, model, declared="lang", host="host").collect())))
+    assert len(found[0]) == df.count() and found[0] == found[1] == found[2]
+
+
 def test_parts_of_pages(spark):
     df = spark.createDataFrame([("https://u@www.Site.FR:80/a?b", '<!x><HTML class=a lang="Fr-be">'), ("nothing", "<p lang=de>"), (None, None)], "url string, html string")
     got = df.select(language.host_of(F.col("url")), language.suffix_of(language.host_of(F.col("url"))), language.markup_language(F.col("html"))).collect()
