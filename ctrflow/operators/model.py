@@ -9,11 +9,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ctrflow.functions.codes import threshold_label
-from ctrflow.schema import TARGET
+from ctrflow.schema import TARGET, spare_names
 
 
-def _fit(df: DataFrame, classifier, target: str) -> PipelineModel:
-    inputs = [c for c in df.columns if c != target]
+def _fit(df: DataFrame, classifier, target: str, weight: str | None = None) -> PipelineModel:
+    inputs = [c for c in df.columns if c not in (target, weight)]
     assembler = VectorAssembler(inputCols=inputs, outputCol="_features")
     return Pipeline(stages=[assembler, classifier]).fit(df)
 
@@ -40,11 +40,20 @@ def fit_logistic(
 def fit_forest(
     df: DataFrame, target: str = TARGET, trees: int = 500, max_depth: int = 10, seed: int = 42, bootstrap: bool = True
 ) -> PipelineModel:
-    """A random forest; without ``bootstrap`` every tree sees all rows."""
+    """A random forest; without ``bootstrap`` every tree sees all rows.
+
+    Trees that see all rows only need to know how often each row occurs: equal rows go in once, weighed by their number. The
+    counts of a split, and so the trees, are those of the single rows. A bootstrap draws every row for itself, so there
+    they stay apart. Values beyond the 32 bins of a column are binned by a sample of the rows that go in.
+    """
     classifier = RandomForestClassifier(
         **_roles(target), numTrees=trees, maxDepth=max_depth, seed=seed, bootstrap=bootstrap
     )
-    return _fit(df, classifier, target)
+    if bootstrap:
+        return _fit(df, classifier, target)
+    (weight,) = spare_names(df, "_weight")
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).cast("double").alias(weight))
+    return _fit(rows, classifier.setWeightCol(weight), target, weight)
 
 
 def fit_boosted(

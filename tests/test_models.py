@@ -124,3 +124,25 @@ def test_a_forest_without_bootstrap_gives_the_mean_of_each_side(points):
     scored = model.score(model.fit_forest(rows, trees=3, bootstrap=False), rows)
     means = scored.groupBy("side").agg(F.avg("is_click").alias("mean"), F.max("probability").alias("p"), F.min("probability").alias("q"))
     assert all(r.p == pytest.approx(r["mean"]) and r.q == pytest.approx(r["mean"]) for r in means.collect())
+
+
+def test_a_forest_without_bootstrap_takes_equal_rows_once_and_gives_the_trees_of_all(points, monkeypatch):
+    df = points.withColumnRenamed("z", "_weight")
+    plain = model._fit(df, model.RandomForestClassifier(
+        **model._roles("is_click"), numTrees=7, maxDepth=4, seed=42, bootstrap=False), "is_click")
+    given, fit = [], model.RandomForestClassifier.fit
+
+    def counted(self, rows):
+        given.append(rows.count())
+        return fit(self, rows)
+
+    monkeypatch.setattr(model.RandomForestClassifier, "fit", counted)
+    fitted = model.fit_forest(df, trees=7, max_depth=4, bootstrap=False)
+    assert given == [df.distinct().count()]
+    texts = [[t.toDebugString.partition("\n")[2] for t in m.stages[-1].trees] for m in (fitted, plain)]
+    assert texts[0] == texts[1] and len(texts[0]) == 7
+    scores = [[r.probability for r in model.score(m, df).orderBy("x", "_weight", "is_click").collect()] for m in (fitted, plain)]
+    assert scores[0] == scores[1]
+    # Each row of a bootstrap is drawn for itself.
+    model.fit_forest(df, trees=2, max_depth=2)
+    assert given[1:] == [2_000]
