@@ -360,8 +360,8 @@ REQUEST_MATRIX = "batch_id, position, user_id, {}, most_recent_clicked_product_e
 )
 
 
-def _scoring_inputs(spark, sf_dir):
-    rows, encoder = jobs.transactions(fx.impressions(spark, sf_dir))
+def _scoring_inputs(spark, sf_dir, **options):
+    rows, encoder = jobs.transactions(fx.impressions(spark, sf_dir), **options)
     return rows, encoder, customer_profile(rows)
 
 
@@ -486,12 +486,14 @@ def score_requests_groups(spark, sf_dir):
 ))
 def score_approved(spark, sf_dir):
     """Trained, gated, registered and approved; then scored with what is on disk. A row is scored if all its codes are known."""
-    out = scratch_path(spark, "train")
-    jobs.train_evaluate(fx.impressions(spark, sf_dir), out, fx.CUTS, fit=model.fit_logistic, threshold=0.0, engineered=True)
+    out, log = scratch_path(spark, "train"), fx.impressions(spark, sf_dir)
+    clean = jobs.staged_clean(log)
+    rolling = jobs.staged_rolling(log, clean=clean)
+    jobs.train_evaluate(log, out, fx.CUTS, fit=model.fit_logistic, threshold=0.0, engineered=True, rolling=rolling)
     known = registry.read_registry(spark, f"{out}/registry")
     registry.set_status(known, f"{out}/registry", "ctr", 1, registry.APPROVED, F.lit("2999-01-01"))
-    _, _, customers = _scoring_inputs(spark, sf_dir)
-    scored = jobs.score_approved(fx.request_batches(spark, sf_dir), customers, out)
+    _, _, customers = _scoring_inputs(spark, sf_dir, rolling=rolling)
+    scored = jobs.score_approved(fx.request_batches(spark, sf_dir, clean), customers, out)
     return scored.select(*REQUEST_MATRIX.split(", "), F.col("probability").isNotNull().alias("scored"))
 
 

@@ -47,24 +47,36 @@ FIRST_CUT, SECOND_CUT = "2017-07-06", "2017-07-07"
 # ---- end of fixed values --------------------------------------------------------------------
 
 
+def staged_clean(impressions: DataFrame) -> DataFrame:
+    """Cleaned and de-duplicated rows in the shared folder, for all jobs that start from this log."""
+    return stage(clean_rows(impressions), "clean")
+
+
 def prepare(
-    impressions: DataFrame, cuts: tuple[str, str] | None = None, fit_on: str = "all"
+    impressions: DataFrame, cuts: tuple[str, str] | None = None, fit_on: str = "all", clean: DataFrame | None = None
 ) -> DataFrame:
     """Cleaned, de-duplicated and imputed rows with time parts.
 
     The fill values come from all rows; ``fit_on='train'`` takes them from the rows before the
-    first cut point.
+    first cut point. ``clean`` are the rows of ``staged_clean``, where the caller has them.
     """
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be all or train, not {fit_on!r}")
     if fit_on == "train" and not cuts:
         raise ValueError("fit_on='train' needs the cut points of the split")
-    rows = stage(clean_rows(impressions), "clean")
+    rows = staged_clean(impressions) if clean is None else clean
     if fit_on == "train":
         return fit_imputer(time_split(rows, *cuts)[0], applied_to=rows).transform(rows)
     return fit_imputer(rows).transform(rows)
 
 
+def staged_rolling(
+    impressions: DataFrame, cuts: tuple[str, str] | None = None, fit_on: str = "all", clean: DataFrame | None = None
+) -> DataFrame:
+    """Prepared rows with rolling features in the shared folder, for all jobs that start from this log."""
+    return stage(rolling_top(prepare(impressions, cuts, fit_on, clean)), "rolling")
+
+
 @dataclass
 class Prepared:
     """Encoded train, validation and test frames with the encoder that was fitted on train."""
@@ -86,15 +98,22 @@ def preprocess(
     columns: list[str] = ENCODED,
     fit_on: str = "all",
     on_unseen: str = "error",
+    rolling: DataFrame | None = None,
 ) -> Prepared:
     """Clean, split by time, and encode with codes fitted on the training rows.
 
     ``encoding`` is label, ordinal (by click rate) or target. Target encoding treats gender like
-    the other columns; the other two give it its fixed code.
+    the other columns; the other two give it its fixed code. ``rolling`` are the rows of ``staged_rolling``, where the
+    caller has them.
     """
-    rows = prepare(impressions, cuts, fit_on)
-    if engineered:
-        rows = stage(rolling_top(rows), "rolling")
+    if rolling is not None and not engineered:
+        raise ValueError("rows with rolling features need engineered=True")
+    if rolling is not None:
+        rows = rolling
+    elif engineered:
+        rows = staged_rolling(impressions, cuts, fit_on)
+    else:
+        rows = prepare(impressions, cuts, fit_on)
     if encoding == "target":
         train, _, _ = time_split(rows, *cuts)
         encoder = fit_target(train, [*columns, "gender"])
@@ -154,16 +173,17 @@ UNSEEN = ("error", "null", "extend", "reject")
 
 
 def transactions(
-    impressions: DataFrame, encoder: Encoder | None = None, on_unseen: str = "error"
+    impressions: DataFrame, encoder: Encoder | None = None, on_unseen: str = "error", rolling: DataFrame | None = None
 ) -> tuple[DataFrame, Encoder]:
     """All impressions with rolling features and codes, and the encoder that gave them.
 
     Pass the saved encoder of the trained model to keep its codes; without one they are fitted on
     this load. A label that the encoder does not know raises, gets a null code (null, reject), or the next free code (extend).
+    ``rolling`` are the rows of ``staged_rolling``, where the caller has them.
     """
     if on_unseen not in UNSEEN:
         raise ValueError(f"on_unseen must be one of {UNSEEN}, not {on_unseen!r}")
-    rows = stage(rolling_top(prepare(impressions)), "rolling")
+    rows = staged_rolling(impressions) if rolling is None else rolling
     if encoder is not None and on_unseen == "extend":
         encoder = encoder.extended(rows)
     return encode_all(rows, encoder, on_unseen="null" if on_unseen in ("null", "reject") else "error")
@@ -216,14 +236,15 @@ def train_evaluate(
     threshold: float = F1_THRESHOLD,
     status: str = PENDING,
     engineered: bool = False,
+    rolling: DataFrame | None = None,
 ) -> DataFrame:
     """Prepare, fit, evaluate on the test rows, report, and register the model if it passes.
 
     Returns one row with the F1 score; the model, the report and the registry lie below ``out``. The registry gives the
     version number, unless one is asked for that nobody has; nothing is ever overwritten. The model keeps its encoder as
-    its first stage. ``created`` is now by default.
+    its first stage. ``created`` is now by default. ``rolling`` as in ``preprocess``.
     """
-    prepared = preprocess(impressions, cuts, engineered=engineered)
+    prepared = preprocess(impressions, cuts, engineered=engineered, rolling=rolling)
     train, _, test = matrices(prepared, FEATURES_ENGINEERED if engineered else FEATURES)
     model = fit(stage(train, "train"))
     version = claim_version(impressions.sparkSession, f"{out}/registry", group, version)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from checks import fixtures as fx
+from checks import analysis, fixtures as fx
 from ctrflow import schema
 from ctrflow.operators import encode, model
 from ctrflow.operators.customers import customer_profile
@@ -210,3 +210,22 @@ def test_scored_requests_have_a_label(spark, prepared):
 def test_matrix_does_not_depend_on_partitioning(raw):
     a, b = (jobs.matrices(jobs.preprocess(raw.repartition(n), fx.CUTS))[0] for n in (1, 9))
     assert same(a, b)
+
+
+def test_jobs_over_one_log_share_its_clean_and_rolling_rows(spark, monkeypatch):
+    called = []
+    for place, name in ((jobs, "clean_rows"), (jobs, "rolling_top"), (fx, "clean_rows")):
+        step = getattr(place, name)
+        monkeypatch.setattr(place, name, lambda *a, step=step, name=name, **k: called.append(name) or step(*a, **k))
+    assert analysis.score_approved(spark, SMALL).count() == jobs.prepare(fx.impressions(spark, SMALL)).count()
+    assert called == ["clean_rows", "rolling_top", "clean_rows"]  # the last one is that of the line above
+
+
+def test_shared_rows_give_what_a_job_makes_itself(spark, raw, prepared):
+    clean = jobs.staged_clean(raw)
+    rolling = jobs.staged_rolling(raw, clean=clean)
+    assert all(same(a, b) for a, b in zip(jobs.preprocess(raw, fx.CUTS, engineered=True, rolling=rolling), prepared))
+    assert same(jobs.transactions(raw, rolling=rolling)[0], jobs.transactions(raw)[0])
+    assert same(fx.request_batches(spark, SMALL, clean), fx.request_batches(spark, SMALL))
+    with pytest.raises(ValueError, match="engineered"):
+        jobs.preprocess(raw, fx.CUTS, rolling=rolling)
