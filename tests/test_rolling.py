@@ -115,6 +115,21 @@ def test_a_user_with_most_rows_is_cut_evenly(clean):
     assert biggest <= 3 * df.count() / 30 < df.where("user_id = 1").count() / 3
 
 
+def test_only_busy_users_are_cut(rows_of):
+    """40 users of 5 rows need no cut for 4 ranges of 50 rows; of one more user with 100 rows only that one is cut."""
+    quiet = [{"DateTime": i % 5, "user_id": 2 + i % 40, "product": "ABC"[i % 3], "is_click": int(i % 7 == 0)} for i in range(200)]
+    busy = [{"DateTime": i, "product": "ABC"[i % 3], "is_click": int(i % 5 == 0)} for i in range(100)]
+    order = ["DateTime", "session_id"]
+    few, more = rows_of(*quiet), rows_of(*quiet, *busy)
+    assert _cut_users(few, "user_id", order, 4, "at", "cuts") is None
+    assert [r[0] for r in _cut_users(more, "user_id", order, 4, "at", "cuts").select("user_id").collect()] == [1]
+    for df in (few, more, few.limit(0), rows_of({"user_id": None}, {"user_id": None})):
+        assert result(rolling_top(df, NAME, parts=4)) == brute_force(df)
+    # Without cuts the rows are sorted once, for the windows of the users.
+    final = executed(rolling_top(few, NAME, parts=4)).split("Initial Plan")[0]
+    assert final.count("+- Exchange hashpartitioning") == 1 and "ReusedExchange" not in final and final.count("Window [") == 1
+
+
 def test_rows_of_one_time_and_id_cannot_be_cut_but_stay(rows_of):
     df = rows_of(*[{"session_id": 1}] * 30)
     assert rolling_top(df, NAME, parts=5).count() == 30
