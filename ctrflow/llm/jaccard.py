@@ -1,17 +1,18 @@
 """N-gram Jaccard join: documents whose shingle sets overlap by a given share, and what they connect to.
 
 Sizes fall into bands, so that two sets that may link lie in the same band or in neighbouring ones. Two sets
-of a band that link differ in fewer than D elements; the hash range is cut into a little more than D segments, so
-at least one segment is equal in both. Documents with an equal segment are candidates and their
-groups (connected candidates) are verified:
+of a band that link differ in fewer than D elements; the hash range is cut into more than D segments, so as many as there are
+above D - 1 are equal in both. Each set therefore leaves out that many of its segments but one, the most common ones; segments
+that no other set has are the rarest. Sets with few equal segments are left with none, such as those that only share a passage.
+Documents with an equal segment that is left are candidates and their groups (connected candidates) are verified:
 
 1. every member against the first of its group;
 2. members that fail that against all members, in tiles of bounded size by size band. In a tile hashed
    bitmaps of the sets bound each overlap from above by their bit counts, and pairs that may reach the
    share are intersected exactly as sorted arrays.
 
-Equal sets are linked by a hash of the whole set. Before the exchange each task keeps one document for each of its
-segment hashes, so that groups of copies are small after it.
+Equal sets are linked by a hash of the whole set. Segments are counted by sets, and only the smallest document of a set is
+verified, so copies move their text no further.
 """
 
 from __future__ import annotations
@@ -36,9 +37,13 @@ TILE_SHINGLES, TILE_DOCUMENTS = 2_000_000, 4000
 SENT_BYTES = 4 << 20
 #: Documents looked at for common shingles, and documents among them that make a shingle common.
 LOOKED_AT, LEAST_COMMON = 4000, 3
-#: Kinds of rows: a candidate pair, an equal pair, a document with its set size.
-CANDIDATE, EQUAL, SIZE = 0, 1, 2
+#: Kinds of rows: hashes of a set, an equal pair, a document with its set size, hashes that a set can spare, the first document of a set.
+CANDIDATE, EQUAL, SIZE, SPARE, SET = 0, 1, 2, 3, 4
+#: Classes of the hashes of a set: two bands, of rare and of all elements.
+CLASSES = 4
 ENTRIES = packed_schema("kind", "hash", "id", "other")
+SETTLED = "kind int, a long, b long, " + packed_schema("hash", "set", "often", "spare")
+SETTLED_NAMES = ["kind", "a", "b", "bucket", "hash", "set", "often", "spare"]
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -81,32 +86,34 @@ def segments(band: int, percent: int) -> tuple[int, int]:
     return needed + (needed * (100 - percent) // 80 + 2 if needed > 1 else 0), needed
 
 
-def signatures(found: np.ndarray, band: int, percent: int, kind: int) -> tuple[np.ndarray, np.ndarray, bool]:
-    """Hashes of the segments of one set (sorted) as a member of ``band``, which of them have elements, and whether these are
-    enough. ``kind`` keeps apart what must not meet."""
+def signatures(found: np.ndarray, band: int, percent: int, kind: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashes of the segments of one set (sorted) as a member of ``band``, which of them have elements, and by how many these
+    are more than needed. ``kind`` keeps apart what must not meet; it and the band are told by the hash modulo CLASSES."""
     count, needed = segments(band, percent)
     cut = np.searchsorted(found >> np.uint64(32), np.arange(1, count, dtype=np.uint64) * np.uint64(1 << 32) // np.uint64(count))
     cut = np.concatenate([[0], cut, [len(found)]])
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(found + np.uint64(1)), dtype=np.uint64)])
     salt = np.uint64((band << 40) + (kind << 60)) + np.uint64(BASE)
     value = mix(sums[cut[1:]] - sums[cut[:-1]] + mix(np.arange(count, dtype=np.uint64) + salt))
+    value = value - value % np.uint64(CLASSES) + np.uint64(2 * kind + band % 2)
     held = np.diff(cut) > 0
-    return value, held, np.count_nonzero(held) >= needed
+    return value, held, int(np.count_nonzero(held)) - needed
 
 
-def candidate_hashes(found: np.ndarray, rare: np.ndarray, band: int, percent: int) -> np.ndarray:
-    """What two sets that link have in common at least one of.
+def candidate_hashes(found: np.ndarray, rare: np.ndarray, band: int, percent: int) -> list[tuple[np.ndarray, int]]:
+    """What two sets that link have in common at least one of, by class, and how many hashes of a class they can do without:
+    that many more are in common.
 
     The bound on differing elements holds for the elements outside any fixed set of shingles too, so common ones are left
     out (``rare``), which keeps documents apart that only share a passage. Empty segments do not count. A set with too few
     others also sends those of all its elements, and the empty ones too if even these are too few.
     """
-    value, held, enough = signatures(rare, band, percent, 0)
-    out = [value[held]]
-    if not enough:
-        value, held, enough = signatures(found, band, percent, 1)
-        out.append(value[held] if enough else value)
-    return np.concatenate(out)
+    value, held, more = signatures(rare, band, percent, 0)
+    out = [(value[held], max(0, more))]
+    if more < 0:
+        value, held, more = signatures(found, band, percent, 1)
+        out.append((value[held] if more >= 0 else value, max(0, more)))
+    return out
 
 
 def common_shingles(docs: DataFrame, n: int) -> np.ndarray:
@@ -128,7 +135,7 @@ def _send(n: int, percent: int, buckets: int, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in text_chunks(batches, SENT_BYTES):
             ids = np.asarray(ids, np.int64)
-            by_id = np.argsort(ids, kind="stable")  # the first document of a hash is the smallest
+            by_id = np.argsort(ids, kind="stable")  # the first document of a set is the smallest
             ids = ids[by_id]
             sets = shingle_sets([texts[i] for i in by_id], n)
             sizes = np.array([len(s) for s in sets], np.int64)
@@ -137,53 +144,129 @@ def _send(n: int, percent: int, buckets: int, common):
             first: dict[int, int] = {}
             copy_of = np.array([first.setdefault(w, i) for i, w in zip(full, whole[full].tolist())], np.int64)
             own = full[copy_of == full]
+            copies = full[copy_of != full]
             band = band_of(sizes, percent)
-            hashes, rows = [], []
+            hashes, spare = [], []
             known = common.value
             for i in own:
                 found = np.minimum(np.searchsorted(known, sets[i]), max(0, len(known) - 1))
                 rare = sets[i][known[found] != sets[i]] if len(known) else sets[i]
-                for b in (band[i], band[i] + 1):
-                    hashes.append(candidate_hashes(sets[i], rare, int(b), percent))
-                    rows.append(np.full(len(hashes[-1]), i))
-            h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-            row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-            order = np.argsort(h, kind="stable")
-            h, row = h[order], row[order]
-            start = runs(h)
-            length = np.diff(np.append(start, len(h)))
-            head = np.repeat(row[start], length)
-            pairs = np.unique(np.stack([head, row])[:, head != row], axis=1)
-            kind = [np.full(len(start), CANDIDATE), np.full(len(own), EQUAL), np.full(pairs.shape[1], CANDIDATE),
-                    np.full(len(full) - len(own), EQUAL), np.full(len(ids), SIZE)]
-            hash_ = [h[start], whole[own]]
-            one = [ids[row[start]], ids[own], ids[pairs[0]], ids[copy_of[copy_of != full]], ids]
-            other = [np.zeros(len(start), np.int64), np.zeros(len(own), np.int64), ids[pairs[1]], ids[full[copy_of != full]], sizes]
-            sent = len(start) + len(own)  # the rest is settled and handed on
-            hash_ = np.concatenate([*hash_, np.zeros(sum(map(len, kind)) - sent, np.uint64)])
-            kind, one, other = np.concatenate(kind).astype(np.int8), np.concatenate(one), np.concatenate(other)
-            at = slice(0, sent)
-            yield pack((hash_[at] % np.uint64(buckets)).astype(np.int64), buckets, kind=kind[at], hash=hash_[at], id=one[at], other=None)
-            at = slice(sent, None)
-            yield pack(one[at] % buckets, buckets, kind=kind[at], hash=None, id=one[at], other=other[at])
+                for b in (int(band[i]), int(band[i]) + 1):
+                    for h, more in candidate_hashes(sets[i], rare, b, percent):
+                        if len(h):
+                            hashes.append(h)
+                            spare.append((i, len(h), more * CLASSES + int(h[0]) % CLASSES))
+            row, length, spare = np.array(spare, np.int64).reshape(-1, 3).T
+            h = np.concatenate([*hashes, whole[own]])
+            one = np.concatenate([np.repeat(whole[row], length).view(np.int64), ids[own]])
+            kind = np.repeat(np.array([CANDIDATE, EQUAL], np.int8), [len(h) - len(own), len(own)])
+            yield pack((h % np.uint64(buckets)).astype(np.int64), buckets, kind=kind, hash=h, id=one, other=None)
+            # the rest is settled and handed on
+            kind = np.repeat(np.array([EQUAL, SIZE, SPARE], np.int8), [len(copies), len(ids), len(row)])
+            one = np.concatenate([ids[copy_of[copy_of != full]], ids, whole[row].view(np.int64)])
+            other = np.concatenate([ids[copies], sizes, spare])
+            yield pack(one.view(np.uint64) % np.uint64(buckets), buckets, kind=kind, hash=None, id=one, other=other)
+
+    return run
+
+
+def _settle(buckets: int):
+    """Hashes that several sets have, with their number, for the task of each set; of documents with an equal set, the smallest
+    with its set and with each other one. What tasks have settled is handed on."""
+    def run(table: pa.Table) -> pa.Table:
+        sent = table.filter(pa.compute.is_valid(table.column("hash")))
+        rest = table.filter(pa.compute.is_null(table.column("hash")))
+        kind, h, ids = (unpack(sent, c, t) for c, t in (("kind", np.int8), ("hash", np.uint64), ("id", np.int64)))
+        at = np.flatnonzero(kind == CANDIDATE)
+        value, of = h[at], ids[at].view(np.uint64)
+        order = np.lexsort((of, value))
+        value, of = value[order], of[order]
+        new = np.append(True, (value[1:] != value[:-1]) | (of[1:] != of[:-1])) if len(value) else np.zeros(0, bool)
+        value, of = value[new], of[new]
+        start = runs(value)
+        often = np.diff(np.append(start, len(value)))
+        often = np.repeat(often, often)
+        value, of, often = value[often > 1], of[often > 1], often[often > 1]
+        shared = pack(of % np.uint64(buckets), buckets, hash=value, set=of, often=np.minimum(often, 65535).astype(np.uint16), spare=None)
+
+        at = np.flatnonzero(kind == EQUAL)
+        value, of = h[at], ids[at]
+        order = np.lexsort((of, value))
+        value, of = value[order], of[order]
+        start = runs(value)
+        head = np.repeat(of[start], np.diff(np.append(start, len(of))))
+
+        kind, one, other = unpack(rest, "kind", np.int8), unpack(rest, "id", np.int64), unpack(rest, "other", np.int64)
+        of_set, spare = one[kind == SPARE].view(np.uint64), other[kind == SPARE]
+        spared = pack(of_set % np.uint64(buckets), buckets, hash=(spare % CLASSES).astype(np.uint64), set=of_set, often=None,
+                      spare=(spare // CLASSES).astype(np.int32))
+        plain = kind != SPARE
+        again = head != of
+        kind = np.concatenate([kind[plain], np.repeat(np.array([EQUAL, SET], np.int8), [np.count_nonzero(again), len(start)])])
+        one = np.concatenate([one[plain], head[again], of[start]])
+        other = np.concatenate([other[plain], of[again], value[start].view(np.int64)])
+        nothing = pa.nulls(len(kind), pa.binary())
+        numbers = pa.table([pa.array(kind, pa.int32()), pa.array(one), pa.array(other), pa.nulls(len(kind), pa.int32()), *[nothing] * 4], SETTLED_NAMES)
+        packed = pa.Table.from_batches([shared, spared])
+        nothing = pa.nulls(len(packed), pa.int64())
+        packed = pa.table([pa.array(np.full(len(packed), CANDIDATE, np.int32)), nothing, nothing, *packed.columns], SETTLED_NAMES)
+        return pa.concat_tables([numbers, packed])
+
+    return run
+
+
+def _rarest(buckets: int):
+    """Of the shared hashes of each set and class, the rarest: all but as many as it can spare.
+
+    Sets that link share all hashes of one of them but those that differing elements change. So they also share one when each
+    leaves out its most common ones, by an order that is the same for all, up to the number that may be shared besides one.
+    Hashes that no other set has come first in this order.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        bounds = pa.compute.is_valid(table.column("spare"))
+        sent, rest = table.filter(pa.compute.invert(bounds)), table.filter(bounds)
+        spare = unpack(rest, "spare", np.int32)
+        h = np.concatenate([unpack(rest, "hash", np.uint64), unpack(sent, "hash", np.uint64)])
+        of = np.concatenate([unpack(rest, "set", np.uint64), unpack(sent, "set", np.uint64)])
+        often = np.concatenate([np.zeros(len(spare), np.uint16), unpack(sent, "often", np.uint16)])  # bounds come first
+        spare = np.concatenate([spare, np.zeros(len(h) - len(spare), np.int32)])
+        kind = (h % np.uint64(CLASSES)).astype(np.uint8)
+        order = np.lexsort((h, often, kind, of))
+        h, of, often, spare, kind = h[order], of[order], often[order], spare[order], kind[order]
+        start = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (kind[1:] != kind[:-1]))) if len(h) else np.zeros(0, np.int64)
+        length = np.diff(np.append(start, len(h)))
+        after = np.repeat(start + length, length) - np.arange(len(h))  # 1 for the last of a class
+        kept = (often > 0) & (after > np.repeat(spare[start], length))
+        h, of = h[kept], of[kept]
+        return pa.Table.from_batches([pack(h % np.uint64(buckets), buckets, hash=h, set=of)])
 
     return run
 
 
-def _pairs(table: pa.Table) -> pa.Table:
-    """Of documents with an equal hash, the smallest with each other one; what tasks have settled is handed on."""
-    sent = table.filter(pa.compute.is_valid(table.column("hash")))
-    rest = table.filter(pa.compute.is_null(table.column("hash")))
-    kind, h, ids = (unpack(sent, c, t) for c, t in (("kind", np.int8), ("hash", np.uint64), ("id", np.int64)))
-    order = np.lexsort((ids, h, kind))
-    kind, h, ids = kind[order], h[order], ids[order]
-    start = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (kind[1:] != kind[:-1])])) if len(h) else np.zeros(0, int)
-    head = np.repeat(ids[start], np.diff(np.append(start, len(h))))
-    found = np.stack([kind.astype(np.int64), head, ids])[:, head != ids]
-    found = np.unique(found, axis=1)
-    columns = [np.concatenate([unpack(rest, "kind", np.int8), found[0].astype(np.int8)]),
-               np.concatenate([unpack(rest, "id", np.int64), found[1]]), np.concatenate([unpack(rest, "other", np.int64), found[2]])]
-    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64()))], names=["kind", "a", "b"])
+def _stars(table: pa.Table) -> pa.Table:
+    """Of sets with an equal hash, the smallest with each other one."""
+    h, of = unpack(table, "hash", np.uint64), unpack(table, "set", np.int64)
+    order = np.lexsort((of, h))
+    h, of = h[order], of[order]
+    start = runs(h)
+    head = np.repeat(of[start], np.diff(np.append(start, len(h))))
+    head, of = head[head != of], of[head != of]
+    order = np.lexsort((of, head))
+    head, of = head[order], of[order]
+    new = np.append(True, (head[1:] != head[:-1]) | (of[1:] != of[:-1])) if len(of) else np.zeros(0, bool)
+    return pa.table([pa.array(head[new]), pa.array(of[new])], names=["a", "b"])
+
+
+def _families(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
+    """(id, family) of the smallest document of each set that is a candidate; ``family`` is the first of those that
+    candidates connect."""
+    shared = rows.where(f"kind = {CANDIDATE}").select("bucket", "hash", "set", "often", "spare")
+    rarest = by_bucket(shared, _rarest(buckets), packed_schema("hash", "set"), buckets)
+    found = components(by_bucket(rarest, _stars, "a long, b long", buckets), scratch, "families")
+    sets = rows.where(f"kind = {SET}").select(F.col("a").alias("first"), F.col("b").alias("id"))
+    found = scratch.stage(found.join(sets, "id").select(F.col("first").alias("id"), "component"), "sets")
+    named = found.groupBy("component").agg(F.min("id").alias("family"))
+    return scratch.stage(found.join(named, "component").select("id", "family"), "named")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -310,12 +393,12 @@ def jaccard_components(
     docs = one_row_per_id(plain, "doc_id", "text")
     common = spark.sparkContext.broadcast(common_shingles(docs, n))
     sent = docs.mapInArrow(_send(n, percent, buckets, common), ENTRIES)
-    rows = scratch.stage(by_bucket(sent, _pairs, "kind int, a long, b long", buckets), "pairs")
+    rows = scratch.stage(by_bucket(sent, _settle(buckets), SETTLED, buckets), "pairs")
     sizes = rows.where(f"kind = {SIZE}").select(F.col("a").alias("id"), F.col("b").alias("n"))
-    families = components(rows.where(f"kind = {CANDIDATE}").select("a", "b"), scratch, "families")
+    families = _families(rows, buckets, scratch)
 
     # Both small sides grow with the documents, so neither is left to be broadcast: the plan is the same at every size.
-    members = docs.join(families.select("id", F.col("component").alias("family")).hint("merge"), "id").select("id", "text", "family")
+    members = docs.join(families.hint("merge"), "id").select("id", "text", "family")
     members = scratch.stage(members, "members")
     firsts = members.where("id = family").select("family", F.col("text").alias("first_text"))
     checked = members.join(firsts.hint("merge"), "family").select("id", "text", "family", "first_text").mapInArrow(

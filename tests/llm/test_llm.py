@@ -241,6 +241,22 @@ def test_jaccard_components(request, spark, table, n, percent):
     assert sum(r.doc_id is None for r in got) == df.where("doc_id IS NULL").count()
 
 
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_verifies_no_copies_and_nothing_that_only_shares_a_passage(spark, monkeypatch, n, percent):
+    rng = np.random.default_rng(2)
+    passages = [" ".join(f"p{k}_{i}" for i in range(40)) for k in range(2)]
+    texts = [" ".join([*(f"x{v}" for v in rng.integers(1 << 40, size=300)), passages[k % 2]]) for k in range(60)]
+    near = texts[1].replace(texts[1].split()[7], "y")
+    data = [*enumerate(texts), *((100 + k, texts[0]) for k in range(8)), (200, near), *((300 + k, near) for k in range(8))]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(8)
+    verified, tiles = [], jaccard._open_tiles
+    monkeypatch.setattr(jaccard, "LEAST_COMMON", 10 ** 9)  # as in a corpus where no sample has a passage often enough
+    monkeypatch.setattr(jaccard, "_open_tiles", lambda members: verified.extend(r.id for r in members.select("id").collect()) or tiles(members))
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(df, n=n, percent=percent).collect()}
+    assert found == {i: 0 if t == texts[0] else 1 if t == near else i for i, t in data}
+    assert sorted(verified) == [1, 200]
+
+
 # ---- op4
 
 
