@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ctrflow.llm.common import (
-    BASE, Scratch, by_bucket, gram_hashes, mix, one_row_per_id, pack, packed_schema, partitions, runs, text_chunks, tokens, unpack,
+    BASE, Scratch, by_bucket, gram_hashes, mix, one_row_per_id, pack, packed_schema, partitions, release, runs, text_chunks, tokens, unpack,
 )
 from ctrflow.llm.components import components
 
 #: Shingles and documents on each side of a tile, on average.
 TILE_SHINGLES, TILE_DOCUMENTS = 2_000_000, 4000
+#: Tasks of the exchange of hashes, times those of others, and slices of the hashes that a task sorts one after the other.
+FINER, SLICES = 2, 4
 #: Bytes of text whose sets and signatures of two bands a task holds at a time.
 SENT_BYTES = 4 << 20
 #: Documents looked at for common shingles, and documents among them that make a shingle common.
@@ -170,6 +172,19 @@ def _send(n: int, percent: int, buckets: int, common):
     return run
 
 
+def _shared(h: np.ndarray, ids: np.ndarray, wanted: np.ndarray, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, set, sets that have the hash) where these are several, of one slice of the hashes."""
+    at = np.flatnonzero(wanted & (h >> np.uint64(32) & np.uint64(SLICES - 1) == np.uint64(part)))
+    at = at[np.lexsort((ids[at], h[at]))]
+    value, of = h[at], ids[at].view(np.uint64)
+    new = np.append(True, (value[1:] != value[:-1]) | (of[1:] != of[:-1])) if len(value) else np.zeros(0, bool)
+    value, of = value[new], of[new]
+    start = runs(value)
+    often = np.diff(np.append(start, len(value)))
+    often = np.repeat(np.minimum(often, 65535).astype(np.uint16), often)
+    return value[often > 1], of[often > 1], often[often > 1]
+
+
 def _settle(buckets: int):
     """Hashes that several sets have, with their number, for the task of each set; of documents with an equal set, the smallest
     with its set and with each other one. What tasks have settled is handed on."""
@@ -177,17 +192,10 @@ def _settle(buckets: int):
         sent = table.filter(pa.compute.is_valid(table.column("hash")))
         rest = table.filter(pa.compute.is_null(table.column("hash")))
         kind, h, ids = (unpack(sent, c, t) for c, t in (("kind", np.int8), ("hash", np.uint64), ("id", np.int64)))
-        at = np.flatnonzero(kind == CANDIDATE)
-        value, of = h[at], ids[at].view(np.uint64)
-        order = np.lexsort((of, value))
-        value, of = value[order], of[order]
-        new = np.append(True, (value[1:] != value[:-1]) | (of[1:] != of[:-1])) if len(value) else np.zeros(0, bool)
-        value, of = value[new], of[new]
-        start = runs(value)
-        often = np.diff(np.append(start, len(value)))
-        often = np.repeat(often, often)
-        value, of, often = value[often > 1], of[often > 1], often[often > 1]
-        shared = pack(of % np.uint64(buckets), buckets, hash=value, set=of, often=np.minimum(often, 65535).astype(np.uint16), spare=None)
+        del table, sent
+        found = [_shared(h, ids, kind == CANDIDATE, part) for part in range(SLICES)]
+        value, of, often = (np.concatenate(x) for x in zip(*found))
+        shared = pack(of % np.uint64(buckets), buckets, hash=value, set=of, often=often, spare=None)
 
         at = np.flatnonzero(kind == EQUAL)
         value, of = h[at], ids[at]
@@ -196,6 +204,7 @@ def _settle(buckets: int):
         start = runs(value)
         head = np.repeat(of[start], np.diff(np.append(start, len(of))))
 
+        del h, ids
         kind, one, other = unpack(rest, "kind", np.int8), unpack(rest, "id", np.int64), unpack(rest, "other", np.int64)
         of_set, spare = one[kind == SPARE].view(np.uint64), other[kind == SPARE]
         spared = pack(of_set % np.uint64(buckets), buckets, hash=(spare % CLASSES).astype(np.uint64), set=of_set, often=None,
@@ -210,6 +219,7 @@ def _settle(buckets: int):
         packed = pa.Table.from_batches([shared, spared])
         nothing = pa.nulls(len(packed), pa.int64())
         packed = pa.table([pa.array(np.full(len(packed), CANDIDATE, np.int32)), nothing, nothing, *packed.columns], SETTLED_NAMES)
+        release()
         return pa.concat_tables([numbers, packed])
 
     return run
@@ -262,11 +272,15 @@ def _families(rows: DataFrame, buckets: int, scratch: Scratch) -> DataFrame:
     candidates connect."""
     shared = rows.where(f"kind = {CANDIDATE}").select("bucket", "hash", "set", "often", "spare")
     rarest = by_bucket(shared, _rarest(buckets), packed_schema("hash", "set"), buckets)
-    found = components(by_bucket(rarest, _stars, "a long, b long", buckets), scratch, "families")
+    # A table of its own, so that no task needs two Python workers at once.
+    stars = scratch.stage(by_bucket(rarest, _stars, "a long, b long", buckets), "stars")
+    found = components(stars, scratch, "families")
     sets = rows.where(f"kind = {SET}").select(F.col("a").alias("first"), F.col("b").alias("id"))
     found = scratch.stage(found.join(sets, "id").select(F.col("first").alias("id"), "component"), "sets")
     named = found.groupBy("component").agg(F.min("id").alias("family"))
-    return scratch.stage(found.join(named, "component").select("id", "family"), "named")
+    named = scratch.stage(found.join(named, "component").select("id", "family"), "named")
+    scratch.drop("stars", "sets")
+    return named
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -392,8 +406,9 @@ def jaccard_components(
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = one_row_per_id(plain, "doc_id", "text")
     common = spark.sparkContext.broadcast(common_shingles(docs, n))
-    sent = docs.mapInArrow(_send(n, percent, buckets, common), ENTRIES)
-    rows = scratch.stage(by_bucket(sent, _settle(buckets), SETTLED, buckets), "pairs")
+    finer = FINER * partitions(spark) | 1
+    sent = docs.mapInArrow(_send(n, percent, finer, common), ENTRIES)
+    rows = scratch.stage(by_bucket(sent, _settle(buckets), SETTLED, finer), "pairs")
     sizes = rows.where(f"kind = {SIZE}").select(F.col("a").alias("id"), F.col("b").alias("n"))
     families = _families(rows, buckets, scratch)
 
